@@ -68,3 +68,47 @@ GROUP BY term, CAST(floor(doc_id / {P.POSTING_BLOCK}) AS BIGINT)
 
 SQL["rank_from_index"] = SQL["term_rank"]
 SQL["rank_from_posting_lists"] = SQL["term_rank"]
+
+# --- survey time use ------------------------------------------------------
+# events pivoted per user: view t010101, click t050101, purchase t120101,
+# signup t180101, error t180501; telfs/tesex/teage from the user id.
+# Groups by prefix: primary = t180101, t010101 (reverse header order),
+# work = t180501, t050101, other = t120101.
+
+def _minutes(kind: str, name: str) -> str:
+    return (f"CAST(sum(CASE WHEN event_type = {_str(kind)} THEN CAST(value AS DECIMAL(18,2)) "
+            f"ELSE CAST(0 AS DECIMAL(18,2)) END) AS DOUBLE) AS {name}")
+
+
+SURVEY_CTE = f"""survey AS (
+  SELECT CAST(user_id AS VARCHAR) AS tucaseid,
+         CAST(user_id % 5 + 1 AS DOUBLE) AS telfs,
+         CAST(user_id % 2 + 1 AS DOUBLE) AS tesex,
+         CAST(user_id % 60 + 15 AS DOUBLE) AS teage,
+         {_minutes('view', 't010101')},
+         {_minutes('click', 't050101')},
+         {_minutes('purchase', 't120101')},
+         {_minutes('signup', 't180101')},
+         {_minutes('error', 't180501')}
+  FROM events GROUP BY user_id),
+summary AS (
+  SELECT CASE WHEN telfs < 3 THEN 'working' ELSE 'not working' END AS working,
+         CASE WHEN tesex = 1 THEN 'male' ELSE 'female' END AS sex,
+         CASE WHEN teage >= 15 AND teage <= 22 THEN 'young'
+              WHEN teage >= 23 AND teage <= 55 THEN 'active'
+              ELSE 'elder' END AS age,
+         ((CAST(0 AS DOUBLE) + t180101) + t010101) / CAST(60 AS DOUBLE) AS primaryNeeds,
+         ((CAST(0 AS DOUBLE) + t180501) + t050101) / CAST(60 AS DOUBLE) AS work,
+         (CAST(0 AS DOUBLE) + t120101) / CAST(60 AS DOUBLE) AS other
+  FROM survey WHERE telfs <= 4)"""
+
+SQL["time_use_summary"] = f"WITH {SURVEY_CTE}\nSELECT * FROM summary"
+SQL["typed_rows"] = SQL["time_use_summary"]
+SQL["time_use_grouped"] = f"""WITH {SURVEY_CTE}
+SELECT working, sex, age,
+       round(avg(primaryNeeds), 1) AS primaryNeeds,
+       round(avg(work), 1) AS work,
+       round(avg(other), 1) AS other
+FROM summary GROUP BY working, sex, age ORDER BY working, sex, age"""
+SQL["time_use_grouped_sql"] = SQL["time_use_grouped"]
+SQL["time_use_grouped_typed"] = SQL["time_use_grouped"]

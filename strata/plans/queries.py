@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import terms as T
+from strata.operators import timeuse as TU
 from strata.plans import params as P
-from strata.sources.tables import articles_from_documents, read_table
+from strata.sources.tables import articles_from_documents, read_table, survey_from_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +61,32 @@ def rank_from_posting_lists(spark, sf_dir):
     return T.rank_from_index(T.posting_lists(index, block_size=P.POSTING_BLOCK))
 
 
+# --- survey time use ------------------------------------------------------
+
+def _summary(spark, sf_dir):
+    return TU.summarize(survey_from_events(read_table(spark, sf_dir, "events")))
+
+
+def time_use_summary(spark, sf_dir):
+    return _summary(spark, sf_dir)
+
+
+def typed_rows(spark, sf_dir):
+    return TU.time_use_summary_typed(_summary(spark, sf_dir))
+
+
+def time_use_grouped(spark, sf_dir):
+    return TU.time_use_grouped(_summary(spark, sf_dir))
+
+
+def time_use_grouped_sql(spark, sf_dir):
+    return TU.time_use_grouped_sql(_summary(spark, sf_dir))
+
+
+def time_use_grouped_typed(spark, sf_dir):
+    return TU.time_use_grouped_typed(TU.time_use_summary_typed(_summary(spark, sf_dir)))
+
+
 QUERIES: dict[str, Query] = {
     "term_count": term_count,
     "term_rank": term_rank,
@@ -69,4 +96,9 @@ QUERIES: dict[str, Query] = {
     "posting_lists": posting_lists,
     "rank_from_index": rank_from_index,
     "rank_from_posting_lists": rank_from_posting_lists,
+    "time_use_summary": time_use_summary,
+    "typed_rows": typed_rows,
+    "time_use_grouped": time_use_grouped,
+    "time_use_grouped_sql": time_use_grouped_sql,
+    "time_use_grouped_typed": time_use_grouped_typed,
 }
