@@ -112,3 +112,124 @@ SELECT working, sex, age,
 FROM summary GROUP BY working, sex, age ORDER BY working, sex, age"""
 SQL["time_use_grouped_sql"] = SQL["time_use_grouped"]
 SQL["time_use_grouped_typed"] = SQL["time_use_grouped"]
+
+# --- questions and answers --------------------------------------------------
+# questions = orders (id o_orderkey, score floor(o_totalprice/1000), tag
+# o_orderpriority); answers = lineitem (id l_orderkey*100+l_linenumber,
+# parent l_orderkey, score floor(l_extendedprice/100)-500).
+
+POSTINGS_CTE = """q AS (
+  SELECT 1 AS posting_type, o_orderkey AS id, CAST(NULL AS BIGINT) AS accepted_answer,
+         CAST(NULL AS BIGINT) AS parent_id, CAST(floor(o_totalprice / 1000) AS INTEGER) AS score,
+         o_orderpriority AS tags
+  FROM orders),
+a AS (
+  SELECT 2 AS posting_type, l_orderkey * 100 + l_linenumber AS id, l_orderkey AS parent_id,
+         CAST(floor(l_extendedprice / 100) - 500 AS INTEGER) AS score
+  FROM lineitem)"""
+
+BEST_CTE = POSTINGS_CTE + """,
+top AS (SELECT parent_id, max(score) AS top FROM a GROUP BY parent_id),
+best AS (
+  SELECT q.posting_type, q.id, q.accepted_answer, q.parent_id, q.score, q.tags,
+         greatest(top.top, 0) AS high_score
+  FROM (SELECT DISTINCT * FROM q) q JOIN top ON q.id = top.parent_id)"""
+
+SQL["answered_questions"] = f"""WITH {POSTINGS_CTE}
+SELECT q.id, q.score, q.tags, a.id AS a_id, a.score AS a_score
+FROM q JOIN a ON q.id = a.parent_id"""
+
+SQL["nested_answers"] = f"""WITH {POSTINGS_CTE}
+SELECT q.id, a.id // {P.ANSWER_BLOCK} AS block, CAST(count(*) AS BIGINT) AS n,
+       string_agg(CAST(a.id AS VARCHAR) || ':' || CAST(a.score AS VARCHAR), ',' ORDER BY a.id, a.score) AS answers
+FROM q JOIN a ON q.id = a.parent_id
+GROUP BY q.id, a.id // {P.ANSWER_BLOCK}"""
+
+SQL["best_answer"] = f"WITH {BEST_CTE}\nSELECT * FROM best"
+SQL["best_answer_plain"] = f"""WITH {POSTINGS_CTE}
+SELECT q.posting_type, q.id, q.accepted_answer, q.parent_id, q.score, q.tags,
+       greatest(max(a.score), 0) AS high_score
+FROM q JOIN a ON q.id = a.parent_id
+GROUP BY q.posting_type, q.id, q.accepted_answer, q.parent_id, q.score, q.tags"""
+
+# --- clustering -------------------------------------------------------------
+
+_CAT_CASE = "CASE tags " + " ".join(
+    f"WHEN {_str(c)} THEN {i}" for i, c in enumerate(P.CATEGORIES)) + " END"
+_CAT_LIST = "[" + ", ".join(_str(c) for c in P.CATEGORIES) + "]"
+_PER_CAT = P.KERNELS // len(P.CATEGORIES)
+_KEY = f"md5(CAST(id AS VARCHAR) || '#{P.SEED}')"
+
+
+def _nearest(points: str, centers: str) -> str:
+    """arg-min over centers by squared distance, ties to the lowest index."""
+    return (f"arg_min({centers}.cluster, (({points}.x - {centers}.x) * ({points}.x - {centers}.x)"
+            f" + ({points}.y - {centers}.y) * ({points}.y - {centers}.y)) * 1000 + {centers}.cluster)")
+
+
+VECTORS_CTE = BEST_CTE + f""",
+vectors AS (
+  SELECT id, CAST(({_CAT_CASE}) * {P.SPREAD} AS BIGINT) AS x, CAST(high_score AS BIGINT) AS y
+  FROM best WHERE ({_CAT_CASE}) IS NOT NULL),
+seeds AS (
+  SELECT x, y, id, CAST(rank AS INTEGER) AS rank FROM (
+    SELECT x, y, id, row_number() OVER (PARTITION BY x ORDER BY {_KEY}, id, y) AS rank
+    FROM vectors) WHERE rank <= {_PER_CAT}),
+centers0 AS (
+  SELECT CAST(row_number() OVER (ORDER BY x, rank) - 1 AS INTEGER) AS cluster, x, y FROM seeds),
+points AS (SELECT x, y, count(*) AS n FROM vectors GROUP BY x, y)"""
+
+KMEANS_CTE = VECTORS_CTE + f""",
+km(it, cluster, old_x, old_y, x, y, d, total) AS (
+  SELECT 0, cluster, x, y, x, y, CAST(0 AS DOUBLE), CAST('inf' AS DOUBLE) FROM centers0
+  UNION ALL
+  SELECT it, cluster, old_x, old_y, x, y, d, sum(d) OVER () FROM (
+    SELECT k.it + 1 AS it, k.cluster, k.x AS old_x, k.y AS old_y,
+           coalesce(m.x, k.x) AS x, coalesce(m.y, k.y) AS y,
+           CAST(coalesce(m.x, k.x) - k.x AS DOUBLE) * CAST(coalesce(m.x, k.x) - k.x AS DOUBLE)
+           + CAST(coalesce(m.y, k.y) - k.y AS DOUBLE) * CAST(coalesce(m.y, k.y) - k.y AS DOUBLE) AS d
+    FROM km k LEFT JOIN (
+      SELECT cluster, CAST(sum(x * n) // sum(n) AS BIGINT) AS x,
+             CAST(sum(y * n) // sum(n) AS BIGINT) AS y
+      FROM (SELECT p.x, p.y, p.n, {_nearest('p', 'c')} AS cluster
+            FROM points p CROSS JOIN km c GROUP BY p.x, p.y, p.n)
+      GROUP BY cluster) m ON m.cluster = k.cluster
+    WHERE k.total >= {P.ETA} AND k.it < {P.MAX_ITERATIONS})),
+final AS (SELECT cluster, x, y FROM km WHERE it = (SELECT max(it) FROM km))"""
+
+SQL["category_vectors"] = f"WITH {VECTORS_CTE}\nSELECT id, x, y FROM vectors"
+SQL["weighted_points"] = f"WITH {VECTORS_CTE}\nSELECT x, y, n FROM points"
+SQL["seed_points_per_category"] = f"WITH {VECTORS_CTE}\nSELECT x, y, id, rank FROM seeds"
+SQL["seed_points_global"] = f"""WITH {VECTORS_CTE}
+SELECT x, y, id FROM vectors ORDER BY {_KEY}, id, x, y LIMIT {P.KERNELS}"""
+SQL["nearest_center"] = f"""WITH {VECTORS_CTE},
+v AS (SELECT row_number() OVER () AS pk, id, x, y FROM vectors)
+SELECT v.id, v.x, v.y, {_nearest('v', 'c')} AS cluster
+FROM v CROSS JOIN centers0 c GROUP BY v.pk, v.id, v.x, v.y"""
+SQL["kmeans_step"] = f"WITH RECURSIVE {KMEANS_CTE}\nSELECT cluster, x, y FROM km WHERE it = 1"
+SQL["kmeans_centers"] = f"WITH RECURSIVE {KMEANS_CTE}\nSELECT cluster, x, y FROM final"
+SQL["kmeans_history"] = f"""WITH RECURSIVE {KMEANS_CTE}
+SELECT it AS iter, cluster, old_x, old_y, x AS new_x, y AS new_y, d AS dist FROM km WHERE it >= 1"""
+
+REPORT_CTE = KMEANS_CTE + f""",
+v AS (SELECT row_number() OVER () AS pk, x, y FROM vectors),
+asg AS (SELECT v.x, v.y, {_nearest('v', 'c')} AS cluster
+        FROM v CROSS JOIN final c GROUP BY v.pk, v.x, v.y),
+stats AS (SELECT cluster, CAST(count(*) AS BIGINT) AS size,
+                 CAST(trunc(quantile_cont(y, 0.5)) AS INTEGER) AS median_score
+          FROM asg GROUP BY cluster),
+modes AS (SELECT cluster, x, cnt FROM (
+            SELECT cluster, x, count(*) AS cnt,
+                   row_number() OVER (PARTITION BY cluster ORDER BY count(*) DESC, x) AS r
+            FROM asg GROUP BY cluster, x) WHERE r = 1),
+report AS (
+  SELECT {_CAT_LIST}[x // {P.SPREAD} + 1] AS label,
+         CAST(cnt AS DOUBLE) * 100.0 / CAST(size AS DOUBLE) AS percent,
+         size, median_score
+  FROM stats JOIN modes USING (cluster))"""
+
+SQL["cluster_report"] = f"""WITH RECURSIVE {REPORT_CTE}
+SELECT * FROM report ORDER BY median_score, label, size"""
+SQL["cluster_report_lines"] = f"""WITH RECURSIVE {REPORT_CTE}
+SELECT printf('%7d  %-17s (%-5.1f%%)      %7d', median_score, label, percent, size) AS line
+FROM report"""

@@ -11,10 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators import cluster as C
+from strata.operators import postings as PO
 from strata.operators import terms as T
 from strata.operators import timeuse as TU
 from strata.plans import params as P
-from strata.sources.tables import articles_from_documents, read_table, survey_from_events
+from strata.sources.tables import (articles_from_documents, postings_from_tables, read_table,
+                                  survey_from_events)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +90,93 @@ def time_use_grouped_typed(spark, sf_dir):
     return TU.time_use_grouped_typed(TU.time_use_summary_typed(_summary(spark, sf_dir)))
 
 
+# --- questions and answers ---------------------------------------------------
+
+def _postings(spark, sf_dir):
+    return postings_from_tables(read_table(spark, sf_dir, "orders"),
+                                read_table(spark, sf_dir, "lineitem"))
+
+
+def answered_questions(spark, sf_dir):
+    return PO.answered_questions(_postings(spark, sf_dir)).select(
+        "id", "score", "tags", "a_id", "a_score")
+
+
+def nested_answers(spark, sf_dir):
+    nested = PO.nested_answers(_postings(spark, sf_dir), block_size=P.ANSWER_BLOCK)
+    text = F.array_join(F.transform(
+        "pairs", lambda p: F.concat_ws(":", p["answer"]["id"], p["answer"]["score"])), ",")
+    return nested.select("id", "block", "n", text.alias("answers"))
+
+
+def best_answer(spark, sf_dir):
+    return PO.best_answer(_postings(spark, sf_dir))
+
+
+def best_answer_plain(spark, sf_dir):
+    return PO.best_answer_plain(_postings(spark, sf_dir))
+
+
+# --- clustering ------------------------------------------------------------
+
+PARAMS = C.KMeansParams(categories=P.CATEGORIES, spread=P.SPREAD, kernels=P.KERNELS,
+                        eta=P.ETA, max_iterations=P.MAX_ITERATIONS, seed=P.SEED)
+
+
+def _vectors(spark, sf_dir):
+    return PO.category_vectors(PO.best_answer(_postings(spark, sf_dir)), P.CATEGORIES, P.SPREAD)
+
+
+def category_vectors(spark, sf_dir):
+    return _vectors(spark, sf_dir)
+
+
+def weighted_points(spark, sf_dir):
+    return C.weighted_points(_vectors(spark, sf_dir))
+
+
+def seed_points_per_category(spark, sf_dir):
+    return C.seed_points_per_category(_vectors(spark, sf_dir),
+                                      P.KERNELS // len(P.CATEGORIES), P.SEED)
+
+
+def seed_points_global(spark, sf_dir):
+    return C.seed_points_global(_vectors(spark, sf_dir), P.KERNELS, P.SEED)
+
+
+def nearest_center(spark, sf_dir):
+    vectors = _vectors(spark, sf_dir)
+    seeds = C.sample_seeds(vectors, PARAMS)
+    return C.assign(vectors, seeds).select("id", "x", "y", "cluster")
+
+
+def kmeans_step(spark, sf_dir):
+    vectors = _vectors(spark, sf_dir)
+    seeds = C.sample_seeds(vectors, PARAMS)
+    return C.centers_frame(spark, C.kmeans_step(C.weighted_points(vectors), seeds))
+
+
+def _fit(spark, sf_dir):
+    return C.fit(_vectors(spark, sf_dir), PARAMS)
+
+
+def kmeans_centers(spark, sf_dir):
+    return C.centers_frame(spark, _fit(spark, sf_dir).result.centers)
+
+
+def kmeans_history(spark, sf_dir):
+    return C.history_frame(spark, _fit(spark, sf_dir).result)
+
+
+def cluster_report(spark, sf_dir):
+    fitted = _fit(spark, sf_dir)
+    return C.cluster_report(fitted.points, fitted.result.centers, P.CATEGORIES, P.SPREAD)
+
+
+def cluster_report_lines(spark, sf_dir):
+    return C.report_lines(cluster_report(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "term_count": term_count,
     "term_rank": term_rank,
@@ -96,6 +186,20 @@ QUERIES: dict[str, Query] = {
     "posting_lists": posting_lists,
     "rank_from_index": rank_from_index,
     "rank_from_posting_lists": rank_from_posting_lists,
+    "answered_questions": answered_questions,
+    "nested_answers": nested_answers,
+    "best_answer": best_answer,
+    "best_answer_plain": best_answer_plain,
+    "category_vectors": category_vectors,
+    "weighted_points": weighted_points,
+    "seed_points_per_category": seed_points_per_category,
+    "seed_points_global": seed_points_global,
+    "nearest_center": nearest_center,
+    "kmeans_step": kmeans_step,
+    "kmeans_centers": kmeans_centers,
+    "kmeans_history": kmeans_history,
+    "cluster_report": cluster_report,
+    "cluster_report_lines": cluster_report_lines,
     "time_use_summary": time_use_summary,
     "typed_rows": typed_rows,
     "time_use_grouped": time_use_grouped,
