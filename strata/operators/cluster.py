@@ -143,38 +143,40 @@ def sample_seeds(vectors: DataFrame, params: KMeansParams) -> list[Center]:
 
 # --- assignment and update (J2, A8, I2, I3) --------------------------------
 
-def squared_distance(x: Column, y: Column, center: Center) -> Column:
+def squared_distance_sql(x: str, y: str, center: Center) -> str:
     """Squared Euclidean distance as double (the reference's 'euclidean')."""
-    dx = (x - F.lit(center[0])).cast("double")
-    dy = (y - F.lit(center[1])).cast("double")
-    return dx * dx + dy * dy
+    dx = f"CAST(`{x}` - ({int(center[0])}) AS DOUBLE)"
+    dy = f"CAST(`{y}` - ({int(center[1])}) AS DOUBLE)"
+    return f"{dx} * {dx} + {dy} * {dy}"
 
 
-def nearest_center(x: Column, y: Column, centers: Sequence[Center]) -> Column:
+def nearest_center(centers: Sequence[Center], x: str = "x", y: str = "y") -> Column:
     """Index of the closest center; on equal distance the lowest index.
 
-    ``least`` over ``struct(distance, index)`` orders by distance, then
-    index: one code-generated expression, no join, no UDF.
+    ``least`` over ``named_struct(distance, index)`` orders by distance,
+    then index: one code-generated expression, no join, no UDF. It is
+    written as one SQL expression so building it costs one call into the
+    JVM, not one per sub-expression (it is rebuilt every iteration).
     """
     if not centers:
         raise ValueError("no centers")
     if len(centers) == 1:
         return F.lit(0)
-    cands = [F.struct(squared_distance(x, y, c).alias("d"), F.lit(i).alias("i"))
-             for i, c in enumerate(centers)]
-    return F.least(*cands).getField("i")
+    cands = ", ".join(f"named_struct('d', {squared_distance_sql(x, y, c)}, 'i', {i})"
+                      for i, c in enumerate(centers))
+    return F.expr(f"least({cands}).i")
 
 
 def assign(points: DataFrame, centers: Sequence[Center]) -> DataFrame:
-    return points.withColumn("cluster", nearest_center(F.col("x"), F.col("y"), centers))
+    return points.withColumn("cluster", nearest_center(centers))
 
 
 def integer_means(points: DataFrame, centers: Sequence[Center]) -> DataFrame:
     """A8 after J2: ``(cluster, x, y)`` integer means of the non-empty clusters."""
     weighted = assign(points, centers).select("cluster", "x", "y", _weight(points).alias("_w"))
     return weighted.groupBy("cluster").agg(
-        F.expr("sum(x * _w) div sum(_w)").cast("int").alias("x"),
-        F.expr("sum(y * _w) div sum(_w)").cast("int").alias("y"))
+        F.expr("CAST(sum(x * _w) div sum(_w) AS INT) AS x"),
+        F.expr("CAST(sum(y * _w) div sum(_w) AS INT) AS y"))
 
 
 def point_distance(a: Center, b: Center) -> float:

@@ -142,6 +142,7 @@ def time_use_summary_typed(summary: DataFrame) -> DataFrame:
 
 def time_use_grouped_typed(typed: DataFrame) -> DataFrame:
     """A13 over rows checked against ``SUMMARY_SCHEMA``."""
-    if typed.schema != SUMMARY_SCHEMA:
+    if [(f.name, f.dataType) for f in typed.schema.fields] != \
+            [(f.name, f.dataType) for f in SUMMARY_SCHEMA.fields]:
         typed = time_use_summary_typed(typed)
     return time_use_grouped(typed)
