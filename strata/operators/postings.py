@@ -76,7 +76,7 @@ def nested_answers(postings: DataFrame, block_size: int = ANSWER_BLOCK) -> DataF
         F.struct(*POSTING_COLUMNS).alias("question"))
     return joined.groupBy(F.col("id"), block.alias("block")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.array_sort(F.collect_list(pair)).alias("pairs"))
+        F.sort_array(F.collect_list(pair)).alias("pairs"))
 
 
 def best_answer_plain(postings: DataFrame) -> DataFrame:

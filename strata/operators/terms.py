@@ -153,7 +153,7 @@ def posting_lists(index: DataFrame, id_col: str = "doc_id",
     block = F.expr(f"(`{id_col}` - pmod(`{id_col}`, {int(block_size)})) div {int(block_size)}")
     return index.groupBy("term", block.alias("block")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.array_sort(F.collect_list(id_col)).alias("ids"))
+        F.sort_array(F.collect_list(id_col)).alias("ids"))
 
 
 def rank_from_index(index: DataFrame) -> DataFrame:
