@@ -48,7 +48,7 @@ Center = tuple[int, int]
 
 @dataclass(frozen=True)
 class KMeansParams:
-    """Parameters of the clustering pipeline."""
+    """Parameters of the clustering run."""
     categories: tuple[str, ...]
     spread: int = 50000
     kernels: int = 45
@@ -274,7 +274,7 @@ def report_lines(report: DataFrame) -> DataFrame:
         "median_score", "label", "size").orderBy("median_score", "label", "size").select("line")
 
 
-# --- pipeline (E2 from the vectors on) -------------------------------------
+# --- fitting (E2 from the vectors on) -----------------------------------------
 
 @dataclass
 class Clustering:

@@ -7,7 +7,7 @@ the oracle SQL, so both sides always use the same values)."""
 DOC_TERMS = ("the", "The", "and", "of", "la", "de", "der", "und", "Scala")
 COUNT_TERM = "the"
 
-# Categories for the clustering pipeline = order priorities,
+# Categories for clustering = order priorities,
 # in this order; "5-LOW" is left out so that unknown tags are dropped.
 CATEGORIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED")
 
