@@ -11,8 +11,9 @@ Scale notes
   map-side partial aggregate, so a question with a third of all answers, or
   a question row repeated a million times, reaches the join as one row.
   The plain form (join, then group) is kept as the reference semantics.
-* ``nested_answers`` never gathers an unbounded list: pairs are grouped
-  per question *and* per block of answer ids of bounded width.
+* ``nested_answers`` never gathers an unbounded list: answers are grouped
+  per question *and* per block of answer ids of bounded width, below the
+  join, so a hot question spreads over many tasks.
 """
 
 from __future__ import annotations
@@ -61,22 +62,31 @@ def answered_questions(postings: DataFrame) -> DataFrame:
 def nested_answers(postings: DataFrame, block_size: int = ANSWER_BLOCK) -> DataFrame:
     """(question, answer) pairs grouped under the question id.
 
-    Returns ``(id, block, n, pairs)`` where ``pairs`` is an array of
-    ``struct(answer, question)`` sorted by answer, holding the answers whose
-    id lies in ``[block*size, (block+1)*size)``: a bounded group even for a
-    question holding a third of all answers.
+    Returns ``(id, block, n, pairs)``: ``pairs`` is an array of
+    ``struct(answer, question)`` sorted by answer, for the answers whose id
+    lies in ``[block*size, (block+1)*size)`` (at most ``block_size`` distinct
+    answer ids per row).
+
+    Answers are grouped into blocks *before* the join, on (parent, block):
+    a question holding a third of all answers spreads over many tasks, and
+    the join is the last shuffle, so AQE can still split a skewed partition.
+    A question row meets each of its answer blocks once; when several
+    question rows share an id, each gets its own rows with its pairs.
     """
     if block_size <= 0:
         raise ValueError("block_size must be positive")
-    joined = answered_questions(postings)
-    aid = ANSWER_PREFIX + "id"
-    block = F.expr(f"(`{aid}` - pmod(`{aid}`, {int(block_size)})) div {int(block_size)}")
-    pair = F.struct(
-        F.struct(*[F.col(ANSWER_PREFIX + c).alias(c) for c in POSTING_COLUMNS]).alias("answer"),
-        F.struct(*POSTING_COLUMNS).alias("question"))
-    return joined.groupBy(F.col("id"), block.alias("block")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sort_array(F.collect_list(pair)).alias("pairs"))
+    a = answers(postings)
+    block = F.expr(f"(id - pmod(id, {int(block_size)})) div {int(block_size)}")
+    blocks = a.groupBy(F.col("parent_id").alias("_qid"), block.alias("block")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sort_array(F.collect_list(F.struct(*POSTING_COLUMNS))).alias("_answers"))
+    q = questions(postings).select(*POSTING_COLUMNS)
+    joined = q.join(blocks, F.col("id") == F.col("_qid"), "inner")
+    question = F.struct(*POSTING_COLUMNS)
+    return joined.select(
+        "id", "block", F.col("_n").alias("n"),
+        F.transform("_answers", lambda ans: F.struct(ans.alias("answer"),
+                                                     question.alias("question"))).alias("pairs"))
 
 
 def best_answer_plain(postings: DataFrame) -> DataFrame:
