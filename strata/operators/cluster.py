@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from strata.checks import persisted
 from strata.config import ensure_checkpoint_dir
+from strata.sources.memory import local_relation
 
 # Below this spread the categories overlap and seeds are drawn globally.
 GLOBAL_SAMPLE_SPREAD = 500
@@ -226,13 +227,13 @@ def kmeans(points: DataFrame, seeds: Sequence[Center], eta: float = 20.0,
 
 
 def centers_frame(spark: SparkSession, centers: Sequence[Center]) -> DataFrame:
-    return spark.createDataFrame([(i, int(x), int(y)) for i, (x, y) in enumerate(centers)],
-                                 "cluster int, x bigint, y bigint")
+    return local_relation(spark, [(i, int(x), int(y)) for i, (x, y) in enumerate(centers)],
+                          "cluster int, x bigint, y bigint")
 
 
 def history_frame(spark: SparkSession, result: KMeansResult) -> DataFrame:
-    return spark.createDataFrame(
-        result.history,
+    return local_relation(
+        spark, result.history,
         "iter int, cluster int, old_x bigint, old_y bigint, new_x bigint, new_y bigint, "
         "dist double")
 

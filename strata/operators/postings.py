@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.sources.memory import local_relation
+
 POSTING_COLUMNS = ("posting_type", "id", "accepted_answer", "parent_id", "score", "tags")
 QUESTION, ANSWER = 1, 2
 ANSWER_PREFIX = "a_"
@@ -136,8 +138,9 @@ def category_vectors(scored: DataFrame, categories: Sequence[str], spread: int,
                                 category_index(tags, categories).alias("_cat"),
                                 F.col(score).alias("_y"))
     else:
-        relation = scored.sparkSession.createDataFrame(
-            list(zip(categories, range(len(categories)))), "_tag string, _cat int")
+        relation = local_relation(scored.sparkSession,
+                                  list(zip(categories, range(len(categories)))),
+                                  "_tag string, _cat int")
         indexed = scored.join(F.broadcast(relation), F.col(tags) == F.col("_tag")) \
             .select(F.col(id_col).alias("id"), "_cat", F.col(score).alias("_y"))
     return indexed.where(F.col("_cat").isNotNull()).select(

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.text import contains_token, matched_terms, tokens
+from strata.sources.memory import local_relation
 
 # Up to this many terms the list is inlined as a literal array and matched
 # per row with a hash set; longer lists are joined as a relation instead.
@@ -29,7 +30,7 @@ LITERAL_TERMS_MAX = 64
 # A term relation up to this many rows is broadcast (its size is the
 # length of the caller's Python list, known on the driver); beyond it the
 # join shuffles and AQE may still pick a broadcast at run time.
-BROADCAST_TERMS_MAX = 2_000_000
+BROADCAST_TERMS_MAX = 1_000_000
 # Default width of the id range of one posting-list block.
 POSTING_BLOCK = 1024
 
@@ -46,8 +47,7 @@ def _check_terms(terms: Sequence[str]) -> list[str]:
 def term_frame(spark: SparkSession, terms: Sequence[str]) -> DataFrame:
     """``(term string, pos int)``: the term list with its positions."""
     terms = _check_terms(terms)
-    return spark.createDataFrame(list(zip(terms, range(len(terms)))),
-                                 "term string, pos int")
+    return local_relation(spark, list(zip(terms, range(len(terms)))), "term string, pos int")
 
 
 def _bounded_broadcast(frame: DataFrame, rows: int) -> DataFrame:
@@ -110,7 +110,7 @@ def rank_terms_all(articles: DataFrame, terms: Sequence[str], text: str = "text"
     counts = matching_terms(articles, terms, text).groupBy("term") \
         .agg(F.count(F.lit(1)).alias("n"))
     relation = term_frame(articles.sparkSession, terms).select("term")
-    ranked = relation.join(counts, "term", "left") \
+    ranked = _bounded_broadcast(relation, len(terms)).join(counts, "term", "left") \
         .select("term", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
     return rank_order(ranked)
 

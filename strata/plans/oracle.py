@@ -50,6 +50,19 @@ ORDER BY n DESC, t.term
 
 SQL["term_rank_per_term"] = SQL["term_rank_all"]
 
+# every two-letter lowercase word, with the document count of each
+SQL["term_rank_vocabulary"] = """
+WITH letters AS (SELECT chr(CAST(97 + i AS INTEGER)) AS c FROM range(26) t(i)),
+vocab AS (SELECT a.c || b.c AS term FROM letters a CROSS JOIN letters b),
+toks AS (SELECT DISTINCT doc_id_row, tok FROM (
+           SELECT row_number() OVER () AS doc_id_row, unnest(string_split(text, ' ')) AS tok
+           FROM documents)),
+counts AS (SELECT tok AS term, count(*) AS n FROM toks GROUP BY tok)
+SELECT v.term, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM vocab v LEFT JOIN counts c USING (term)
+ORDER BY n DESC, v.term
+"""
+
 SQL["inverted_index"] = f"""
 WITH {TERMS_CTE}
 SELECT t.term, d.doc_id

@@ -7,6 +7,16 @@ the oracle SQL, so both sides always use the same values)."""
 DOC_TERMS = ("the", "The", "and", "of", "la", "de", "der", "und", "Scala")
 COUNT_TERM = "the"
 
+
+def two_letter_words() -> tuple[str, ...]:
+    """A large vocabulary built by rule: every two-letter lowercase word
+    ("aa" .. "zz", 676 terms), long enough to take the join path."""
+    letters = [chr(c) for c in range(ord("a"), ord("z") + 1)]
+    return tuple(a + b for a in letters for b in letters)
+
+
+VOCABULARY = two_letter_words()
+
 # Categories for clustering = order priorities,
 # in this order; "5-LOW" is left out so that unknown tags are dropped.
 CATEGORIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED")

@@ -40,6 +40,11 @@ def term_rank_all(spark, sf_dir):
     return T.rank_terms_all(_articles(spark, sf_dir), P.DOC_TERMS)
 
 
+def term_rank_vocabulary(spark, sf_dir):
+    """A2 over a 676-term vocabulary: distinct tokens joined to the terms."""
+    return T.rank_terms_all(_articles(spark, sf_dir), P.VOCABULARY)
+
+
 def term_rank_per_term(spark, sf_dir):
     return T.rank_terms_per_term(_articles(spark, sf_dir), P.DOC_TERMS)
 
@@ -182,6 +187,7 @@ QUERIES: dict[str, Query] = {
     "term_rank": term_rank,
     "term_rank_all": term_rank_all,
     "term_rank_per_term": term_rank_per_term,
+    "term_rank_vocabulary": term_rank_vocabulary,
     "inverted_index": inverted_index,
     "posting_lists": posting_lists,
     "rank_from_index": rank_from_index,

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.cluster import REPORT_FORMAT, REPORT_HEADER
+from strata.sources.memory import local_relation
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
@@ -34,8 +35,8 @@ def write_report(report: DataFrame, path: str) -> None:
     """K2 to a text file: the report has one row per cluster (k rows), so it
     is written as one ordered file."""
     spark = report.sparkSession
-    header = spark.createDataFrame([(i, h) for i, h in enumerate(REPORT_HEADER)],
-                                   "pos int, line string")
+    header = local_relation(spark, [(i, h) for i, h in enumerate(REPORT_HEADER)],
+                            "pos int, line string")
     body = report.select(
         F.lit(len(REPORT_HEADER)).alias("pos"), "median_score", "label", "size",
         F.format_string(REPORT_FORMAT, "median_score", "label", "percent", "size").alias("line"))

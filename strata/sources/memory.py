@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DataType, StructType
 
 ARTICLE_SCHEMA = "title string, text string"
 
 
+def local_relation(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
+    """A small driver-side relation as a ``LocalRelation``.
+
+    Built through Arrow from pandas, so the plan holds the rows with exact
+    size statistics (a broadcast decision can be checked) and no Python
+    worker is needed to read them, unlike a DataFrame over a parallelized
+    Python list. The caller bounds the number of rows.
+    """
+    struct = DataType.fromDDL(schema) if isinstance(schema, str) else schema
+    names = [f.name for f in struct.fields]
+    frame = pd.DataFrame.from_records(list(rows), columns=names)
+    return spark.createDataFrame(frame, struct)
+
+
 def from_rows(spark: SparkSession, rows: Iterable, schema: str) -> DataFrame:
     return spark.createDataFrame(list(rows), schema)
 
@@ -17,5 +33,5 @@ def articles(spark: SparkSession, pairs: Iterable[tuple[str, str]],
              id_col: str | None = "doc_id") -> DataFrame:
     """``(title, text)`` pairs, with a 0-based id in input order."""
     rows = [(i, t, x) for i, (t, x) in enumerate(pairs)]
-    df = spark.createDataFrame(rows, f"{id_col or '_id'} bigint, {ARTICLE_SCHEMA}")
+    df = local_relation(spark, rows, f"{id_col or '_id'} bigint, {ARTICLE_SCHEMA}")
     return df if id_col else df.drop("_id")
