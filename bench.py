@@ -41,6 +41,7 @@ HEADLINE = {
     "term_rank": Q.term_rank,
     "term_rank_all": Q.term_rank_all,
     "term_rank_per_term": Q.term_rank_per_term,
+    "term_rank_vocabulary": Q.term_rank_vocabulary,
     "rank_from_index": Q.rank_from_index,
     "posting_lists": Q.posting_lists,
     "answered_questions": Q.answered_questions,
