@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from strata.checks import persisted
 from strata.config import ensure_checkpoint_dir
+from strata.functions.ordering import sort_bounded
 from strata.sources.memory import local_relation
 
 # Below this spread the categories overlap and seeds are drawn globally.
@@ -134,7 +135,7 @@ def sample_seeds(vectors: DataFrame, params: KMeansParams) -> list[Center]:
     if k % ncat:
         raise ValueError("kernels must be a multiple of the number of categories")
     per = k // ncat
-    rows = seed_points_per_category(vectors, per, params.seed).orderBy("x", "rank").collect()
+    rows = sort_bounded(seed_points_per_category(vectors, per, params.seed), "x", "rank").collect()
     found = [sum(1 for r in rows if r["x"] == i * params.spread) for i in range(ncat)]
     short = [params.categories[i] for i in range(ncat) if found[i] < per]
     if short or len(rows) != k:
@@ -265,14 +266,15 @@ def cluster_report(points: DataFrame, centers: Sequence[Center],
         (F.col("_m._cnt") * 100.0 / F.col("size")).alias("percent"),
         F.col("size").cast("bigint").alias("size"),
         "median_score")
-    return report.orderBy("median_score", "label", "size")
+    return sort_bounded(report, "median_score", "label", "size")
 
 
 def report_lines(report: DataFrame) -> DataFrame:
     """K2: one formatted ``line`` per cluster, in report order."""
-    return report.select(
+    lines = report.select(
         F.format_string(REPORT_FORMAT, "median_score", "label", "percent", "size").alias("line"),
-        "median_score", "label", "size").orderBy("median_score", "label", "size").select("line")
+        "median_score", "label", "size")
+    return sort_bounded(lines, "median_score", "label", "size").select("line")
 
 
 # --- fitting (E2 from the vectors on) -----------------------------------------

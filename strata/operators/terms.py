@@ -21,6 +21,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.ordering import sort_bounded
 from strata.functions.text import contains_token, matched_terms, tokens
 from strata.sources.memory import local_relation
 
@@ -79,8 +80,12 @@ def matching_terms(articles: DataFrame, terms: Sequence[str], text: str = "text"
 
 
 def rank_order(ranking: DataFrame) -> DataFrame:
-    """O1: descending count; ties broken by ascending term (a total order)."""
-    return ranking.orderBy(F.desc("n"), F.asc("term"))
+    """O1: descending count; ties broken by ascending term (a total order).
+
+    A ranking has at most one row per listed term, so it is sorted in one
+    partition (no range-partition sampling job).
+    """
+    return sort_bounded(ranking, F.desc("n"), F.asc("term"))
 
 
 def rank_terms(articles: DataFrame, terms: Sequence[str], text: str = "text") -> DataFrame:
@@ -109,8 +114,10 @@ def rank_terms_all(articles: DataFrame, terms: Sequence[str], text: str = "text"
         return rank_order(counts.select(F.inline(rows)))
     counts = matching_terms(articles, terms, text).groupBy("term") \
         .agg(F.count(F.lit(1)).alias("n"))
+    # the term list is the preserved side of the outer join, so the counts
+    # (at most one row per listed term: the same bound) are the side built
     relation = term_frame(articles.sparkSession, terms).select("term")
-    ranked = _bounded_broadcast(relation, len(terms)).join(counts, "term", "left") \
+    ranked = relation.join(_bounded_broadcast(counts, len(terms)), "term", "left") \
         .select("term", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
     return rank_order(ranked)
 

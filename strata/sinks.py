@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.ordering import sort_bounded
 from strata.operators.cluster import REPORT_FORMAT, REPORT_HEADER
 from strata.sources.memory import local_relation
 
@@ -27,8 +28,9 @@ def report_text(report: DataFrame) -> list[str]:
     """K2: header, rule and one formatted line per cluster, in report order."""
     lines = report.select(
         F.format_string(REPORT_FORMAT, "median_score", "label", "percent", "size").alias("line"),
-        "median_score", "label", "size").orderBy("median_score", "label", "size")
-    return list(REPORT_HEADER) + [r["line"] for r in lines.collect()]
+        "median_score", "label", "size")
+    ordered = sort_bounded(lines, "median_score", "label", "size")
+    return list(REPORT_HEADER) + [r["line"] for r in ordered.collect()]
 
 
 def write_report(report: DataFrame, path: str) -> None:
@@ -43,8 +45,9 @@ def write_report(report: DataFrame, path: str) -> None:
     ordered = header.select("pos", F.lit(None).cast("int").alias("median_score"),
                             F.lit(None).cast("string").alias("label"),
                             F.lit(None).cast("bigint").alias("size"), "line") \
-        .unionByName(body).orderBy("pos", "median_score", "label", "size")
-    ordered.coalesce(1).select("line").write.mode("overwrite").text(path)
+        .unionByName(body)
+    sort_bounded(ordered, "pos", "median_score", "label", "size").select("line") \
+        .write.mode("overwrite").text(path)
 
 
 def sql_on(df: DataFrame, query: str, name: str = "t") -> DataFrame:
