@@ -36,8 +36,13 @@ def summarize(text: str) -> dict:
                        r"(?:PushedFilters: (\[.*?\])\n)?ReadSchema: (struct<.*?>)", text)
     joins = re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin"
                        r"|CartesianProduct)", tree)
+    named = [f"{t}: {schema}" + (f" pushed {pf}" if pf else "") for t, pf, schema in scans]
+    if "Scan ExistingRDD" in tree:
+        named.append("checkpointed points")
+    if "LocalTableScan" in tree:
+        named.append("driver rows (bounded list)")
     return {
-        "scans": [f"{t}: {schema}" + (f" pushed {pf}" if pf else "") for t, pf, schema in scans],
+        "scans": named,
         "exchanges": tree.count("Exchange") - tree.count("BroadcastExchange"),
         "broadcasts": tree.count("BroadcastExchange"),
         "joins": sorted(set(joins)),
@@ -64,7 +69,7 @@ def main() -> None:
         s = summarize(formatted(query(spark, args.sf_dir)))
         other = [x for x, on in (("WindowGroupLimit", s["window_limit"]),
                                  ("top-k", s["top_k"]), ("PYTHON", s["python"])) if on]
-        print(f"| {name} | {'<br>'.join(s['scans']) or 'local (driver rows)'} | {s['exchanges']} | "
+        print(f"| {name} | {'<br>'.join(s['scans'])} | {s['exchanges']} | "
               f"{s['broadcasts']} | {', '.join(s['joins']) or '-'} | "
               f"{', '.join(s['aggregates']) or '-'} | {', '.join(other) or '-'} |")
     spark.stop()
