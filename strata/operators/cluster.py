@@ -274,7 +274,9 @@ def report_lines(report: DataFrame) -> DataFrame:
     lines = report.select(
         F.format_string(REPORT_FORMAT, "median_score", "label", "percent", "size").alias("line"),
         "median_score", "label", "size")
-    return sort_bounded(lines, "median_score", "label", "size").select("line")
+    # a report from cluster_report is already in one partition, which
+    # satisfies this ordering without another exchange
+    return lines.orderBy("median_score", "label", "size").select("line")
 
 
 # --- fitting (E2 from the vectors on) -----------------------------------------
