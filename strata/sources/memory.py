@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DataType, StructType
 
 ARTICLE_SCHEMA = "title string, text string"
@@ -14,15 +15,17 @@ ARTICLE_SCHEMA = "title string, text string"
 def local_relation(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
     """A small driver-side relation as a ``LocalRelation``.
 
-    Built through Arrow from pandas, so the plan holds the rows with exact
-    size statistics (a broadcast decision can be checked) and no Python
-    worker is needed to read them, unlike a DataFrame over a parallelized
-    Python list. The caller bounds the number of rows.
+    Built from an Arrow table, so the plan holds the rows with exact size
+    statistics (a broadcast decision can be checked) and no Python worker
+    reads them, whatever the session's Arrow setting; a DataFrame over a
+    parallelized Python list has neither. The caller bounds the rows.
     """
     struct = DataType.fromDDL(schema) if isinstance(schema, str) else schema
-    names = [f.name for f in struct.fields]
-    frame = pd.DataFrame.from_records(list(rows), columns=names)
-    return spark.createDataFrame(frame, struct)
+    arrow_schema = to_arrow_schema(struct)
+    rows = list(rows)
+    columns = [pa.array([r[i] for r in rows], type=field.type)
+               for i, field in enumerate(arrow_schema)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow_schema)).to(struct)
 
 
 def from_rows(spark: SparkSession, rows: Iterable, schema: str) -> DataFrame:
