@@ -38,13 +38,15 @@ def check_not_null(df: DataFrame, columns: Sequence[str] | None = None) -> None:
 
 
 def guard_not_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Lazy form of ``check_not_null``: the query fails when it reads a null
-    in one of ``columns``; no extra pass, and pruned columns cost nothing."""
-    guarded = set(columns or df.columns)
-    return df.select(*[
-        F.when(F.col(c).isNull(), F.raise_error(F.lit(f"null value in non-null column {c}")))
-        .otherwise(F.col(c)).alias(c) if c in guarded else F.col(c)
-        for c in df.columns])
+    """Lazy form of ``check_not_null``: the query fails when it reads a row
+    with a null in one of ``columns``. It is a filter, so it holds whatever
+    columns the caller selects later, at no extra pass over the data."""
+    cols = list(columns or df.columns)
+    if not cols:
+        return df
+    first_null = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(c)) for c in cols])
+    return df.where(F.when(first_null.isNull(), F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("null value in non-null column "), first_null))))
 
 
 def check_schema(df: DataFrame, schema: StructType) -> None:

@@ -49,9 +49,9 @@ def parse_postings(lines: DataFrame, value: str = "value", strict: bool = True):
           & ((F.col("_f3") == "") | F.col("parent_id").isNotNull()))
     cols = ["posting_type", "id", "accepted_answer", "parent_id", "score", "tags"]
     if strict:
+        # a filter, not a column: the check runs whatever columns are selected
         bad = F.raise_error(F.concat(F.lit("malformed posting line: "), F.col(value)))
-        return typed.select(F.when(ok, F.col("posting_type")).otherwise(bad)
-                            .cast("int").alias("posting_type"), *cols[1:])
+        return typed.where(F.when(ok, F.lit(True)).otherwise(bad)).select(*cols)
     return typed.where(ok).select(*cols), typed.where(~ok).select(F.col(value).alias("line"))
 
 

@@ -48,6 +48,8 @@ def test_malformed_article_lines(spark, scratch):
                              "<p></title><text>short"])
     with pytest.raises(Exception, match="malformed article line"):
         read_articles(spark, scratch).collect()
+    with pytest.raises(Exception, match="malformed article line"):
+        read_articles(spark, scratch).select("text").collect()
     good, rejects = read_articles(spark, scratch, strict=False)
     assert [r["title"] for r in good.collect()] == ["ok"]
     assert rejects.count() == 2
@@ -78,6 +80,8 @@ def test_malformed_postings(spark, scratch):
     write(scratch, "p.csv", SAMPLE + ["1,x,,,5,C#", "2,13"])
     with pytest.raises(Exception, match="malformed posting line"):
         read_postings(spark, scratch).collect()
+    with pytest.raises(Exception, match="malformed posting line"):
+        read_postings(spark, scratch).select("tags").collect()
     good, rejects = read_postings(spark, scratch, strict=False)
     assert good.count() == 5
     assert sorted(r["line"] for r in rejects.collect()) == ["1,x,,,5,C#", "2,13"]
