@@ -7,9 +7,12 @@ schema derived from the header, so column pruning reaches the file scan.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from strata.checks import guard_not_null
@@ -39,20 +42,34 @@ def survey_schema(columns: Sequence[str]) -> StructType:
                       + [StructField(c, DoubleType(), False) for c in columns[1:]])
 
 
-def read_survey(spark: SparkSession, path: str, strict: bool = True) -> tuple[list[str], DataFrame]:
-    """S3 + S5: ``(columns, DataFrame)``.
+def read_survey(spark: SparkSession, path: str, strict: bool = True):
+    """S3 + S5.
 
-    Every file's header line is dropped and checked against the schema
-    (``enforceSchema=false``), so files with a different header are an
-    error instead of silent data. strict: a bad number fails the query
-    (FAILFAST) and so does an empty field; otherwise malformed rows are
-    dropped (DROPMALFORMED).
+    strict -> ``(columns, DataFrame)``: every file's header line is dropped
+    and checked against the schema (``enforceSchema=false``), so files with
+    another header are an error instead of silent data; a bad number fails
+    the query (FAILFAST) and so does an empty field.
+
+    lenient -> ``(columns, DataFrame, rejects)``: lines that do not parse
+    (wrong field count, a bad or empty number, another header) come back in
+    ``rejects`` instead of failing the query; nothing is dropped silently.
     """
     columns = header_columns(spark, path)
-    reader = (spark.read.schema(survey_schema(columns))
-              .option("header", True)
-              .option("enforceSchema", False)
-              .option("quote", "")
-              .option("mode", "FAILFAST" if strict else "DROPMALFORMED"))
-    df = reader.csv(path)
-    return columns, (guard_not_null(df) if strict else df)
+    schema = survey_schema(columns)
+    if strict:
+        reader = (spark.read.schema(schema)
+                  .option("header", True)
+                  .option("enforceSchema", False)
+                  .option("quote", "")
+                  .option("mode", "FAILFAST"))
+        return columns, guard_not_null(reader.csv(path))
+    lines = spark.read.text(path).where(F.col("value") != ",".join(columns))
+    fields = F.split(F.col("value"), ",", -1)
+    typed = lines.select(
+        "value", F.size(fields).alias("_n"),
+        F.get(fields, 0).alias(columns[0]),
+        *[F.get(fields, i).try_cast("double").alias(c) for i, c in enumerate(columns) if i])
+    ok = reduce(operator.and_, [F.col(c).isNotNull() for c in columns],
+                F.col("_n") == len(columns))
+    return (columns, typed.where(ok).select(*columns),
+            typed.where(~ok).select(F.col("value").alias("line")))

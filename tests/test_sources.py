@@ -103,6 +103,17 @@ def test_read_survey(spark, scratch):
         [("not working", "elder", 0.0, 1.0), ("working", "young", 1.0, 2.0)]
 
 
+def test_survey_lenient_returns_rejects(spark, scratch):
+    write(scratch, "s1.csv", [HEADER, "a,1,1,20,60,120,30", "b,1,1,20,60,x,30", "c,1,1,20,60,,30"])
+    write(scratch, "s2.csv", [HEADER, "d,3,2,60,0,60,0", "e,3,2"])
+    cols, good, rejects = read_survey(spark, scratch, strict=False)
+    assert cols == HEADER.split(",")
+    assert sorted(r[cols[0]] for r in good.collect()) == ["a", "d"]
+    assert sorted(r["line"] for r in rejects.collect()) == \
+        ["b,1,1,20,60,x,30", "c,1,1,20,60,,30", "e,3,2"]
+    assert [f.dataType.simpleString() for f in good.schema.fields] == ["string"] + ["double"] * 6
+
+
 def test_survey_schema():
     s = survey_schema(["k", "a", "b"])
     assert [f.dataType.simpleString() for f in s.fields] == ["string", "double", "double"]
