@@ -83,3 +83,43 @@ def test_assignment_and_means_match_brute_force(spark, pts, centers):
         want[c] = (tdiv(sum(p[0] for p in g), len(g)), tdiv(sum(p[1] for p in g), len(g)))
     assert C.kmeans_step(df, centers) == want
     assert C.kmeans_step(C.weighted_points(df), centers) == want
+
+
+# --- S2 line parsing ----------------------------------------------------------
+
+FIELDS = ["1", "2", "10", "-3", "0", "", "x", "1.5", "3000000000", "C#", 'Ja"va']
+lines = st.lists(st.sampled_from(FIELDS), min_size=1, max_size=8).map(",".join)
+
+
+def reference_parse(line):
+    """The reference's parse: Java split (trailing empty fields dropped),
+    then strict integer parsing; None when it would throw."""
+    arr = line.split(",")
+    while len(arr) > 1 and arr[-1] == "":
+        arr.pop()
+
+    def to_int(s):
+        if not s.lstrip("-").isdigit() or not -2**31 <= int(s) < 2**31:
+            raise ValueError(s)
+        return int(s)
+
+    try:
+        return (to_int(arr[0]), to_int(arr[1]),
+                None if arr[2] == "" else to_int(arr[2]),
+                None if arr[3] == "" else to_int(arr[3]),
+                to_int(arr[4]), arr[5] if len(arr) >= 6 else None)
+    except (IndexError, ValueError):
+        return None
+
+
+@SETTINGS
+@given(st.lists(lines, min_size=1, max_size=25))
+def test_postings_parser_matches_reference_parse(spark, raw):
+    from strata.sources.postings import parse_postings
+    df = local_relation(spark, [(v,) for v in raw], "value string")
+    good, rejects = parse_postings(df, strict=False)
+    want = [reference_parse(v) for v in raw]
+    assert sorted(map(tuple, good.collect()), key=repr) == \
+        sorted((w for w in want if w is not None), key=repr)
+    assert sorted(r["line"] for r in rejects.collect()) == \
+        sorted(v for v, w in zip(raw, want) if w is None)
