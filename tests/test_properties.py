@@ -123,3 +123,32 @@ def test_postings_parser_matches_reference_parse(spark, raw):
         sorted((w for w in want if w is not None), key=repr)
     assert sorted(r["line"] for r in rejects.collect()) == \
         sorted(v for v, w in zip(raw, want) if w is None)
+
+
+# --- S1 line parsing ----------------------------------------------------------
+
+SEP = "</title><text>"
+pieces = st.sampled_from(["a", "Java", " ", "<p>", SEP, "x" * 14, "</text></page>", "\t"])
+article_lines = st.lists(pieces, max_size=10).map("".join)
+
+
+def reference_article(line):
+    """title = chars 14 up to the separator, text = after it up to 16
+    chars before the end; None where the reference would throw."""
+    i = line.find(SEP)
+    start, end = i + len(SEP), len(line) - 16
+    if i < 14 or end < start:
+        return None
+    return line[14:i], line[start:end]
+
+
+@SETTINGS
+@given(st.lists(article_lines, min_size=1, max_size=25))
+def test_article_parser_matches_reference_parse(spark, raw):
+    from strata.sources.articles import parse_articles
+    df = local_relation(spark, [(v,) for v in raw], "value string")
+    good, rejects = parse_articles(df, strict=False)
+    want = [reference_article(v) for v in raw]
+    assert sorted(map(tuple, good.collect())) == sorted(w for w in want if w is not None)
+    assert sorted(r["line"] for r in rejects.collect()) == \
+        sorted(v for v, w in zip(raw, want) if w is None)
