@@ -62,14 +62,14 @@ def count_term(articles: DataFrame, term: str, text: str = "text") -> DataFrame:
 
 
 def matching_terms(articles: DataFrame, terms: Sequence[str], text: str = "text",
-                   id_col: str | None = None) -> DataFrame:
-    """One row per (article, matching term) -> ``([id_col,] term)``.
+                   id_col: str | None = None, payload: Sequence[str] = ()) -> DataFrame:
+    """One row per (article, matching term) -> ``([id_col,] [payload,] term)``.
 
     Short lists: ``explode(array_intersect(tokens, literal))``, a single
     narrow stage. Long lists: distinct tokens joined to the term relation.
     """
     terms = _check_terms(terms)
-    keep = [id_col] if id_col else []
+    keep = ([id_col] if id_col else []) + list(payload)
     if len(terms) <= LITERAL_TERMS_MAX:
         return articles.select(*keep, F.explode(matched_terms(text, terms)).alias("term"))
     distinct_tokens = articles.select(
@@ -134,13 +134,16 @@ def rank_terms_per_term(articles: DataFrame, terms: Sequence[str], text: str = "
 
 
 def inverted_index(articles: DataFrame, terms: Sequence[str], text: str = "text",
-                   id_col: str = "doc_id") -> DataFrame:
-    """A3 (long form): ``(term, id_col)`` for every article holding the term.
+                   id_col: str = "doc_id", payload: Sequence[str] = ()) -> DataFrame:
+    """A3 (long form): ``(term, id_col, *payload)`` for every article
+    holding the term; absent terms are absent.
 
-    No payload travels with the index; ``index_articles`` joins the article
-    columns back when they are wanted. Absent terms are absent.
+    ``payload`` article columns ride along through the explode (narrow, no
+    join, no shuffle). For an index stored apart from its articles,
+    ``index_articles`` joins them back by id.
     """
-    return matching_terms(articles, terms, text, id_col).select("term", id_col)
+    return matching_terms(articles, terms, text, id_col, payload) \
+        .select("term", id_col, *payload)
 
 
 def index_articles(index: DataFrame, articles: DataFrame, id_col: str = "doc_id") -> DataFrame:

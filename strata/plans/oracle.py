@@ -69,6 +69,12 @@ SELECT t.term, d.doc_id
 FROM documents d JOIN terms t ON {HAS_TERM}
 """
 
+SQL["indexed_articles"] = f"""
+WITH {TERMS_CTE}
+SELECT d.doc_id, t.term, d.lang, d.source, d.n_chars
+FROM documents d JOIN terms t ON {HAS_TERM}
+"""
+
 SQL["posting_lists"] = f"""
 WITH {TERMS_CTE},
 idx AS (SELECT t.term, d.doc_id FROM documents d JOIN terms t ON {HAS_TERM})

@@ -53,6 +53,12 @@ def inverted_index(spark, sf_dir):
     return T.inverted_index(_articles(spark, sf_dir), P.DOC_TERMS)
 
 
+def indexed_articles(spark, sf_dir):
+    """A3 with its payload: the index joined back to the article columns."""
+    return T.inverted_index(read_table(spark, sf_dir, "documents"), P.DOC_TERMS,
+                            payload=("lang", "source", "n_chars"))
+
+
 def posting_lists(spark, sf_dir):
     lists = T.posting_lists(T.inverted_index(_articles(spark, sf_dir), P.DOC_TERMS),
                             block_size=P.POSTING_BLOCK)
@@ -189,6 +195,7 @@ QUERIES: dict[str, Query] = {
     "term_rank_per_term": term_rank_per_term,
     "term_rank_vocabulary": term_rank_vocabulary,
     "inverted_index": inverted_index,
+    "indexed_articles": indexed_articles,
     "posting_lists": posting_lists,
     "rank_from_index": rank_from_index,
     "rank_from_posting_lists": rank_from_posting_lists,
