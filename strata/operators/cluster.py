@@ -14,10 +14,11 @@ Semantics kept from the reference
   or after ``max_iterations`` updates, and returns the *new* centers.
 
 Scale notes
-* ``weighted_points`` compacts the raw vectors once (map-side partial
-  aggregate) and is checkpointed to the session's reliable checkpoint
-  folder, so each iteration scans distinct points, not rows, and a lost
-  executor never sends the loop back to the source tables.
+* ``fit`` checkpoints the raw vectors once (reliable, in the session's
+  checkpoint folder); ``weighted_points`` compacts them (map-side partial
+  aggregate) and is checkpointed too, so each iteration scans distinct
+  points, not rows, and a lost executor never sends the loop back to the
+  source tables.
 * One iteration is one job: assign + partial aggregate, at most k rows
   per task through the shuffle and k rows back to the driver.
 * Seeding keeps the k lowest hash keys per category with a window group
@@ -33,7 +34,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.checks import persisted
 from strata.config import ensure_checkpoint_dir
 from strata.functions.ordering import sort_bounded
 from strata.sources.memory import local_relation
@@ -291,11 +291,15 @@ class Clustering:
 def fit(vectors: DataFrame, params: KMeansParams) -> Clustering:
     """Seeds, compact reliable points and the k-means loop.
 
-    The raw vectors are read twice (seeding, compaction) while pinned; the
-    compact points are checkpointed before the loop starts.
+    The raw vectors (the output of the question/answer join) are written
+    once as a reliable checkpoint: seeding and compaction read them without
+    re-running the join, a lost executor does not send them back to the
+    source tables, and adaptive execution sizes their partitions (a cached
+    plan would keep every shuffle partition of its last stage, however
+    small). The compact points are checkpointed before the loop starts.
     """
-    with persisted(vectors.select("id", "x", "y")) as v:
-        seeds = sample_seeds(v, params)
-        points = reliable(weighted_points(v))
+    raw = reliable(vectors.select("id", "x", "y"))
+    seeds = sample_seeds(raw, params)
+    points = reliable(weighted_points(raw))
     result = kmeans(points, seeds, params.eta, params.max_iterations)
     return Clustering(points, seeds, result)
