@@ -111,7 +111,9 @@ def rank_terms_all(articles: DataFrame, terms: Sequence[str], text: str = "text"
                            for i, t in enumerate(terms)])
         rows = F.array(*[F.struct(F.lit(t).alias("term"), F.col(f"_n{i}").alias("n"))
                          for i, t in enumerate(terms)])
-        return rank_order(counts.select(F.inline(rows)))
+        # the global aggregate already yields one partition, which satisfies
+        # the ordering directly (no exchange)
+        return counts.select(F.inline(rows)).orderBy(F.desc("n"), F.asc("term"))
     counts = matching_terms(articles, terms, text).groupBy("term") \
         .agg(F.count(F.lit(1)).alias("n"))
     # the term list is the preserved side of the outer join, so the counts
