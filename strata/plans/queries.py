@@ -54,7 +54,7 @@ def inverted_index(spark, sf_dir):
 
 
 def indexed_articles(spark, sf_dir):
-    """A3 with its payload: the index joined back to the article columns."""
+    """A3 with its payload: article columns carried through the explode."""
     return T.inverted_index(read_table(spark, sf_dir, "documents"), P.DOC_TERMS,
                             payload=("lang", "source", "n_chars"))
 
