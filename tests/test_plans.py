@@ -76,3 +76,22 @@ def test_eager_queries_have_python_free_plans(spark):
     for k in ("nearest_center", "cluster_report"):
         text = plan(qs[k](spark, SF))
         assert not any(n in text for n in PYTHON_NODES), k
+
+
+def test_zero_keeping_join_broadcasts_the_bounded_side(plans):
+    tree = plans["term_rank_vocabulary"].split("\n\n")[0]
+    assert "SortMergeJoin" not in tree and tree.count("BroadcastHashJoin") == 2
+    assert "LocalTableScan" in tree and "Scan ExistingRDD" not in tree
+
+
+def test_bounded_results_sort_without_sampling(plans):
+    for k in ("term_rank", "rank_from_index", "time_use_grouped", "term_rank_vocabulary"):
+        tree = plans[k].split("\n\n")[0]
+        assert "rangepartitioning" not in tree, k
+    single_pass = plans["term_rank_all"].split("\n\n")[0]
+    assert single_pass.count("Exchange") == 1      # the global aggregate's only
+
+
+def test_index_payload_is_narrow(plans):
+    tree = plans["indexed_articles"].split("\n\n")[0]
+    assert "Exchange" not in tree and "Join" not in tree
