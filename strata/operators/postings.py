@@ -23,6 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.ordering import id_block
 from strata.sources.memory import local_relation
 
 POSTING_COLUMNS = ("posting_type", "id", "accepted_answer", "parent_id", "score", "tags")
@@ -75,10 +76,8 @@ def nested_answers(postings: DataFrame, block_size: int = ANSWER_BLOCK) -> DataF
     A question row meets each of its answer blocks once; when several
     question rows share an id, each gets its own rows with its pairs.
     """
-    if block_size <= 0:
-        raise ValueError("block_size must be positive")
     a = answers(postings)
-    block = F.expr(f"(id - pmod(id, {int(block_size)})) div {int(block_size)}")
+    block = id_block(a, "id", block_size)
     blocks = a.groupBy(F.col("parent_id").alias("_qid"), block.alias("block")).agg(
         F.count(F.lit(1)).alias("_n"),
         F.sort_array(F.collect_list(F.struct(*POSTING_COLUMNS))).alias("_answers"))

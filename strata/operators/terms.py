@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.ordering import sort_bounded
+from strata.functions.ordering import id_block, sort_bounded
 from strata.functions.text import contains_token, matched_terms, tokens
 from strata.sources.memory import local_relation
 
@@ -161,10 +161,7 @@ def posting_lists(index: DataFrame, id_col: str = "doc_id",
     so with unique integral ids a block never exceeds ``block_size`` ids and
     a term present in every article spreads over many tasks.
     """
-    if block_size <= 0:
-        raise ValueError("block_size must be positive")
-    # exact integer floor division (also for negative ids)
-    block = F.expr(f"(`{id_col}` - pmod(`{id_col}`, {int(block_size)})) div {int(block_size)}")
+    block = id_block(index, id_col, block_size)
     return index.groupBy("term", block.alias("block")).agg(
         F.count(F.lit(1)).alias("n"),
         F.sort_array(F.collect_list(id_col)).alias("ids"))
