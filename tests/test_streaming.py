@@ -26,3 +26,25 @@ def test_running_ranking_over_arriving_files(spark, scratch):
         assert got == [("Java", 2), ("Scala", 2)]
     finally:
         q.stop()
+
+
+def test_restarted_ranking_resumes_from_its_checkpoint(spark, scratch):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write(article_line("1", "Scala Java") + "\n")
+    name = "resume_" + uuid.uuid4().hex[:8]
+    q = start_ranking(spark, src, ["Scala", "Java"], name)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    with open(os.path.join(src, "b.txt"), "w") as f:
+        f.write(article_line("2", "Scala rocks") + "\n")
+    q = start_ranking(spark, src, ["Scala", "Java"], name)     # same checkpoint folder
+    try:
+        q.processAllAvailable()
+        got = [tuple(r) for r in spark.sql(f"SELECT * FROM {name}").collect()]
+        assert got == [("Scala", 2), ("Java", 1)]              # state kept, file a not re-read
+    finally:
+        q.stop()
