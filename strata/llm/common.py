@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +34,41 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("bigint")
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, also where a lambda needs it again and again."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def id_fold(id_col: Column, folds: int) -> Column:
+    """``crc32`` of the id as text, modulo ``folds``."""
+    return F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(folds))
+
+
+BITMAP_BITS = 1 << 26       # 8 MiB, whatever the input
+
+
+def bitmap(keys: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
+    """Marks for the 64-bit values of a column: a filter of fixed size for a join's large side.
+
+    A value that is not in the column may pass, a value that is always does.
+    """
+    bit = F.pmod(F.col(column), F.lit(bits)) + 1        # Spark's bitmaps count from 1
+    rows = keys.groupBy(F.bitmap_bucket_number(bit).alias("k")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("m")).collect()
+    out = np.zeros(bits // 8, np.uint8)
+    for r in rows:
+        part = np.frombuffer(r["m"], np.uint8)
+        at = (r["k"] - 1) * len(part)
+        out[at:at + len(part)] = part[:len(out) - at]
+    return out
+
+
+def marked(marks: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which values (int64) the bitmap lets through."""
+    bit = np.mod(values, len(marks) * 8)
+    return (marks[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(id, component)``: the smallest id reachable from every end of ``edges(a, b)``.
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import saved, whole
+from strata.llm.common import bind, saved, whole
 
 CUT_MODULUS = 3     # one line in three ends a chunk
 MULTIPLIER = 31     # of the rolling hash
@@ -33,27 +33,23 @@ def line_hash(line: Column) -> Column:
 
 def line_chunks(text: Column) -> Column:
     """``array<struct<first, lines, chunk>>``: consecutive chunks of a text's lines."""
-    lines = F.split(text, "\n", -1)
-    n = F.size(lines)
-
     def ends(h: Column) -> Column:
-        """Numbers of the lines that end a chunk, in order."""
+        """Numbers of the lines that end a chunk, in order; the last line always does."""
         mark = F.transform(h, lambda x, i: F.when(
-            (x + MULTIPLIER * F.coalesce(F.get(h, i - 1), F.lit(0))) % CUT_MODULUS == 0, i))
-        return F.array_distinct(F.concat(F.filter(mark, lambda i: i.isNotNull()), F.array(n - 1)))
+            (i == F.size(h) - 1) | ((x + MULTIPLIER * F.coalesce(F.get(h, i - 1), F.lit(0)))
+                                    % CUT_MODULUS == 0), i))
+        return F.filter(mark, lambda i: i.isNotNull())
 
-    def cut(e: Column) -> Column:
+    def cut(lines: Column, e: Column) -> Column:
         def one(last: Column, k: Column) -> Column:
-            first = F.when(k == 0, F.lit(0)).otherwise(F.get(e, k - 1) + 1)
+            first = F.coalesce(F.get(e, k - 1) + 1, F.lit(0))
             return F.struct(first.alias("first"), (last - first + 1).alias("lines"),
                             F.array_join(F.slice(lines, first + 1, last - first + 1), "\n")
                             .alias("chunk"))
         return F.transform(e, one)
 
-    # a one-element array binds the middle results, so each is computed once
-    hashes = F.transform(lines, line_hash)
-    bound = F.transform(F.array(hashes), lambda h: ends(h))
-    return F.flatten(F.transform(bound, lambda e: cut(e)))
+    return bind(F.split(text, "\n", -1), lambda lines: bind(
+        F.transform(lines, line_hash), lambda h: bind(ends(h), lambda e: cut(lines, e))))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.config import ensure_checkpoint_dir
-from strata.llm import exact_dedup, line_dedup, mixing, packing, quotes, warc
+from strata.llm import (exact_dedup, fingerprints, line_dedup, mixing, packing, quality, quotes,
+                        toxicity, warc)
+from strata.llm.common import id_fold
 from strata.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,10 +38,32 @@ def op3_line_dedup(spark, sf_dir):
     return line_dedup.dedup_lines(_documents(spark, sf_dir))
 
 
+def op4_toxicity(spark, sf_dir):
+    # of the rows that may be learned from, one in six fits the curve
+    fits = [3, 7]
+    out = toxicity.score_toxicity(
+        _documents(spark, sf_dir), read_table(spark, sf_dir, "labels"),
+        learn=lambda i: (id_fold(i, 4) != 2) & ~id_fold(i, 16).isin(fits),
+        calibrate=lambda i: id_fold(i, 16).isin(fits))
+    return out.select("doc_id", (id_fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+                      toxicity.predicted().alias("predicted"))
+
+
+def op5_fingerprints(spark, sf_dir):
+    return fingerprints.edited_fingerprints(_documents(spark, sf_dir))
+
+
 def op6_quotation_links(spark, sf_dir):
     return quotes.link_conversations(read_table(spark, sf_dir, "conversations"))
 
 
+def op7_quality(spark, sf_dir):
+    out = quality.score_quality(_documents(spark, sf_dir), read_table(spark, sf_dir, "labels"),
+                                learn=lambda i: id_fold(i, 5) != 0)
+    return out.select("doc_id", (id_fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                      (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op8_mixing(spark, sf_dir):
     return mixing.mix(_documents(spark, sf_dir))
 
@@ -57,7 +81,10 @@ def op10_exact_dedup(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_line_dedup": op3_line_dedup,
+    "op4_toxicity": op4_toxicity,
+    "op5_fingerprints": op5_fingerprints,
     "op6_quotation_links": op6_quotation_links,
+    "op7_quality": op7_quality,
     "op8_mixing": op8_mixing,
     "op9_warc": op9_warc,
     "op10_exact_dedup": op10_exact_dedup,
