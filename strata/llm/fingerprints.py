@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD, bind, saved, whole
+from strata.llm.common import SPACE, bind, saved, whole
 from strata.sources.memory import local_relation
 
 WORDS = 5           # in a shingle
@@ -37,14 +37,15 @@ _PER = 64 // BITS   # bins in one packed long
 
 
 def shingles(text: Column, words: int = WORDS) -> Column:
-    """Hashes of a text's word shingles, repeats included."""
-    def of(w: Column) -> Column:
-        n = F.size(w)
+    """Hashes of a text's word shingles, repeats included; words are hashed once."""
+    def of(h: Column) -> Column:
+        n = F.size(h)
         return F.when(n == 0, F.array().cast("array<bigint>")) \
-            .when(n < words, F.array(F.xxhash64(w))) \
-            .otherwise(F.transform(F.sequence(F.lit(1), n - (words - 1)),
-                                   lambda i: F.xxhash64(F.slice(w, i, words))))
-    return bind(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)), of)
+            .when(n < words, F.array(F.xxhash64(h))) \
+            .otherwise(F.transform(F.sequence(F.lit(0), n - words), lambda i: F.xxhash64(
+                *[F.get(h, i + k) for k in range(words)])))
+    split = F.filter(F.split(F.lower(text), SPACE, -1), lambda w: w != "")
+    return bind(F.transform(split, lambda w: F.xxhash64(w)), of)
 
 
 def _bin(h: Column) -> Column:
