@@ -70,17 +70,17 @@ def _dense(minima: Column) -> Column:
 
 
 def _filled(dense: Column, minima: Column) -> Column:
-    """Optimal densification; a bin's place in the order is its number plus half, modulo bins."""
-    def one(h: Column) -> Column:
-        b = _bin(h)
-        tries = []
-        for t in range(ATTEMPTS):
-            at = F.pmod(F.xxhash64(b, F.lit(t)), F.lit(_BINS)).cast("int")
-            tries.append(F.nullif(_value(F.get(dense, at)), F.lit(0).cast("bigint")))
-        last = F.array_min(F.transform(minima, lambda m: F.struct(
-            F.xxhash64(b, _bin(m)).alias("o"), _value(m).alias("v"))))["v"]
-        return F.when(_value(h) != 0, _value(h)).otherwise(F.coalesce(*tries, last))
-    return F.transform(dense, one)
+    """Optimal densification: the value of every bin, drawn from filled bins where it is empty."""
+    def fill(values: Column) -> Column:
+        def one(v: Column, i: Column) -> Column:
+            tries = [F.get(values, F.pmod(F.xxhash64(i, F.lit(t)), F.lit(_BINS)).cast("int"))
+                     for t in range(ATTEMPTS)]
+            last = F.array_min(F.transform(minima, lambda m: F.struct(
+                F.xxhash64(i, _bin(m)).alias("o"), _value(m).alias("v"))))["v"]
+            return F.coalesce(v, *tries, last)
+        return F.transform(values, one)
+
+    return bind(F.transform(dense, lambda h: F.when(_value(h) != 0, _value(h))), fill)
 
 
 def _packed(values: Column) -> Column:
