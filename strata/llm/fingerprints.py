@@ -30,7 +30,7 @@ from strata.sources.memory import local_relation
 WORDS = 5           # in a shingle
 BIN_BITS = 8        # 256 bins
 BITS = 8            # kept of each bin
-ATTEMPTS = 24       # drawn bins before all filled bins are compared
+ATTEMPTS = 8        # drawn bins before all filled bins are compared
 _BINS = 1 << BIN_BITS
 _LOW = (1 << (64 - BIN_BITS)) - 1
 _PER = 64 // BITS   # bins in one packed long
