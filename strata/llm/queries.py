@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.config import ensure_checkpoint_dir
-from strata.llm import (exact_dedup, fingerprints, line_dedup, mixing, packing, quality, quotes,
-                        toxicity, warc)
+from strata.llm import (exact_dedup, fingerprints, jaccard_join, line_dedup, mixing, packing,
+                        quality, quotes, toxicity, warc)
 from strata.llm.common import id_fold
 from strata.sources.tables import read_table
 
@@ -30,6 +30,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+def op1_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_classes(_documents(spark, sf_dir))
+
+
 def op2_packing(spark, sf_dir):
     return packing.pack(_documents(spark, sf_dir), tokenizer_path())
 
@@ -79,6 +83,7 @@ def op10_exact_dedup(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_packing": op2_packing,
     "op3_line_dedup": op3_line_dedup,
     "op4_toxicity": op4_toxicity,
@@ -91,6 +96,29 @@ QUERIES: dict[str, Query] = {
 }
 
 SQL: dict[str, str] = {
+    # every pair that shares a shingle, then the smallest id over links
+    "op1_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+          FROM documents),
+        x AS (
+          SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                 ELSE list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)])
+                 END AS x FROM w),
+        n AS (SELECT doc_id, len(x) AS n FROM x),
+        s AS (SELECT doc_id, unnest(x) AS h FROM x),
+        p AS (
+          SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+          FROM s a JOIN s b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        e AS (
+          SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+          WHERE 100 * c >= 85 * (x.n + y.n - c)),
+        r AS (SELECT doc_id, doc_id AS m FROM n UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.m)
+        SELECT n.doc_id, n.n::BIGINT AS n_shingles, min(r.m) AS component_id,
+               (SELECT count(*) FROM e WHERE e.a = n.doc_id) AS n_links
+        FROM n JOIN r USING (doc_id) GROUP BY n.doc_id, n.n""",
     # lines per document; chunk ends by the rolling hash; every place of a
     # chunk of several lines but the first goes
     "op3_line_dedup": r"""
