@@ -319,3 +319,16 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
     return out if count else out.drop("n_links")
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                     words: int = WORDS, share: tuple[int, int] = SHARE) -> DataFrame:
+    """``docs`` with the smallest id of every component, all columns as they were.
+
+    An id goes where every row that bears it belongs to a smaller id; rows
+    without an id stay.
+    """
+    classes = jaccard_classes(docs, id_col, text_col, words, share, count=False)
+    gone = classes.where("doc_id is not null").groupBy(F.col("doc_id").alias("_jj_id")).agg(
+        F.min(F.col("component_id") < F.col("doc_id")).alias("_jj_gone")).where("_jj_gone")
+    return docs.join(gone, F.col(f"`{id_col}`") == F.col("_jj_id"), "left_anti")

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import words as W
-from strata.llm.common import saved
+from strata.llm.common import bitmap, marked, saved
 
 ROWS = 1 << 14          # of the context matrix; words that share a row share a vector
 WIDTH = 64              # of a vector
@@ -157,23 +157,9 @@ def pool(rows: np.ndarray, offsets: np.ndarray, vectors: np.ndarray) -> np.ndarr
     return out
 
 
-def features(docs: DataFrame, vectors: np.ndarray, id_col: str = "doc_id",
-             text_col: str = "text") -> DataFrame:
-    """``(doc_id, x)`` of every row: the pooled features as little-endian 32-bit floats."""
-    sent = docs.sparkSession.sparkContext.broadcast(vectors)
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"),
-                       F.col(f"`{text_col}`").cast("string").alias("text"))
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = [pool(r, o, sent.value) for r, o in _rows(batch.column(1))]
-            if x:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array([v.tobytes() for v in np.concatenate(x)], pa.binary())],
-                    ["doc_id", "x"])
-
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, x binary")
+def _features(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
+    parts = [pool(r, o, vectors) for r, o in _rows(column)]
+    return np.concatenate(parts) if parts else np.zeros((0, WIDTH + _EXTRA), np.float32)
 
 
 class Network:
@@ -219,41 +205,85 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.logit(x) / self.temperature, -500, 500)))
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    data = b"".join(column.to_pylist())
-    return np.frombuffer(data, "<f4").reshape(-1, WIDTH + _EXTRA).astype(np.float64)
+class Classifier:
+    """A fitted network with its word vectors: an object of fixed size that is sent to the workers."""
+
+    def __init__(self, vectors: np.ndarray, network: Network | None, rate: float):
+        self.vectors, self.network, self.rate = vectors, network, rate
+
+    def scores(self, column: pa.Array) -> np.ndarray:
+        if self.network is None:
+            return np.full(len(column), self.rate)
+        return self.network.probability(_features(column, self.vectors).astype(np.float64))
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, learn: Callable[[Column], Column],
-                  id_col: str = "doc_id", text_col: str = "text", class_col: str = "quality",
-                  keep: str | None = None) -> DataFrame:
-    """``(doc_id, score)`` per row of ``docs``, and the text's hash as ``keep`` if a name is given.
+def fit(docs: DataFrame, labels: DataFrame, learn: Callable[[Column], Column],
+        id_col: str = "doc_id", text_col: str = "text", class_col: str = "quality") -> Classifier:
+    """Word vectors from all of ``docs``, a network from labelled rows that ``learn`` takes by id.
 
-    Word vectors come from all of ``docs``. The network is fitted on at most
-    ``TRAIN_ROWS`` of the labelled rows that ``learn`` takes by id, those
-    whose id hashes lowest.
+    At most ``TRAIN_ROWS`` labelled rows, those whose id hashes lowest, reach
+    the driver, as pooled features.
     """
+    spark = docs.sparkSession
     texts = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
     vectors = word_vectors(context_matrix(texts))
-    pooled = features(docs, vectors, id_col, text_col)
-    pooled = saved(pooled)
     marks = labels.select(F.col(f"`{id_col}`").alias("lid"),
                           F.col(f"`{class_col}`").cast("int").alias("class")) \
         .where("lid is not null and class in (0, 1)").groupBy("lid").agg(F.min("class").alias("class")) \
-        .where(learn(F.col("lid")))
-    fit = pooled.join(marks, F.col("doc_id") == F.col("lid")) \
-        .orderBy(F.xxhash64("lid"), "lid", "x").limit(TRAIN_ROWS).select("x", "class").toArrow()
-    y = fit["class"].to_numpy().astype(float)
-    if not len(y) or y.sum() in (0, len(y)):
-        return pooled.select("doc_id", F.lit(float(y.mean()) if len(y) else 1.0).alias("score"))
-    network = Network(_matrix(fit["x"].combine_chunks()), y)
+        .where(learn(F.col("lid"))).withColumn("h", F.xxhash64("lid"))
+    chosen = saved(marks.orderBy("h", "lid").limit(TRAIN_ROWS))
+    if not chosen.where("class = 0").limit(1).count() or not chosen.where("class = 1").limit(1).count():
+        return Classifier(vectors, None, float(chosen.agg(F.avg("class")).first()[0] or 0)
+                          if not chosen.isEmpty() else 1.0)
+    sent = spark.sparkContext.broadcast((bitmap(chosen, "h", 1 << 23), vectors))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near, known = sent.value
         for batch in batches:
-            if batch.num_rows:
+            batch = batch.filter(pa.array(marked(near, batch.column(0).to_numpy())))
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                x = _features(part.column(1), known)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(network.probability(_matrix(batch.column(1))))],
-                    ["doc_id", "score"])
+                    [part.column(0), pa.array([v.tobytes() for v in x], pa.binary())], ["key", "x"])
+
+    pooled = docs.where(F.col(f"`{id_col}`").isNotNull()).select(
+        F.xxhash64(F.col(f"`{id_col}`")).alias("key"), F.col(f"`{text_col}`").cast("string").alias("text")) \
+        .mapInArrow(run, "key bigint, x binary")
+    # rows that repeat an id count once, the least of them
+    rows = pooled.join(chosen, F.col("key") == F.col("h")).groupBy("lid").agg(
+        F.min("x").alias("x"), F.min("class").alias("class")).orderBy("lid").toArrow()
+    y = rows["class"].to_numpy().astype(float)
+    if not len(y) or y.sum() in (0, len(y)):
+        return Classifier(vectors, None, float(y.mean()) if len(y) else 1.0)
+    x = np.frombuffer(b"".join(rows["x"].to_pylist()), "<f4").reshape(len(y), -1).astype(np.float64)
+    return Classifier(vectors, Network(x, y), float(y.mean()))
+
+
+def score_quality(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """``(doc_id, score)`` per row of ``docs``; nothing moves."""
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"),
+                       F.col(f"`{text_col}`").cast("string").alias("text"))
+    sent = docs.sparkSession.sparkContext.broadcast(classifier)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sent.value.scores(batch.column(1)))], ["doc_id", "score"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, score double")
+
+
+def keep_good(docs: DataFrame, classifier: Classifier, text_col: str = "text",
+              threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or more, all columns as they were."""
+    sent = docs.sparkSession.sparkContext.broadcast(classifier)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(sent.value.scores(batch.column(at)) >= threshold))
 
-    kind = pooled.schema["doc_id"].dataType.simpleString()
-    return pooled.mapInArrow(run, f"doc_id {kind}, score double")
+    return docs.mapInArrow(run, docs.schema)

@@ -61,9 +61,14 @@ def op6_quotation_links(spark, sf_dir):
     return quotes.link_conversations(read_table(spark, sf_dir, "conversations"))
 
 
+def quality_classifier(docs: DataFrame, labels: DataFrame) -> quality.Classifier:
+    """Learned from labelled rows outside the held-out fold."""
+    return quality.fit(docs, labels, learn=lambda i: id_fold(i, 5) != 0)
+
+
 def op7_quality(spark, sf_dir):
-    out = quality.score_quality(_documents(spark, sf_dir), read_table(spark, sf_dir, "labels"),
-                                learn=lambda i: id_fold(i, 5) != 0)
+    docs = _documents(spark, sf_dir)
+    out = quality.score_quality(docs, quality_classifier(docs, read_table(spark, sf_dir, "labels")))
     return out.select("doc_id", (id_fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
                       (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
