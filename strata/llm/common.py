@@ -30,6 +30,11 @@ def whole(text: str) -> Column:
     return F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
 
 
+def boxed(df: DataFrame) -> Column:
+    """All columns as one struct, ``select("doc.*")`` restores: names of the input can't clash."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc")
+
+
 def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("bigint")
 

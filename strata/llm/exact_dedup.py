@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACE, saved, whole
+from strata.llm.common import SPACE, boxed, saved, whole
 
 CHUNK_MIN, CHUNK_MAX = 256, 4096
 
@@ -121,19 +121,21 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of every group of equal texts, all columns as they were."""
     rows = recipes(docs, id_col, text_col)
-    names = {"doc_id": "_xd_id", "text_sha256": "_xd_sha", "n_chars": "_xd_chars"}
-    kept = _grouped(rows).where("kept").select(*[F.col(a).alias(b) for a, b in names.items()])
+    kept = _grouped(rows).where("kept").select(F.col("doc_id").alias("k_id"),
+                                               F.col("text_sha256").alias("k_sha"),
+                                               F.col("n_chars").alias("k_chars"))
     # rows that repeat id, text and length are alike for the rule: one of them stays
-    again = saved(rows.groupBy(*[F.col(a).alias(b) for a, b in names.items()])
-                  .agg(F.count(F.lit(1)).alias("_xd_n")).where("_xd_n > 1"))
-    keyed = docs.withColumns({
-        "_xd_key": F.sha2(normalised(whole(text_col)).cast("binary"), 256),
-        "_xd_len": F.length(whole(text_col)).cast("bigint")})
-    match = F.col(f"`{id_col}`").eqNullSafe(F.col("_xd_id")) \
-        & (F.col("_xd_key") == F.col("_xd_sha")) & (F.col("_xd_len") == F.col("_xd_chars"))
+    again = saved(rows.groupBy(F.col("doc_id").alias("k_id"), F.col("text_sha256").alias("k_sha"),
+                               F.col("n_chars").alias("k_chars"))
+                  .agg(F.count(F.lit(1)).alias("k_n")).where("k_n > 1"))
+    text = whole(text_col)
+    keyed = docs.select(boxed(docs), F.col(f"`{id_col}`").alias("id"),
+                        F.sha2(normalised(text).cast("binary"), 256).alias("sha"),
+                        F.length(text).cast("bigint").alias("chars"))
+    match = F.col("id").eqNullSafe(F.col("k_id")) & (F.col("sha") == F.col("k_sha")) \
+        & (F.col("chars") == F.col("k_chars"))
     out = keyed.join(kept, match, "left_semi")
     if not again.isEmpty():
-        repeated = out.join(again, match, "left_semi") \
-            .dropDuplicates([id_col, "_xd_key", "_xd_len"])
+        repeated = out.join(again, match, "left_semi").dropDuplicates(["id", "sha", "chars"])
         out = out.join(again, match, "left_anti").unionByName(repeated)
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return out.select("doc.*")

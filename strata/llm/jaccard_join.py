@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import words as W
-from strata.llm.common import bitmap, components, marked, saved
+from strata.llm.common import bitmap, boxed, components, marked, saved
 
 WORDS, SHARE = 4, (85, 100)     # words of a shingle; least intersection / union
 TILE = 1 << 20                  # shingles in a tile, about
@@ -329,6 +329,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     without an id stay.
     """
     classes = jaccard_classes(docs, id_col, text_col, words, share, count=False)
-    gone = classes.where("doc_id is not null").groupBy(F.col("doc_id").alias("_jj_id")).agg(
-        F.min(F.col("component_id") < F.col("doc_id")).alias("_jj_gone")).where("_jj_gone")
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("_jj_id"), "left_anti")
+    gone = classes.where("doc_id is not null").groupBy(F.col("doc_id").alias("gone_id")).agg(
+        F.min(F.col("component_id") < F.col("doc_id")).alias("gone")).where("gone")
+    rows = docs.select(boxed(docs), F.col(f"`{id_col}`").cast("bigint").alias("id"))
+    return rows.join(gone, F.col("id") == F.col("gone_id"), "left_anti").select("doc.*")

@@ -23,10 +23,10 @@ import random
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import saved, whole, word_count
+from strata.llm.common import WORD, boxed, saved, whole, word_count
 from strata.sources.memory import local_relation
 
 WEIGHTS = (5, 2, 1)     # by rank of the source, repeating
@@ -180,29 +180,28 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by spaces.
     """
     units = mix_units(docs, id_col, text_col, source_col, **options).select(
-        F.col("doc_id").alias("_mx_id"), F.col("source").alias("_mx_src"),
-        F.col("size").alias("_mx_size"), F.col("n").alias("_mx_n"), "whole", "rest")
-    many = units.where("_mx_n > 1")
-    sized = docs.withColumn("_mx_words", word_count(whole(text_col)))
-    match = F.col(f"`{id_col}`").eqNullSafe(F.col("_mx_id")) \
-        & F.col(f"`{source_col}`").eqNullSafe(F.col("_mx_src")) \
-        & (F.col("_mx_words") == F.col("_mx_size"))
-    out = sized.join(units.where("_mx_n = 1"), match).withColumn("_mx_j", F.lit(0).cast("bigint"))
+        F.col("doc_id").alias("u_id"), F.col("source").alias("u_source"),
+        F.col("size").alias("u_size"), "n", "whole", "rest")
+    many = units.where("n > 1")
+    sized = docs.select(boxed(docs), F.col(f"`{id_col}`").alias("id"),
+                        F.col(f"`{source_col}`").alias("source"), whole(text_col).alias("text")) \
+        .withColumn("size", word_count(F.col("text")))
+    match = F.col("id").eqNullSafe(F.col("u_id")) & F.col("source").eqNullSafe(F.col("u_source")) \
+        & (F.col("size") == F.col("u_size"))
+    out = sized.join(units.where("n = 1"), match).withColumn("j", F.lit(0).cast("bigint"))
     if not many.isEmpty():      # alike rows get a number each
-        from pyspark.sql import Window
-        order = Window.partitionBy(id_col, source_col, "_mx_words").orderBy(text_col)
+        order = Window.partitionBy("id", "source", "size").orderBy("text")
         out = out.unionByName(sized.join(many, match).withColumn(
-            "_mx_j", (F.row_number().over(order) - 1).cast("bigint")))
-    out = out.withColumn("_mx_times", _taken(F.col("_mx_j"))) \
-        .withColumn("_mx_words_out", F.floor(F.col("_mx_size") * F.col("_mx_times") + 0.5)) \
-        .withColumn("_mx_full", F.floor("_mx_times").cast("int")) \
-        .withColumn("_mx_part", F.when(F.col("_mx_times") > F.col("_mx_full"), (
-            F.col("_mx_words_out") - F.col("_mx_full") * F.col("_mx_size")).cast("int")).otherwise(0)) \
-        .withColumn("_mx_copies", F.col("_mx_full") + (F.col("_mx_part") > 0).cast("int")) \
-        .where("_mx_copies > 0") \
-        .withColumn("_mx_copy", F.explode(F.sequence(F.lit(1), F.col("_mx_copies"))))
-    words = F.regexp_extract_all(whole(text_col), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
-    text = F.when(F.col("_mx_copy") > F.col("_mx_full"),
-                  F.array_join(F.slice(words, 1, F.col("_mx_part")), " ")) \
-        .otherwise(F.col(f"`{text_col}`"))
-    return out.withColumn(text_col, text).select(*[F.col(f"`{c}`") for c in docs.columns])
+            "j", (F.row_number().over(order) - 1).cast("bigint")))
+    times = _taken(F.col("j"))
+    out = out.withColumn("full", F.floor(times).cast("int")).withColumn(
+        "part", F.when(times > F.floor(times), F.floor(F.col("size") * times + 0.5)
+                       - F.floor(times) * F.col("size")).otherwise(0).cast("int"))
+    # a copy that rounds to no word or to all of them is none or a whole one
+    out = out.withColumn("copies", F.col("full") + (F.col("part") > 0).cast("int")) \
+        .where("copies > 0") \
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    words = F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0))
+    cut = F.array_join(F.slice(words, 1, F.col("part")), " ")
+    return out.withColumn("doc", F.when(F.col("copy") > F.col("full"), F.col("doc").withField(
+        f"`{text_col}`", cut)).otherwise(F.col("doc"))).select("doc.*")

@@ -1,0 +1,50 @@
+import hashlib
+
+from llm_cases import (  # noqa: F401
+    clashing_docs, edge_docs, edge_rows, no_docs, prose, rows_of)
+
+from strata.llm import line_dedup as L
+
+
+def cut(text):
+    lines, out, start = text.split("\n"), [], 0
+    h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
+    for i in range(len(lines)):
+        if i == len(lines) - 1 or (h[i] + 31 * (h[i - 1] if i else 0)) % 3 == 0:
+            out.append((start, "\n".join(lines[start:i + 1]), i + 1 - start))
+            start = i + 1
+    return out
+
+
+def brute(rows):
+    docs = sorted({(i is None, i, t or "") for i, t in rows}, key=lambda d: (d[0], d[1] or 0, d[2]))
+    # documents of one id are told apart by text alone: no two here share a chunk and id
+    seen, keep = set(), {}
+    places = sorted((none, i or 0, first, t, chunk, n) for none, i, t in docs for first, chunk, n in cut(t))
+    for none, i, first, t, chunk, n in places:
+        gone = n > 1 and chunk.strip() and chunk in seen
+        seen.add(chunk)
+        keep.setdefault((none, i, t), []).append((first, chunk, n, gone))
+    out = []
+    for i, t in rows:
+        parts = sorted(keep[(i is None, i or 0, t or "")])
+        out.append((i, "\n".join(c for _, c, _, g in parts if not g), len((t or "").split("\n")),
+                    sum(n for _, _, n, g in parts if g)))
+    return sorted(out, key=lambda r: [(x is not None, str(type(x)), x) for x in r])
+
+
+def test_edge_rows(clashing_docs, no_docs):
+    assert rows_of(L.dedup_lines(clashing_docs)) == brute([r[:2] for r in edge_rows()])
+    assert L.dedup_lines(no_docs).count() == 0
+
+
+def test_shared_passages_go_but_for_their_first_place(spark):
+    shared = "\n".join(prose(100 + k, 9) for k in range(30))
+    rows = [(i, "\n".join(prose(1000 * i + k, 7) for k in range(i % 5)) + "\n" + shared + "\n" + prose(i, 5))
+            for i in range(1, 40)]
+    rows += [(50, None), (51, "a\nb"), (52, "a\nb")]
+    out = L.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4))
+    assert rows_of(out) == brute(rows)
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert got[1]["removed_lines"] == 0 and got[7]["removed_lines"] >= 20
+    assert "Python" not in out._jdf.queryExecution().toString()

@@ -1,0 +1,87 @@
+"""The pipeline and the registered queries on whole tables of the smallest size."""
+
+import re
+from collections import Counter
+
+import duckdb
+import pytest
+from llm_cases import SF_SMALL, shingle_set  # noqa: F401, F811
+
+import corpus_pipeline as C
+from strata.llm.queries import QUERIES, SQL
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("stages")
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    out = [docs]
+    for i, (_, stage) in enumerate(C.STAGES):
+        stage(spark, docs, SF_SMALL).write.parquet(f"{folder}/{i}")
+        docs = spark.read.parquet(f"{folder}/{i}")
+        out.append(docs)
+    return [d.toPandas() for d in out]
+
+
+def test_stages_keep_columns_and_whole_texts(stages):
+    for a, b in zip(stages, stages[1:-1]):
+        assert list(a.columns) == list(b.columns)
+        assert set(b["doc_id"]) <= set(a["doc_id"])
+    for a, b in zip(stages, stages[1:4]):
+        whole = dict(zip(a["doc_id"], a["text"]))
+        assert all(whole[i] == t for i, t in zip(b["doc_id"], b["text"]))
+
+
+def test_quality_keeps_good_documents(stages, spark):
+    labels = dict(spark.read.parquet(f"{SF_SMALL}/labels.parquet").select("doc_id", "quality").collect())
+    kept = set(stages[1]["doc_id"])
+    good = [i for i, q in labels.items() if q == 1]
+    assert sum(i in kept for i in good) >= 0.97 * len(good)
+
+
+def test_copies_go_and_one_of_each_group_stays(stages):
+    norms = lambda df: [re.sub(r"[\x20\x09-\x0D]", "", t) for t in df["text"]]
+    assert Counter(norms(stages[2])).most_common(1)[0][1] == 1
+    assert set(norms(stages[2])) == set(norms(stages[1]))
+    before = {i: shingle_set(t, 5) for i, t in zip(stages[2]["doc_id"], stages[2]["text"])}
+    after = set(stages[3]["doc_id"])
+
+    def like(a, b):
+        return bool(a and b) and 100 * len(a & b) >= 80 * len(a | b)
+
+    ids = sorted(before)
+    for i in ids:       # a dropped document is linked to another; kept ones are not linked
+        linked = [j for j in ids if j != i and like(before[i], before[j])]
+        assert (i in after and not any(j in after for j in linked)) or (i not in after and linked)
+
+
+def test_mix_and_packing_hold_what_they_take(stages):
+    mixed, pieces = stages[4], stages[5]
+    words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    before, after = sum(map(words, stages[3]["text"])), sum(map(words, mixed["text"]))
+    assert abs(after - 1.5 * before) <= 2 * stages[3]["source"].nunique()
+    assert Counter(mixed["doc_id"]).most_common(1)[0][1] <= 2
+    docs = pieces[pieces["start"] == 0]
+    assert len(docs) == len(mixed) and pieces["length"].sum() == docs["doc_tokens"].sum()
+
+
+def test_run_writes_and_returns_the_last_stage(spark, stages):
+    out = C.run(spark, SF_SMALL)
+    assert out.columns == list(stages[5].columns) and out.count() == len(stages[5])
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_queries_return_whole_tables(spark, name):
+    out = QUERIES[name](spark, SF_SMALL)
+    if name in SQL:
+        con = duckdb.connect()
+        for t in ("documents", "pages", "conversations"):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+        want = con.execute(SQL[name])
+        names = [d[0] for d in want.description]
+        assert sorted(names) == sorted(out.columns)
+        assert sorted(map(repr, map(tuple, out.select(*names).collect()))) \
+            == sorted(map(repr, want.fetchall()))
+    else:
+        n = spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
+        assert out.select("doc_id").distinct().count() == n
