@@ -19,7 +19,7 @@ def expect_count(df: DataFrame, expected: int, what: str = "rows") -> int:
     """Fail when ``df`` does not hold exactly ``expected`` rows."""
     n = df.count()
     if n != expected:
-        raise DataCheckError(f"Incorrect number of {what}: {n} (expected {expected})")
+        raise DataCheckError(f"{expected} {what} expected, {n} found")
     return n
 
 

@@ -7,6 +7,7 @@ expressions on ``spark.read.text``; nothing leaves the JVM.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,11 +49,12 @@ def parse_articles(lines: DataFrame, value: str = "value", strict: bool = True):
 
 
 def read_articles(spark: SparkSession, path: str, strict: bool = True,
-                  id_col: str | None = "doc_id"):
-    """Read article files; ``id_col`` adds a unique 64-bit id per article.
+                  id_col: str | None = None):
+    """Read article files.
 
-    The id is stable for a given set of files and split size, which is what
-    an inverted index over the same read needs.
+    ``id_col`` adds a 64-bit id that is unique within this read and valid only
+    there: it follows the splits of the files. An index that outlives the read
+    needs ids that are written with the articles (``store_articles``).
     """
     lines = spark.read.text(path)
     parsed = parse_articles(lines, strict=strict)
@@ -62,3 +64,21 @@ def read_articles(spark: SparkSession, path: str, strict: bool = True,
         return parsed.withColumn(id_col, F.monotonically_increasing_id())
     good, rejects = parsed
     return good.withColumn(id_col, F.monotonically_increasing_id()), rejects
+
+
+def store_articles(articles: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
+    """Appends ``articles`` to a Parquet table with ids assigned once, and returns the whole table.
+
+    An article keeps its id from then on: later appends number on from the
+    largest id, and reading the table under other splits changes nothing.
+    """
+    spark = articles.sparkSession
+    try:
+        start = spark.read.parquet(path).agg(F.coalesce(F.max(id_col) + 1, F.lit(0))).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        start = 0
+    articles.withColumn(id_col, F.monotonically_increasing_id() + F.lit(start)) \
+        .write.mode("append").parquet(path)
+    return spark.read.parquet(path)

@@ -1,22 +1,23 @@
 """Wide survey source (CSV with header, no quoting).
 
 The header gives the column names; the first column is a string key, all
-others are doubles (minutes). The CSV reader does the parsing with the
-schema derived from the header, so column pruning reaches the file scan.
+others are doubles (minutes). Lines are read as text and each is accounted
+for: the first line of every file is its header, any other line is a data
+line, however it looks. A data line is parsed whole, whatever columns the
+caller selects later.
 """
 
 from __future__ import annotations
 
 import operator
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from strata.checks import guard_not_null
-
 
 def header_columns(spark: SparkSession, path: str) -> list[str]:
     """Names from the first line (one small job reading one row)."""
@@ -30,8 +31,8 @@ def survey_schema(columns: Sequence[str]) -> StructType:
     """First column string, all others double.
 
     The fields are declared non-null as in the reference, but a file read
-    makes every field nullable, so non-null is enforced on the data
-    (``guard_not_null``), not by the schema flag.
+    makes every field nullable, so non-null is enforced on the data, not by
+    the schema flag.
     """
     columns = list(columns)
     if not columns:
@@ -42,34 +43,54 @@ def survey_schema(columns: Sequence[str]) -> StructType:
                       + [StructField(c, DoubleType(), False) for c in columns[1:]])
 
 
+def file_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(value, first)``: every line, and whether it is the first of its file.
+
+    A task reads a block of a file in order, so the first line is the first
+    row of the block that starts at 0. One pass over Arrow batches; lines are
+    handed through unparsed.
+    """
+    def mark(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
+        for batch in batches:
+            files, starts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            first = []
+            for block in zip(files, starts):
+                first.append(block != before and block[1] == 0)
+                before = block
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(first, pa.bool_())],
+                                             ["value", "first"])
+
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    return lines.mapInArrow(mark, "value string, first boolean")
+
+
 def read_survey(spark: SparkSession, path: str, strict: bool = True):
     """S3 + S5.
 
-    strict -> ``(columns, DataFrame)``: every file's header line is dropped
-    and checked against the schema (``enforceSchema=false``), so files with
-    another header are an error instead of silent data; a bad number fails
-    the query (FAILFAST) and so does an empty field.
+    strict -> ``(columns, DataFrame)``: a file whose first line is another
+    header, and any data line that does not parse (wrong field count, so also
+    a blank line or a header repeated in mid-file; a bad or empty number) fail
+    the query, whatever columns it selects.
 
-    lenient -> ``(columns, DataFrame, rejects)``: lines that do not parse
-    (wrong field count, a bad or empty number, another header) come back in
-    ``rejects`` instead of failing the query; nothing is dropped silently.
+    lenient -> ``(columns, DataFrame, rejects)``: such lines come back in
+    ``rejects`` instead. Every line is a header, a row or a reject.
     """
     columns = header_columns(spark, path)
     schema = survey_schema(columns)
-    if strict:
-        reader = (spark.read.schema(schema)
-                  .option("header", True)
-                  .option("enforceSchema", False)
-                  .option("quote", "")
-                  .option("mode", "FAILFAST"))
-        return columns, guard_not_null(reader.csv(path))
-    lines = spark.read.text(path).where(F.col("value") != ",".join(columns))
+    header = ",".join(columns)
+    lines = file_lines(spark, path).where(~(F.col("first") & (F.col("value") == header)))
     fields = F.split(F.col("value"), ",", -1)
     typed = lines.select(
-        "value", F.size(fields).alias("_n"),
+        F.col("value").alias("_line"), F.size(fields).alias("_n"),
         F.get(fields, 0).alias(columns[0]),
         *[F.get(fields, i).try_cast("double").alias(c) for i, c in enumerate(columns) if i])
-    ok = reduce(operator.and_, [F.col(c).isNotNull() for c in columns],
-                F.col("_n") == len(columns))
-    return (columns, typed.where(ok).select(*columns),
-            typed.where(~ok).select(F.col("value").alias("line")))
+    # a blank line has one empty field: no row, even where the header has one column
+    ok = reduce(operator.and_, [F.col(f"`{c}`").isNotNull() for c in schema.names],
+                (F.col("_n") == len(columns)) & (F.col("_line") != ""))
+    names = [F.col(f"`{c}`") for c in schema.names]
+    if strict:
+        bad = F.raise_error(F.concat(F.lit("malformed survey line: "), F.substring("_line", 1, 80)))
+        return columns, typed.where(F.when(ok, F.lit(True)).otherwise(bad)).select(*names)
+    return (columns, typed.where(ok).select(*names),
+            typed.where(~ok).select(F.col("_line").alias("line")))

@@ -7,7 +7,7 @@ from strata.checks import (DataCheckError, check_not_null, check_schema, expect_
 def test_expect_count(spark):
     df = spark.range(5)
     assert expect_count(df, 5) == 5
-    with pytest.raises(DataCheckError, match="Incorrect number of vectors: 5"):
+    with pytest.raises(DataCheckError, match="4 vectors expected, 5 found"):
         expect_count(df, 4, "vectors")
 
 

@@ -7,8 +7,8 @@ import pytest
 from strata.operators import postings as PO
 from strata.operators import terms as T
 from strata.operators import timeuse as TU
-from strata.sinks import ranking_lines, report_text, sql_on, write_report
-from strata.sources.articles import read_articles
+from strata.sinks import ranking_lines, report_text, sql_on, write_report, write_table
+from strata.sources.articles import read_articles, store_articles
 from strata.sources.postings import read_postings
 from strata.sources.survey import header_columns, read_survey, survey_schema
 
@@ -31,16 +31,42 @@ def test_article_layout(scratch):
 
 
 def test_read_articles(spark, scratch):
-    write(scratch, "a.dat", [article_line("Scala", "Scala is great"),
-                             article_line("J", "Java is OK, but Scala is cooler"),
-                             article_line("E", "")])
+    lines = [("Herbs", "fresh basil leaf"), ("Stew", "mace and basil"), ("E", "")]
+    write(scratch, "a.dat", [article_line(*x) for x in lines])
     arts = read_articles(spark, scratch)
-    rows = sorted((r["title"], r["text"]) for r in arts.collect())
-    assert rows == [("E", ""), ("J", "Java is OK, but Scala is cooler"),
-                    ("Scala", "Scala is great")]
-    assert arts.select("doc_id").distinct().count() == 3
-    ranked = T.rank_terms_all(arts, ["Scala", "Java"]).collect()
-    assert [(r["term"], r["n"]) for r in ranked] == [("Scala", 2), ("Java", 1)]
+    assert arts.columns == ["title", "text"]
+    assert sorted((r["title"], r["text"]) for r in arts.collect()) == sorted(lines)
+    ranked = T.rank_terms_all(arts, ["mace", "basil"]).collect()
+    assert [(r["term"], r["n"]) for r in ranked] == [("basil", 2), ("mace", 1)]
+    numbered = read_articles(spark, scratch, id_col="doc_id")
+    assert numbered.select("doc_id").distinct().count() == 3
+
+
+def test_stored_ids_outlive_splits_and_new_files(spark, scratch):
+    src, table, index = (os.path.join(scratch, x) for x in ("in", "table", "index"))
+    os.makedirs(src)
+    for k in range(3):
+        write(src, f"{k}.dat", [article_line(f"t{k}.{i}", "basil" if i % 3 else "mace of basil")
+                                for i in range(400)])
+    arts = store_articles(read_articles(spark, src), table)
+    terms = ["basil", "mace"]
+    T.inverted_index(arts, terms, payload=("title",)).write.parquet(index)
+    more = os.path.join(scratch, "more")
+    os.makedirs(more)
+    write(more, "0.dat", [article_line("new", "mace")])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        again = store_articles(read_articles(spark, more), table)
+        joined = T.index_articles(spark.read.parquet(index),
+                                  again.select("doc_id", again["title"].alias("now"), "text"))
+        rows = joined.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(rows) == 1200 + 402 and all(r["title"] == r["now"] for r in rows)
+    assert all(r["term"] in r["text"].split(" ") for r in rows)
+    ids = [r["doc_id"] for r in again.select("doc_id").collect()]
+    assert len(ids) == len(set(ids)) == 1201
 
 
 def test_malformed_article_lines(spark, scratch):
@@ -129,7 +155,7 @@ def test_survey_strict_errors(spark, scratch):
     other = os.path.join(scratch, "empty")
     os.makedirs(other)
     write(other, "s.csv", [HEADER, "a,1,1,20,60,,30"])
-    with pytest.raises(Exception, match="null value"):
+    with pytest.raises(Exception, match="malformed survey line"):
         read_survey(spark, other)[1].collect()
     mixed = os.path.join(scratch, "mixed")
     os.makedirs(mixed)
@@ -139,10 +165,30 @@ def test_survey_strict_errors(spark, scratch):
         read_survey(spark, mixed)[1].collect()
 
 
+@pytest.mark.parametrize("odd", ["", HEADER, " ", "x"])
+def test_no_survey_line_is_lost(spark, scratch, odd):
+    """A blank line, a header in mid-file or any other odd line: a reject, or an error."""
+    rows = [f"r{i},1,1,20,60,0,{i}" for i in range(300)]
+    write(scratch, "s1.csv", [HEADER, *rows[:150], odd, *rows[150:]])
+    write(scratch, "s2.csv", [HEADER, "z,3,2,60,0,60,0"])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")       # blocks that start in mid-file
+    try:
+        cols, good, rejects = read_survey(spark, scratch, strict=False)
+        assert sorted(r["id"] for r in good.collect()) == sorted([r.split(",")[0] for r in rows] + ["z"])
+        assert [r["line"] for r in rejects.collect()] == [odd]
+        with pytest.raises(Exception, match="malformed survey line"):
+            read_survey(spark, scratch)[1].select("telfs").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_sinks(spark, scratch):
     from strata.operators.cluster import cluster_report
-    ranking = spark.createDataFrame([("Java", 3), ("Scala", 2)], "term string, n bigint")
-    assert ranking_lines(ranking) == ["(Java,3)", "(Scala,2)"]
+    ranking = spark.createDataFrame([("basil", 3), ("mace", 2)], "term string, n bigint")
+    assert ranking_lines(ranking) == ["(basil,3)", "(mace,2)"]
+    write_table(ranking, os.path.join(scratch, "table"))
+    assert spark.read.parquet(os.path.join(scratch, "table")).count() == 2
     v = spark.createDataFrame([(0, 0, 7), (1, 0, 9), (2, 50000, 8)], "id bigint, x bigint, y bigint")
     report = cluster_report(v, [(0, 0)], ["A", "B"], 50000)
     text = report_text(report)
