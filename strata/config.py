@@ -6,7 +6,9 @@ helpers serve tests, the bench and the driver entry point.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,9 +43,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory of the session.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; that
-    setting wins. Only a local-mode session with no setting (tests, the
-    bench) gets a fresh scratch folder; on a cluster a missing setting is
-    an error, because a machine-local folder does not survive executor loss.
+    setting wins. Only a session in one process (``local``, ``local[n]``)
+    with no setting, as in tests and the bench, gets a fresh scratch folder,
+    removed when the process ends; anywhere else, ``local-cluster`` included,
+    a missing setting is an error, because a machine-local folder does not
+    survive executor loss.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,9 +58,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; name a shared folder for checkpoints")
     scratch = tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    atexit.register(shutil.rmtree, scratch, ignore_errors=True)
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir()

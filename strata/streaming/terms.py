@@ -1,20 +1,18 @@
 """Running term counts over article files as they arrive.
 
 State is one count per term (bounded by the term list); the query's
-progress and state live under the session's reliable checkpoint folder,
-so a restarted query resumes where it stopped.
+progress and state live in a folder the caller names, so a query restarted
+in another session resumes where it stopped.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.config import ensure_checkpoint_dir
 from strata.operators.terms import matching_terms
 from strata.sources.articles import parse_articles
 
@@ -35,13 +33,16 @@ def rank_terms_stream(articles: DataFrame, terms: Sequence[str], text: str = "te
 
 
 def start_ranking(spark: SparkSession, path: str, terms: Sequence[str], name: str,
-                  sink: str = "memory", options: dict[str, str] | None = None) -> StreamingQuery:
-    """Start the running ranking; progress is kept in
-    ``<checkpoint dir>/streams/<name>``."""
-    location = os.path.join(ensure_checkpoint_dir(spark), "streams", name)
+                  checkpoint: str, sink: str = "memory",
+                  options: dict[str, str] | None = None) -> StreamingQuery:
+    """Start the running ranking; progress and state are kept in the folder ``checkpoint``.
+
+    The folder must outlive the session (a shared one on a cluster) and belong
+    to this query alone: any later session that names it resumes the query.
+    """
     writer = (rank_terms_stream(article_stream(spark, path), terms).writeStream
               .outputMode("complete").format(sink).queryName(name)
-              .option("checkpointLocation", location))
+              .option("checkpointLocation", checkpoint))
     for k, v in (options or {}).items():
         writer = writer.option(k, v)
     return writer.start()

@@ -43,8 +43,9 @@ def test_cluster_setting_is_used():
 
 
 def test_cluster_without_setting_fails():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        ensure_checkpoint_dir(_Session(_Context("spark://master:7077")))
+    for master in ("spark://master:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(_Session(_Context(master)))
 
 
 def test_local_without_setting_gets_scratch():

@@ -3,48 +3,48 @@ import uuid
 
 from strata.streaming import start_ranking
 
+TERMS = ["basil", "mace"]
 
-def article_line(title, text):
-    return "<page><title>x" + title + "</title><text>" + text + "</text></page>xx"
+
+def add(folder, name, *texts):
+    with open(os.path.join(folder, name), "w") as f:
+        for i, t in enumerate(texts):
+            f.write(f"<page><title>x{name}{i}</title><text>{t}</text></page>xx\n")
+
+
+def shown(session, name):
+    return [tuple(r) for r in session.sql(f"SELECT * FROM {name}").collect()]
 
 
 def test_running_ranking_over_arriving_files(spark, scratch):
     src = os.path.join(scratch, "in")
     os.makedirs(src)
-    with open(os.path.join(src, "a.txt"), "w") as f:
-        f.write(article_line("1", "Scala is great") + "\n")
+    add(src, "a.txt", "a leaf of basil")
     name = "ranking_" + uuid.uuid4().hex[:8]
-    q = start_ranking(spark, src, ["Scala", "Java"], name)
+    q = start_ranking(spark, src, TERMS, name, os.path.join(scratch, "progress"))
     try:
         q.processAllAvailable()
-        assert [tuple(r) for r in spark.sql(f"SELECT * FROM {name}").collect()] == [("Scala", 1)]
-        with open(os.path.join(src, "b.txt"), "w") as f:
-            f.write(article_line("2", "Java is OK, but Scala is cooler") + "\n")
-            f.write(article_line("3", "Java Java") + "\n")
+        assert shown(spark, name) == [("basil", 1)]
+        add(src, "b.txt", "mace with basil", "mace mace")
         q.processAllAvailable()
-        got = [tuple(r) for r in spark.sql(f"SELECT * FROM {name}").collect()]
-        assert got == [("Java", 2), ("Scala", 2)]
+        assert shown(spark, name) == [("basil", 2), ("mace", 2)]
     finally:
         q.stop()
 
 
-def test_restarted_ranking_resumes_from_its_checkpoint(spark, scratch):
-    src = os.path.join(scratch, "in")
+def test_another_session_resumes_from_the_named_folder(spark, scratch):
+    src, folder = os.path.join(scratch, "in"), os.path.join(scratch, "progress")
     os.makedirs(src)
-    with open(os.path.join(src, "a.txt"), "w") as f:
-        f.write(article_line("1", "Scala Java") + "\n")
+    add(src, "a.txt", "basil mace")
     name = "resume_" + uuid.uuid4().hex[:8]
-    q = start_ranking(spark, src, ["Scala", "Java"], name)
-    try:
-        q.processAllAvailable()
-    finally:
-        q.stop()
-    with open(os.path.join(src, "b.txt"), "w") as f:
-        f.write(article_line("2", "Scala rocks") + "\n")
-    q = start_ranking(spark, src, ["Scala", "Java"], name)     # same checkpoint folder
-    try:
-        q.processAllAvailable()
-        got = [tuple(r) for r in spark.sql(f"SELECT * FROM {name}").collect()]
-        assert got == [("Scala", 2), ("Java", 1)]              # state kept, file a not re-read
-    finally:
-        q.stop()
+    for session, want in ((spark, [("basil", 1), ("mace", 1)]),
+                          (spark.newSession(), [("basil", 2), ("mace", 1)])):
+        q = start_ranking(session, src, TERMS, name, folder)
+        try:
+            q.processAllAvailable()
+            assert shown(session, name) == want     # counts kept, file a not read again
+            read = sum(p["numInputRows"] for p in q.recentProgress)
+            assert read == 1
+        finally:
+            q.stop()
+        add(src, "b.txt", "fresh basil")
