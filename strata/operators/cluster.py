@@ -21,9 +21,14 @@ Scale notes
   source tables.
 * One iteration is one job: assign + partial aggregate, at most k rows
   per task through the shuffle and k rows back to the driver.
-* Seeding keeps the k lowest hash keys per category with a window group
-  limit that runs before the shuffle, so a category holding a third of all
-  points ships only k rows per task.
+* The work per point and center is the same at every k: up to
+  ``EXPRESSION_CENTERS`` centers are one generated expression, more are
+  compared in NumPy on Arrow batches (the generated code of 45 centers is
+  beyond what the JVM compiles). Both forms give the same cluster.
+* Seeding keeps the k lowest hash keys per (category, salt), then per
+  category, so a dominant category spreads over many tasks.
+* The report's median is found by narrowing value ranges: every pass is a
+  partial sum per (cluster, range), no task holds a cluster's values.
 """
 
 from __future__ import annotations
@@ -31,6 +36,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +47,15 @@ from strata.sources.memory import local_relation
 
 # Below this spread the categories overlap and seeds are drawn globally.
 GLOBAL_SAMPLE_SPREAD = 500
+# Centers up to this many are compared in one generated expression.
+EXPRESSION_CENTERS = 24
+# Distances held at a time by the batch form (rows x centers).
+BATCH_DISTANCES = 1 << 20
+# Parts that a category is seeded in before the parts are merged.
+SEED_SALTS = 256
+# Ranges that a median search divides an interval into.
+MEDIAN_RANGES = 256
+# The report's line format and heading.
 REPORT_FORMAT = "%7d  %-17s (%-5.1f%%)      %7d"
 REPORT_HEADER = ("Resulting clusters:",
                  "  Score  Dominant language (%percent)  Questions",
@@ -105,14 +121,20 @@ def sample_key(id_col: str, seed: int) -> Column:
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"#{seed}")))
 
 
-def seed_points_per_category(vectors: DataFrame, per_category: int, seed: int) -> DataFrame:
+def seed_points_per_category(vectors: DataFrame, per_category: int, seed: int,
+                             salts: int = SEED_SALTS) -> DataFrame:
     """M2: the ``per_category`` points of lowest sample key in every category.
 
-    ``row_number() <= k`` over the category window is planned as a window
-    group limit applied before the shuffle. Result: ``(x, y, id, rank)``.
+    The lowest of a category are among the lowest of its salts, so each
+    (category, salt) is cut first and a category meets as at most
+    ``salts * per_category`` rows, whatever its size. Result: ``(x, y, id, rank)``.
     """
-    w = Window.partitionBy("x").orderBy(sample_key("id", seed), "id", "y")
-    return vectors.select("x", "y", "id", F.row_number().over(w).alias("rank")) \
+    key = sample_key("id", seed)
+    salted = vectors.select("x", "y", "id", F.pmod(F.xxhash64("id", "y"), F.lit(salts)).alias("_salt"))
+    part = Window.partitionBy("x", "_salt").orderBy(key, "id", "y")
+    whole = Window.partitionBy("x").orderBy(key, "id", "y")
+    return salted.withColumn("_r", F.row_number().over(part)).where(F.col("_r") <= per_category) \
+        .select("x", "y", "id", F.row_number().over(whole).alias("rank")) \
         .where(F.col("rank") <= per_category)
 
 
@@ -126,14 +148,14 @@ def sample_seeds(vectors: DataFrame, params: KMeansParams) -> list[Center]:
     """Initial centers, checked like the reference: exactly k of them and,
     per category, k / #categories points. Ordered by (x, rank)."""
     k = params.kernels
+    ncat = len(params.categories)
+    if k % ncat:
+        raise ValueError("kernels must be a multiple of the number of categories")
     if params.spread < GLOBAL_SAMPLE_SPREAD:
         rows = seed_points_global(vectors, k, params.seed).collect()
         if len(rows) != k:
             raise ValueError(f"need {k} points to seed, found {len(rows)}")
         return [(r["x"], r["y"]) for r in rows]
-    ncat = len(params.categories)
-    if k % ncat:
-        raise ValueError("kernels must be a multiple of the number of categories")
     per = k // ncat
     rows = sort_bounded(seed_points_per_category(vectors, per, params.seed), "x", "rank").collect()
     found = [sum(1 for r in rows if r["x"] == i * params.spread) for i in range(ncat)]
@@ -169,16 +191,36 @@ def nearest_center(centers: Sequence[Center], x: str = "x", y: str = "y") -> Col
     return F.expr(f"least({cands}).i")
 
 
+def batch_nearest(centers: Sequence[Center]):
+    """J2 for any number of centers: a vectorized UDF of ``(x, y)``; ties to the lowest index."""
+    cx = np.array([c[0] for c in centers], np.int64)
+    cy = np.array([c[1] for c in centers], np.int64)
+    step = max(1, BATCH_DISTANCES // len(cx))
+
+    def nearest(x: pd.Series, y: pd.Series) -> pd.Series:
+        px, py = x.to_numpy(np.int64), y.to_numpy(np.int64)
+        out = np.empty(len(px), np.int32)
+        for i in range(0, len(px), step):
+            dx = (px[i:i + step, None] - cx).astype(np.float64)
+            dy = (py[i:i + step, None] - cy).astype(np.float64)
+            out[i:i + step] = (dx * dx + dy * dy).argmin(axis=1)
+        return pd.Series(out)
+
+    return F.pandas_udf(nearest, "int")
+
+
 def assign(points: DataFrame, centers: Sequence[Center]) -> DataFrame:
-    return points.withColumn("cluster", nearest_center(centers))
+    """``points`` with the ``cluster`` of each, in the form that suits the number of centers."""
+    if len(centers) <= EXPRESSION_CENTERS:
+        return points.withColumn("cluster", nearest_center(centers))
+    return points.withColumn("cluster", batch_nearest(centers)("x", "y"))
 
 
 def integer_means(points: DataFrame, centers: Sequence[Center]) -> DataFrame:
     """A8 after J2: ``(cluster, x, y)`` integer means of the non-empty clusters."""
     weighted = assign(points, centers).select("cluster", "x", "y", _weight(points).alias("_w"))
-    return weighted.groupBy("cluster").agg(
-        F.expr("CAST(sum(x * _w) div sum(_w) AS INT) AS x"),
-        F.expr("CAST(sum(y * _w) div sum(_w) AS INT) AS y"))
+    return weighted.groupBy("cluster").agg(F.expr("sum(x * _w) div sum(_w) AS x"),
+                                           F.expr("sum(y * _w) div sum(_w) AS y"))
 
 
 def point_distance(a: Center, b: Center) -> float:
@@ -241,27 +283,69 @@ def history_frame(spark: SparkSession, result: KMeansResult) -> DataFrame:
 
 # --- report (A9-A12, O3, K2) -----------------------------------------------
 
+def weighted_medians(assigned: DataFrame, ranges: int = MEDIAN_RANGES) -> DataFrame:
+    """``(cluster, median_score)`` of ``assigned(cluster, y, _w)``: the mean of the two middle
+    values, truncated toward zero.
+
+    The interval of each middle value is divided into ``ranges``; a partial
+    sum per range tells which one holds its rank, and the search goes on
+    there until it is one value: two rows per cluster reach the driver each
+    time, and the number of passes is the logarithm of the value range.
+    """
+    spark = assigned.sparkSession
+    stats = assigned.groupBy("cluster").agg(F.sum("_w").alias("n"), F.min("y").alias("lo"),
+                                            F.max("y").alias("hi")).collect()
+    # (cluster, which middle, rank from 0 within the interval, lowest, highest value)
+    open_ = [(r["cluster"], k, (r["n"] - 1 + k) // 2, r["lo"], r["hi"]) for r in stats for k in (0, 1)]
+    found: dict[int, list[int]] = {r["cluster"]: [0, 0] for r in stats}
+    while open_:
+        todo = []
+        for c, k, rank, lo, hi in open_:
+            if lo == hi:
+                found[c][k] = lo
+            else:
+                todo.append((c, k, rank, lo, hi, -(-(hi - lo + 1) // ranges)))
+        if not todo:
+            break
+        table = local_relation(spark, todo, "c int, k int, rank bigint, lo bigint, hi bigint, width bigint")
+        sums = assigned.groupBy("cluster", "y").agg(F.sum("_w").alias("_w")) \
+            .join(table, (F.col("cluster") == F.col("c")) & F.col("y").between(F.col("lo"), F.col("hi"))) \
+            .groupBy("c", "k", "rank", "lo", "hi", "width", F.expr("(y - lo) div width").alias("part")) \
+            .agg(F.sum("_w").alias("w"))
+        upto = Window.partitionBy("c", "k").orderBy("part")
+        hit = sums.withColumn("below", F.sum("w").over(upto) - F.col("w")) \
+            .where((F.col("below") <= F.col("rank")) & (F.col("rank") < F.col("below") + F.col("w")))
+        open_ = [(r["c"], r["k"], r["rank"] - r["below"], r["lo"] + r["part"] * r["width"],
+                  min(r["hi"], r["lo"] + (r["part"] + 1) * r["width"] - 1)) for r in hit.collect()]
+
+    def middle(a: int, b: int) -> int:
+        s = a + b
+        return s // 2 if s >= 0 else -(-s // 2)
+
+    return local_relation(spark, [(c, middle(*v)) for c, v in found.items()],
+                          "cluster int, median_score bigint")
+
+
 def cluster_report(points: DataFrame, centers: Sequence[Center],
                    categories: Sequence[str], spread: int) -> DataFrame:
     """``(label, percent, size, median_score)`` per non-empty cluster,
     ascending by median (ties: label, size).
 
-    * A9 median: exact weighted percentile 0.5 (mean of the two middle
-      values on even counts), truncated toward zero;
+    * A9 median: exact weighted median (mean of the two middle values on
+      even counts), truncated toward zero;
     * A10 mode: category with most points, lowest on ties;
     * A11 size and the mode's share in percent.
-    Two partial aggregates over the assigned points; k rows joined.
+    Points are assigned once, into a reliable compact table of
+    (cluster, x, y); the statistics are partial aggregates over it.
     """
-    w = _weight(points)
-    assigned = assign(points, centers).select("cluster", "x", "y", w.alias("_w"))
-    stats = assigned.groupBy("cluster").agg(
-        F.sum("_w").alias("size"),
-        F.percentile("y", 0.5, F.col("_w")).cast("int").alias("median_score"))
-    per_cat = assigned.groupBy("cluster", "x").agg(F.sum("_w").alias("_cnt"))
+    compact = reliable(assign(points, centers).groupBy("cluster", "x", "y")
+                       .agg(F.sum(_weight(points)).alias("_w")))
+    per_cat = compact.groupBy("cluster", "x").agg(F.sum("_w").alias("_cnt"))
     mode = per_cat.groupBy("cluster").agg(
+        F.sum("_cnt").alias("size"),
         F.max_by(F.struct("x", "_cnt"), F.struct(F.col("_cnt"), -F.col("x"))).alias("_m"))
     labels = F.array(*[F.lit(c) for c in categories]).cast("array<string>")
-    report = stats.join(mode, "cluster").select(
+    report = mode.join(weighted_medians(compact), "cluster").select(
         F.element_at(labels, F.expr(f"_m.x div {int(spread)} + 1").cast("int")).alias("label"),
         (F.col("_m._cnt") * 100.0 / F.col("size")).alias("percent"),
         F.col("size").cast("bigint").alias("size"),
@@ -269,11 +353,14 @@ def cluster_report(points: DataFrame, centers: Sequence[Center],
     return sort_bounded(report, "median_score", "label", "size")
 
 
+def report_line() -> Column:
+    """K2: the line of one report row."""
+    return F.format_string(REPORT_FORMAT, "median_score", "label", "percent", "size").alias("line")
+
+
 def report_lines(report: DataFrame) -> DataFrame:
     """K2: one formatted ``line`` per cluster, in report order."""
-    lines = report.select(
-        F.format_string(REPORT_FORMAT, "median_score", "label", "percent", "size").alias("line"),
-        "median_score", "label", "size")
+    lines = report.select(report_line(), "median_score", "label", "size")
     # a report from cluster_report is already in one partition, which
     # satisfies this ordering without another exchange
     return lines.orderBy("median_score", "label", "size").select("line")
@@ -298,7 +385,11 @@ def fit(vectors: DataFrame, params: KMeansParams) -> Clustering:
     plan would keep every shuffle partition of its last stage, however
     small). The compact points are checkpointed before the loop starts.
     """
-    raw = reliable(vectors.select("id", "x", "y"))
+    return fit_reliable(reliable(vectors.select("id", "x", "y")), params)
+
+
+def fit_reliable(raw: DataFrame, params: KMeansParams) -> Clustering:
+    """``fit`` on vectors ``(id, x, y)`` that are reliable already."""
     seeds = sample_seeds(raw, params)
     points = reliable(weighted_points(raw))
     result = kmeans(points, seeds, params.eta, params.max_iterations)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.ordering import sort_bounded
-from strata.operators.cluster import REPORT_FORMAT, REPORT_HEADER
+from strata.operators.cluster import REPORT_HEADER, report_line
 from strata.sources.memory import local_relation
 
 
@@ -26,9 +26,7 @@ def ranking_lines(ranking: DataFrame) -> list[str]:
 
 def report_text(report: DataFrame) -> list[str]:
     """K2: header, rule and one formatted line per cluster, in report order."""
-    lines = report.select(
-        F.format_string(REPORT_FORMAT, "median_score", "label", "percent", "size").alias("line"),
-        "median_score", "label", "size")
+    lines = report.select(report_line(), "median_score", "label", "size")
     ordered = sort_bounded(lines, "median_score", "label", "size")
     return list(REPORT_HEADER) + [r["line"] for r in ordered.collect()]
 
@@ -39,10 +37,9 @@ def write_report(report: DataFrame, path: str) -> None:
     spark = report.sparkSession
     header = local_relation(spark, [(i, h) for i, h in enumerate(REPORT_HEADER)],
                             "pos int, line string")
-    body = report.select(
-        F.lit(len(REPORT_HEADER)).alias("pos"), "median_score", "label", "size",
-        F.format_string(REPORT_FORMAT, "median_score", "label", "percent", "size").alias("line"))
-    ordered = header.select("pos", F.lit(None).cast("int").alias("median_score"),
+    body = report.select(F.lit(len(REPORT_HEADER)).alias("pos"), "median_score", "label", "size",
+                         report_line())
+    ordered = header.select("pos", F.lit(None).cast("bigint").alias("median_score"),
                             F.lit(None).cast("string").alias("label"),
                             F.lit(None).cast("bigint").alias("size"), "line") \
         .unionByName(body)

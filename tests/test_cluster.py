@@ -1,6 +1,7 @@
 """Seeding, nearest center, integer means, k-means loop and report."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata.operators import cluster as C
 
@@ -97,6 +98,8 @@ def test_seeding_preconditions(spark):
         C.KMeansParams(categories=CATS, spread=0)
     small = C.KMeansParams(categories=CATS, spread=100, kernels=3)
     assert len(C.sample_seeds(df, small)) == 3
+    with pytest.raises(ValueError, match="multiple"):       # also where seeds are drawn over all
+        C.sample_seeds(df, C.KMeansParams(categories=CATS[:2], spread=100, kernels=3))
     with pytest.raises(ValueError):
         C.sample_seeds(df, C.KMeansParams(categories=CATS, spread=100, kernels=4))
 
@@ -106,3 +109,62 @@ def test_fit_checkpoints_compact_points(spark):
     fitted = C.fit(vectors(spark, pts), C.KMeansParams(categories=CATS, kernels=3, eta=1.0))
     assert fitted.points.count() == len(set(pts))
     assert len(fitted.result.centers) == 3
+
+
+@pytest.mark.parametrize("k", [45, 500])
+def test_many_centers_agree_with_the_expression(spark, k):
+    import random
+    rnd = random.Random(k)
+    pts = [(rnd.randint(0, 40), rnd.randint(-40, 40)) for _ in range(700)]
+    centers = [(rnd.randint(0, 40), rnd.randint(-40, 40)) for _ in range(k)]     # many ties
+    df = vectors(spark, pts)
+    got = [r["cluster"] for r in C.assign(df, centers).orderBy("id").collect()]
+    want = [min(range(k), key=lambda i: ((x - centers[i][0]) ** 2 + (y - centers[i][1]) ** 2, i))
+            for x, y in pts]
+    assert got == want
+    few = centers[:C.EXPRESSION_CENTERS]
+    a = [r[0] for r in df.orderBy("id").select(C.nearest_center(few)).collect()]
+    b = [r[0] for r in df.orderBy("id").select(C.batch_nearest(few)("x", "y")).collect()]
+    assert a == b
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_centers_beyond_32_bits(spark, ansi):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        big = 3_000_000_000
+        df = vectors(spark, [(0, big), (0, big + 2), (0, -big)])
+        assert C.kmeans_step(df, [(0, big), (0, -big)]) == [(0, big + 1), (0, -big)]
+        row = C.cluster_report(df.where("y > 0"), [(0, big)], CATS, 50000).first()
+        assert row["median_score"] == big + 1
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+@pytest.mark.parametrize("ranges", [2, 7, 256])
+def test_medians_of_weighted_values(spark, ranges):
+    import random
+    rnd = random.Random(ranges)
+    rows = [(c, rnd.choice([rnd.randint(-9, 9), rnd.randint(-10 ** 6, 10 ** 12)]), rnd.randint(1, 4))
+            for c in range(6) for _ in range(rnd.randint(1, 60))] + [(9, -3, 1), (9, -2, 1), (8, 5, 3)]
+    got = dict(C.weighted_medians(spark.createDataFrame(rows, "cluster int, y bigint, _w bigint"),
+                                  ranges).collect())
+    for c in {r[0] for r in rows}:
+        ys = sorted(y for k, y, w in rows if k == c for _ in range(w))
+        s = ys[(len(ys) - 1) // 2] + ys[len(ys) // 2]
+        assert got[c] == (s // 2 if s >= 0 else -(-s // 2))
+
+
+def test_seeding_many_per_category(spark):
+    """5000 a category, one category dominant: each salt is cut before a category meets."""
+    df = spark.range(60000).select("id", F.when(F.col("id") % 10 == 0, 50000).otherwise(0)
+                                   .cast("bigint").alias("x"), (F.col("id") % 97).alias("y"))
+    out = C.seed_points_per_category(df, 5000, 1)
+    got = {(r["x"], r["rank"]): r["id"] for r in out.collect()}
+    import hashlib
+    for x in (0, 50000):
+        ids = [i for i in range(60000) if (50000 if i % 10 == 0 else 0) == x]
+        want = sorted(ids, key=lambda i: (hashlib.md5(f"{i}#1".encode()).hexdigest(), i))[:5000]
+        assert [got[x, k + 1] for k in range(5000)] == want
+    assert "_salt" in out._jdf.queryExecution().executedPlan().toString()
