@@ -30,7 +30,8 @@ POSTING_COLUMNS = ("posting_type", "id", "accepted_answer", "parent_id", "score"
 QUESTION, ANSWER = 1, 2
 ANSWER_PREFIX = "a_"
 # Category lists up to this length are matched as a literal array per row;
-# longer ones are joined as a broadcast relation (size = the driver list).
+# longer ones are joined as a local relation, whose exact size lets Spark
+# decide on a broadcast.
 LITERAL_CATEGORIES_MAX = 64
 ANSWER_BLOCK = 1024
 
@@ -66,28 +67,36 @@ def nested_answers(postings: DataFrame, block_size: int = ANSWER_BLOCK) -> DataF
     """(question, answer) pairs grouped under the question id.
 
     Returns ``(id, block, n, pairs)``: ``pairs`` is an array of
-    ``struct(answer, question)`` sorted by answer, for the answers whose id
-    lies in ``[block*size, (block+1)*size)`` (at most ``block_size`` distinct
-    answer ids per row).
-
-    Answers are grouped into blocks *before* the join, on (parent, block):
-    a question holding a third of all answers spreads over many tasks, and
-    the join is the last shuffle, so AQE can still split a skewed partition.
-    A question row meets each of its answer blocks once; when several
-    question rows share an id, each gets its own rows with its pairs.
+    ``struct(answer, question, copies)`` sorted by answer, for the answers
+    whose id lies in ``[block*size, (block+1)*size)``; ``copies`` says how
+    often an answer row occurs, ``n`` counts every copy.
+
+    Copies of an answer row are counted in a map-side aggregate before lists
+    are collected, so they widen neither a list nor a task. Answers are
+    grouped into blocks *before* the join, on (parent, block): a question
+    holding a third of all answers spreads over many tasks, and the join is
+    the last shuffle, so AQE can still split a skewed partition. A question
+    row meets each of its answer blocks once; when several question rows
+    share an id, each gets its own rows with its pairs.
     """
     a = answers(postings)
-    block = id_block(a, "id", block_size)
-    blocks = a.groupBy(F.col("parent_id").alias("_qid"), block.alias("block")).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sort_array(F.collect_list(F.struct(*POSTING_COLUMNS))).alias("_answers"))
+    varying = ["id", "accepted_answer", "score", "tags"]     # type and parent are those of the group
+    counted = a.groupBy("parent_id", id_block(a, "id", block_size).alias("block"), *varying) \
+        .agg(F.count(F.lit(1)).alias("copies"))
+    blocks = counted.groupBy(F.col("parent_id").alias("_qid"), "block").agg(
+        F.sum("copies").alias("_n"),
+        F.sort_array(F.collect_list(F.struct(*varying, "copies"))).alias("_answers"))
     q = questions(postings).select(*POSTING_COLUMNS)
     joined = q.join(blocks, F.col("id") == F.col("_qid"), "inner")
     question = F.struct(*POSTING_COLUMNS)
-    return joined.select(
-        "id", "block", F.col("_n").alias("n"),
-        F.transform("_answers", lambda ans: F.struct(ans.alias("answer"),
-                                                     question.alias("question"))).alias("pairs"))
+    fixed = {"posting_type": F.lit(ANSWER), "parent_id": F.col("_qid")}
+
+    def pair(x):
+        answer = F.struct(*[(fixed[c] if c in fixed else x[c]).alias(c) for c in POSTING_COLUMNS])
+        return F.struct(answer.alias("answer"), question.alias("question"), x["copies"].alias("copies"))
+
+    return joined.select("id", "block", F.col("_n").alias("n"),
+                         F.transform("_answers", pair).alias("pairs"))
 
 
 def best_answer_plain(postings: DataFrame) -> DataFrame:
@@ -140,7 +149,7 @@ def category_vectors(scored: DataFrame, categories: Sequence[str], spread: int,
         relation = local_relation(scored.sparkSession,
                                   list(zip(categories, range(len(categories)))),
                                   "_tag string, _cat int")
-        indexed = scored.join(F.broadcast(relation), F.col(tags) == F.col("_tag")) \
+        indexed = scored.join(relation, F.col(tags) == F.col("_tag")) \
             .select(F.col(id_col).alias("id"), "_cat", F.col(score).alias("_y"))
     return indexed.where(F.col("_cat").isNotNull()).select(
         "id",

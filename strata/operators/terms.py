@@ -28,10 +28,6 @@ from strata.sources.memory import local_relation
 # Up to this many terms the list is inlined as a literal array and matched
 # per row with a hash set; longer lists are joined as a relation instead.
 LITERAL_TERMS_MAX = 64
-# A term relation up to this many rows is broadcast (its size is the
-# length of the caller's Python list, known on the driver); beyond it the
-# join shuffles and AQE may still pick a broadcast at run time.
-BROADCAST_TERMS_MAX = 1_000_000
 # Default width of the id range of one posting-list block.
 POSTING_BLOCK = 1024
 
@@ -51,10 +47,6 @@ def term_frame(spark: SparkSession, terms: Sequence[str]) -> DataFrame:
     return local_relation(spark, list(zip(terms, range(len(terms)))), "term string, pos int")
 
 
-def _bounded_broadcast(frame: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(frame) if rows <= BROADCAST_TERMS_MAX else frame
-
-
 def count_term(articles: DataFrame, term: str, text: str = "text") -> DataFrame:
     """A1: number of articles whose text holds ``term`` -> ``(term, n bigint)``."""
     return articles.agg(F.count_if(contains_token(text, term)).alias("n")) \
@@ -66,7 +58,8 @@ def matching_terms(articles: DataFrame, terms: Sequence[str], text: str = "text"
     """One row per (article, matching term) -> ``([id_col,] [payload,] term)``.
 
     Short lists: ``explode(array_intersect(tokens, literal))``, a single
-    narrow stage. Long lists: distinct tokens joined to the term relation.
+    narrow stage. Long lists: distinct tokens joined to the term relation, a
+    local relation of exact size, which Spark broadcasts below its threshold.
     """
     terms = _check_terms(terms)
     keep = ([id_col] if id_col else []) + list(payload)
@@ -75,7 +68,7 @@ def matching_terms(articles: DataFrame, terms: Sequence[str], text: str = "text"
     distinct_tokens = articles.select(
         *keep, F.explode(F.array_distinct(tokens(text))).alias("term"))
     relation = term_frame(articles.sparkSession, terms).select("term")
-    return distinct_tokens.join(_bounded_broadcast(relation, len(terms)), "term") \
+    return distinct_tokens.join(relation, "term") \
         .select(*keep, "term")
 
 
@@ -88,19 +81,32 @@ def rank_order(ranking: DataFrame) -> DataFrame:
     return sort_bounded(ranking, F.desc("n"), F.asc("term"))
 
 
+def token_counts(articles: DataFrame, text: str = "text") -> DataFrame:
+    """``(term, n)``: articles per token, every token of the collection.
+
+    Tokens are counted in the task before they move, so a token of every
+    article ships one row per task.
+    """
+    return articles.select(F.explode(F.array_distinct(tokens(text))).alias("term")) \
+        .groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+
+
 def rank_terms(articles: DataFrame, terms: Sequence[str], text: str = "text") -> DataFrame:
     """A5: rank by reduction -> ``(term, n bigint)``; terms never seen are absent."""
-    counts = matching_terms(articles, terms, text).groupBy("term") \
-        .agg(F.count(F.lit(1)).alias("n"))
-    return rank_order(counts)
+    terms = _check_terms(terms)
+    if len(terms) > LITERAL_TERMS_MAX:
+        relation = term_frame(articles.sparkSession, terms).select("term")
+        return rank_order(token_counts(articles, text).join(relation, "term"))
+    return rank_order(matching_terms(articles, terms, text).groupBy("term")
+                      .agg(F.count(F.lit(1)).alias("n")))
 
 
 def rank_terms_all(articles: DataFrame, terms: Sequence[str], text: str = "text") -> DataFrame:
     """A2: every term of the list with its count, zero counts kept.
 
     Short lists: one global aggregate of conditional counts over the
-    matched terms (each task ships one row), unpivoted afterwards. Long lists: A5
-    right-joined to the term relation.
+    matched terms (each task ships one row), unpivoted afterwards. Long
+    lists: counted tokens joined to the term relation, whatever its length.
     """
     terms = _check_terms(terms)
     if len(terms) <= LITERAL_TERMS_MAX:
@@ -114,12 +120,8 @@ def rank_terms_all(articles: DataFrame, terms: Sequence[str], text: str = "text"
         # the global aggregate already yields one partition, which satisfies
         # the ordering directly (no exchange)
         return counts.select(F.inline(rows)).orderBy(F.desc("n"), F.asc("term"))
-    counts = matching_terms(articles, terms, text).groupBy("term") \
-        .agg(F.count(F.lit(1)).alias("n"))
-    # the term list is the preserved side of the outer join, so the counts
-    # (at most one row per listed term: the same bound) are the side built
     relation = term_frame(articles.sparkSession, terms).select("term")
-    ranked = relation.join(_bounded_broadcast(counts, len(terms)), "term", "left") \
+    ranked = token_counts(articles, text).join(relation, "term", "right") \
         .select("term", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
     return rank_order(ranked)
 
@@ -157,21 +159,21 @@ def posting_lists(index: DataFrame, id_col: str = "doc_id",
                   block_size: int = POSTING_BLOCK) -> DataFrame:
     """A3 (nested form): ``(term, block, n, ids array)`` sorted id lists.
 
-    A block holds the ids of one term in ``[block*size, (block+1)*size)``,
-    so with unique integral ids a block never exceeds ``block_size`` ids and
-    a term present in every article spreads over many tasks.
+    A block holds the distinct ids of one term in
+    ``[block*size, (block+1)*size)``, at most ``block_size`` of them, so a
+    term present in every article spreads over many tasks. Ids are merged in
+    the task before they move; ``n`` counts every copy of an id.
     """
     block = id_block(index, id_col, block_size)
     return index.groupBy("term", block.alias("block")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sort_array(F.collect_list(id_col)).alias("ids"))
+        F.sort_array(F.collect_set(id_col)).alias("ids"))
 
 
 def rank_from_index(index: DataFrame) -> DataFrame:
     """A4: posting-list length per term, from either index form."""
     if "ids" in index.columns:
-        counts = index.groupBy("term").agg(F.sum(F.size("ids")).cast("bigint").alias("n"))
+        counts = index.groupBy("term").agg(F.sum("n").cast("bigint").alias("n"))
     else:
         counts = index.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     return rank_order(counts)
-

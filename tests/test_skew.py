@@ -70,6 +70,27 @@ def test_hot_question_best_answer_and_blocks(skew_spark):
     assert stats["total"] == HOT_ANSWERS and stats["widest"] <= 512 and stats["rows"] > 50
 
 
+def test_copies_of_one_answer_widen_no_block(skew_spark):
+    """One answer row is a third of all rows; n still counts every copy."""
+    q = hot_postings(skew_spark).where("posting_type = 1")
+    a = hot_postings(skew_spark).where("posting_type = 2")
+    hot = a.where("id = 1000001").crossJoin(skew_spark.range(N_A // 2)
+                                             .select(F.col("id").alias("k"))).drop("k")
+    nested = PO.nested_answers(q.unionByName(a).unionByName(hot), block_size=512)
+    got = nested.agg(F.sum("n").alias("n"), F.max(F.size("pairs")).alias("widest")).first()
+    assert got["n"] == N_A + N_A // 2 and got["widest"] <= 512
+    pairs = nested.select(F.explode("pairs").alias("p")).select("p.copies", "p.answer.id")
+    assert pairs.where("copies > 1").collect() == [(N_A // 2 + 1, 1000001)]
+
+
+def test_dominant_cluster_with_many_scores(skew_spark):
+    df = skew_spark.range(60000).select("id", F.lit(0).cast("bigint").alias("x"),
+                                        (F.col("id") * 7919 % 1000003).alias("y"))
+    row = C.cluster_report(df, [(0, 0), (0, 10 ** 9)], ["A"], 50000).first()
+    ys = sorted(i * 7919 % 1000003 for i in range(60000))
+    assert (row["size"], row["median_score"]) == (60000, (ys[29999] + ys[30000]) // 2)
+
+
 def test_term_in_every_article(spark):
     arts = spark.range(5000).select(
         F.col("id").alias("doc_id"),
