@@ -10,12 +10,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.checks import expect_count
+from strata.checks import expect_count, persisted
 from strata.operators import cluster as C
 from strata.operators import postings as PO
 from strata.operators import terms as T
 from strata.operators import timeuse as TU
 from strata.sources.articles import read_articles
+from strata.sources.memory import local_relation
 from strata.sources.postings import read_postings
 from strata.sources.survey import read_survey
 
@@ -28,24 +29,35 @@ class TermPopularity:
 
 
 def term_popularity(spark: SparkSession, path: str, terms: Sequence[str]) -> TermPopularity:
-    """S1 -> A2 / (A3 -> A4) / A5 -> O1."""
-    articles = read_articles(spark, path)
-    return TermPopularity(T.rank_terms_all(articles, terms),
-                          T.rank_from_index(T.inverted_index(articles, terms)),
-                          T.rank_terms(articles, terms))
+    """S1 -> A2 / (A3 -> A4) / A5 -> O1.
+
+    The articles are pinned while the three rankings are computed, so the
+    text is read and parsed once; a ranking has one row per listed term.
+    """
+    def done(ranking: DataFrame) -> DataFrame:
+        return local_relation(spark, [tuple(r) for r in ranking.select("term", "n").collect()],
+                              "term string, n bigint")
+
+    with persisted(read_articles(spark, path, id_col="doc_id")) as articles:
+        return TermPopularity(done(T.rank_terms_all(articles, terms)),
+                              done(T.rank_from_index(T.inverted_index(articles, terms))),
+                              done(T.rank_terms(articles, terms)))
 
 
 def score_clusters(spark: SparkSession, path: str, params: C.KMeansParams,
                    expected_vectors: int | None = None) -> tuple[DataFrame, C.Clustering]:
     """S2 -> P3 -> J1 -> A7 -> P7 -> A16 -> M2 -> I1 -> A12 -> O3.
 
-    Returns the report (K2 via ``strata.sinks.report_text``) and the fit.
+    The text is read once; the vectors are made once and kept reliably, and
+    the row-count check and the fit read them from there. Returns the report (K2 via
+    ``strata.sinks.report_text``) and the fit.
     """
-    postings = read_postings(spark, path)
-    vectors = PO.category_vectors(PO.best_answer(postings), params.categories, params.spread)
+    with persisted(read_postings(spark, path)) as postings:     # both sides of the join
+        vectors = C.reliable(PO.category_vectors(PO.best_answer(postings), params.categories,
+                                                 params.spread).select("id", "x", "y"))
     if expected_vectors is not None:
         expect_count(vectors, expected_vectors, "vectors")
-    fitted = C.fit(vectors, params)
+    fitted = C.fit_reliable(vectors, params)
     report = C.cluster_report(fitted.points, fitted.result.centers, params.categories,
                               params.spread)
     return report, fitted

@@ -48,8 +48,6 @@ GROUP BY t.term
 ORDER BY n DESC, t.term
 """
 
-SQL["term_rank_per_term"] = SQL["term_rank_all"]
-
 # every two-letter lowercase word, with the document count of each
 SQL["term_rank_vocabulary"] = """
 WITH letters AS (SELECT chr(CAST(97 + i AS INTEGER)) AS c FROM range(26) t(i)),
@@ -71,7 +69,7 @@ FROM documents d JOIN terms t ON {HAS_TERM}
 
 SQL["indexed_articles"] = f"""
 WITH {TERMS_CTE}
-SELECT d.doc_id, t.term, d.lang, d.source, d.n_chars
+SELECT d.doc_id, t.term, d.text, d.lang, d.source, d.n_chars
 FROM documents d JOIN terms t ON {HAS_TERM}
 """
 
@@ -165,16 +163,8 @@ FROM q JOIN a ON q.id = a.parent_id
 GROUP BY q.id, a.id // {P.ANSWER_BLOCK}"""
 
 SQL["best_answer"] = f"WITH {BEST_CTE}\nSELECT * FROM best"
-SQL["best_answer_plain"] = f"""WITH {POSTINGS_CTE}
-SELECT q.posting_type, q.id, q.accepted_answer, q.parent_id, q.score, q.tags,
-       greatest(max(a.score), 0) AS high_score
-FROM q JOIN a ON q.id = a.parent_id
-GROUP BY q.posting_type, q.id, q.accepted_answer, q.parent_id, q.score, q.tags"""
-
 # --- clustering -------------------------------------------------------------
 
-_CAT_CASE = "CASE tags " + " ".join(
-    f"WHEN {_str(c)} THEN {i}" for i, c in enumerate(P.CATEGORIES)) + " END"
 _CAT_LIST = "[" + ", ".join(_str(c) for c in P.CATEGORIES) + "]"
 _PER_CAT = P.KERNELS // len(P.CATEGORIES)
 _KEY = f"md5(CAST(id AS VARCHAR) || '#{P.SEED}')"
@@ -186,19 +176,30 @@ def _nearest(points: str, centers: str) -> str:
             f" + ({points}.y - {centers}.y) * ({points}.y - {centers}.y)) * 1000 + {centers}.cluster)")
 
 
-VECTORS_CTE = BEST_CTE + f""",
+def _vectors(categories=P.CATEGORIES, spread: int = P.SPREAD,
+             rows: str = "SELECT id, tags, high_score FROM best") -> str:
+    case = "CASE tags " + " ".join(f"WHEN {_str(c)} THEN {i}" for i, c in enumerate(categories)) + " END"
+    return BEST_CTE + f""",
 vectors AS (
-  SELECT id, CAST(({_CAT_CASE}) * {P.SPREAD} AS BIGINT) AS x, CAST(high_score AS BIGINT) AS y
-  FROM best WHERE ({_CAT_CASE}) IS NOT NULL),
-seeds AS (
+  SELECT id, CAST(({case}) * {spread} AS BIGINT) AS x, CAST(high_score AS BIGINT) AS y
+  FROM ({rows}) WHERE ({case}) IS NOT NULL)"""
+
+
+SEEDS = f"""
   SELECT x, y, id, CAST(rank AS INTEGER) AS rank FROM (
     SELECT x, y, id, row_number() OVER (PARTITION BY x ORDER BY {_KEY}, id, y) AS rank
-    FROM vectors) WHERE rank <= {_PER_CAT}),
-centers0 AS (
-  SELECT CAST(row_number() OVER (ORDER BY x, rank) - 1 AS INTEGER) AS cluster, x, y FROM seeds),
-points AS (SELECT x, y, count(*) AS n FROM vectors GROUP BY x, y)"""
+    FROM vectors) WHERE rank <= {_PER_CAT}"""
+GLOBAL_SEEDS = f"""
+  SELECT x, y, id, CAST(row_number() OVER (ORDER BY {_KEY}, id, x, y) AS INTEGER) AS rank
+  FROM vectors QUALIFY rank <= {P.KERNELS}"""
+
 
-KMEANS_CTE = VECTORS_CTE + f""",
+def _kmeans(vectors: str, seeds: str = SEEDS, order: str = "x, rank", cap: int = P.MAX_ITERATIONS) -> str:
+    return vectors + f""",
+seeds AS ({seeds}),
+centers0 AS (
+  SELECT CAST(row_number() OVER (ORDER BY {order}) - 1 AS INTEGER) AS cluster, x, y FROM seeds),
+points AS (SELECT x, y, count(*) AS n FROM vectors GROUP BY x, y),
 km(it, cluster, old_x, old_y, x, y, d, total) AS (
   SELECT 0, cluster, x, y, x, y, CAST(0 AS DOUBLE), CAST('inf' AS DOUBLE) FROM centers0
   UNION ALL
@@ -213,29 +214,40 @@ km(it, cluster, old_x, old_y, x, y, d, total) AS (
       FROM (SELECT p.x, p.y, p.n, {_nearest('p', 'c')} AS cluster
             FROM points p CROSS JOIN km c GROUP BY p.x, p.y, p.n)
       GROUP BY cluster) m ON m.cluster = k.cluster
-    WHERE k.total >= {P.ETA} AND k.it < {P.MAX_ITERATIONS})),
+    WHERE k.total >= {P.ETA} AND k.it < {cap})),
 final AS (SELECT cluster, x, y FROM km WHERE it = (SELECT max(it) FROM km))"""
 
-SQL["category_vectors"] = f"WITH {VECTORS_CTE}\nSELECT id, x, y FROM vectors"
-SQL["weighted_points"] = f"WITH {VECTORS_CTE}\nSELECT x, y, n FROM points"
-SQL["seed_points_per_category"] = f"WITH {VECTORS_CTE}\nSELECT x, y, id, rank FROM seeds"
+
+VECTORS_CTE, KMEANS_CTE = _vectors(), _kmeans(_vectors())
+HISTORY = ("SELECT it AS iter, cluster, old_x, old_y, x AS new_x, y AS new_y, d AS dist "
+           "FROM km WHERE it >= 1")
+
+SQL["category_vectors"] = f"WITH {_vectors(P.KNOWN_CATEGORIES)}\nSELECT id, x, y FROM vectors"
+SQL["weighted_points"] = (f"WITH {VECTORS_CTE}\n"
+                          "SELECT x, y, count(*) AS n FROM vectors GROUP BY x, y")
+SQL["seed_points_per_category"] = f"WITH {VECTORS_CTE}\nSELECT x, y, id, rank FROM ({SEEDS})"
 SQL["seed_points_global"] = f"""WITH {VECTORS_CTE}
 SELECT x, y, id FROM vectors ORDER BY {_KEY}, id, x, y LIMIT {P.KERNELS}"""
-SQL["nearest_center"] = f"""WITH {VECTORS_CTE},
+SQL["nearest_center"] = f"""WITH RECURSIVE {KMEANS_CTE},
 v AS (SELECT row_number() OVER () AS pk, id, x, y FROM vectors)
 SELECT v.id, v.x, v.y, {_nearest('v', 'c')} AS cluster
 FROM v CROSS JOIN centers0 c GROUP BY v.pk, v.id, v.x, v.y"""
 SQL["kmeans_step"] = f"WITH RECURSIVE {KMEANS_CTE}\nSELECT cluster, x, y FROM km WHERE it = 1"
 SQL["kmeans_centers"] = f"WITH RECURSIVE {KMEANS_CTE}\nSELECT cluster, x, y FROM final"
-SQL["kmeans_history"] = f"""WITH RECURSIVE {KMEANS_CTE}
-SELECT it AS iter, cluster, old_x, old_y, x AS new_x, y AS new_y, d AS dist FROM km WHERE it >= 1"""
+SQL["kmeans_history"] = f"WITH RECURSIVE {KMEANS_CTE}\n{HISTORY}"
+SQL["kmeans_global_sample"] = "WITH RECURSIVE " + _kmeans(
+    _vectors(spread=P.NARROW_SPREAD), GLOBAL_SEEDS, "rank") + "\nSELECT cluster, x, y FROM final"
+SQL["kmeans_capped"] = "WITH RECURSIVE " + _kmeans(VECTORS_CTE, cap=P.FEW_ITERATIONS) + "\n" + HISTORY
+SQL["kmeans_signed"] = "WITH RECURSIVE " + _kmeans(_vectors(
+    rows="SELECT a.id, q.tags, a.score AS high_score FROM q JOIN a ON q.id = a.parent_id")) \
+    + "\nSELECT cluster, x, y FROM final"
 
 REPORT_CTE = KMEANS_CTE + f""",
 v AS (SELECT row_number() OVER () AS pk, x, y FROM vectors),
 asg AS (SELECT v.x, v.y, {_nearest('v', 'c')} AS cluster
         FROM v CROSS JOIN final c GROUP BY v.pk, v.x, v.y),
 stats AS (SELECT cluster, CAST(count(*) AS BIGINT) AS size,
-                 CAST(trunc(quantile_cont(y, 0.5)) AS INTEGER) AS median_score
+                 CAST(trunc(quantile_cont(y, 0.5)) AS BIGINT) AS median_score
           FROM asg GROUP BY cluster),
 modes AS (SELECT cluster, x, cnt FROM (
             SELECT cluster, x, count(*) AS cnt,

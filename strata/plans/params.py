@@ -17,14 +17,19 @@ def two_letter_words() -> tuple[str, ...]:
 
 VOCABULARY = two_letter_words()
 
-# Categories for clustering = order priorities,
-# in this order; "5-LOW" is left out so that unknown tags are dropped.
-CATEGORIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED")
+# Categories for clustering = all order priorities, in order.
+CATEGORIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+# The first four alone, so that P7 drops an unknown tag.
+KNOWN_CATEGORIES = CATEGORIES[:4]
 
 # K-means parameters (spread, eta and cap as the reference;
 # k is a multiple of the category count as the seeding requires).
 SPREAD = 50000
-KERNELS = 12
+KERNELS = 15
+# Below the spread at which seeds are drawn over all categories.
+NARROW_SPREAD = 400
+# A run that the cap ends.
+FEW_ITERATIONS = 2
 ETA = 20.0
 MAX_ITERATIONS = 120
 SEED = 42

@@ -7,6 +7,7 @@ Column names match the oracle SQL in ``strata.plans.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,7 +57,7 @@ def inverted_index(spark, sf_dir):
 def indexed_articles(spark, sf_dir):
     """A3 with its payload: article columns carried through the explode."""
     return T.inverted_index(read_table(spark, sf_dir, "documents"), P.DOC_TERMS,
-                            payload=("lang", "source", "n_chars"))
+                            payload=("text", "lang", "source", "n_chars"))
 
 
 def posting_lists(spark, sf_dir):
@@ -116,7 +117,9 @@ def answered_questions(spark, sf_dir):
 def nested_answers(spark, sf_dir):
     nested = PO.nested_answers(_postings(spark, sf_dir), block_size=P.ANSWER_BLOCK)
     text = F.array_join(F.transform(
-        "pairs", lambda p: F.concat_ws(":", p["answer"]["id"], p["answer"]["score"])), ",")
+        "pairs", lambda p: F.array_join(F.array_repeat(
+            F.concat_ws(":", p["answer"]["id"], p["answer"]["score"]), p["copies"].cast("int")),
+            ",")), ",")
     return nested.select("id", "block", "n", text.alias("answers"))
 
 
@@ -139,7 +142,8 @@ def _vectors(spark, sf_dir):
 
 
 def category_vectors(spark, sf_dir):
-    return _vectors(spark, sf_dir)
+    """P7 with one tag that the list does not know."""
+    return PO.category_vectors(PO.best_answer(_postings(spark, sf_dir)), P.KNOWN_CATEGORIES, P.SPREAD)
 
 
 def weighted_points(spark, sf_dir):
@@ -156,17 +160,38 @@ def seed_points_global(spark, sf_dir):
 
 
 def nearest_center(spark, sf_dir):
-    vectors = _vectors(spark, sf_dir)
-    seeds = C.sample_seeds(vectors, PARAMS)
-    return C.assign(vectors, seeds).select("id", "x", "y", "cluster")
+    vectors = C.reliable(_vectors(spark, sf_dir))
+    return C.assign(vectors, C.sample_seeds(vectors, PARAMS)).select("id", "x", "y", "cluster")
 
 
 def kmeans_step(spark, sf_dir):
-    vectors = _vectors(spark, sf_dir)
+    vectors = C.reliable(_vectors(spark, sf_dir))
     seeds = C.sample_seeds(vectors, PARAMS)
     return C.centers_frame(spark, C.kmeans_step(C.weighted_points(vectors), seeds))
 
 
+def kmeans_global_sample(spark, sf_dir):
+    """I1 from seeds drawn over all categories (M1): a spread below the limit."""
+    params = replace(PARAMS, spread=P.NARROW_SPREAD)
+    vectors = PO.category_vectors(PO.best_answer(_postings(spark, sf_dir)), P.CATEGORIES,
+                                  P.NARROW_SPREAD)
+    return C.centers_frame(spark, C.fit(vectors, params).result.centers)
+
+
+def kmeans_capped(spark, sf_dir):
+    """I1 ended by the iteration cap."""
+    params = replace(PARAMS, max_iterations=P.FEW_ITERATIONS)
+    return C.history_frame(spark, C.fit(_vectors(spark, sf_dir), params).result)
+
+
+def kmeans_signed(spark, sf_dir):
+    """I1 on every answer's own score: negative values and means."""
+    pairs = PO.answered_questions(_postings(spark, sf_dir)).select(
+        F.col("a_id").alias("id"), "tags", F.col("a_score").alias("high_score"))
+    vectors = PO.category_vectors(pairs, P.CATEGORIES, P.SPREAD)
+    return C.centers_frame(spark, C.fit(vectors, PARAMS).result.centers)
+
+
 def _fit(spark, sf_dir):
     return C.fit(_vectors(spark, sf_dir), PARAMS)
 
@@ -192,7 +217,6 @@ QUERIES: dict[str, Query] = {
     "term_count": term_count,
     "term_rank": term_rank,
     "term_rank_all": term_rank_all,
-    "term_rank_per_term": term_rank_per_term,
     "term_rank_vocabulary": term_rank_vocabulary,
     "inverted_index": inverted_index,
     "indexed_articles": indexed_articles,
@@ -202,7 +226,6 @@ QUERIES: dict[str, Query] = {
     "answered_questions": answered_questions,
     "nested_answers": nested_answers,
     "best_answer": best_answer,
-    "best_answer_plain": best_answer_plain,
     "category_vectors": category_vectors,
     "weighted_points": weighted_points,
     "seed_points_per_category": seed_points_per_category,
@@ -211,6 +234,9 @@ QUERIES: dict[str, Query] = {
     "kmeans_step": kmeans_step,
     "kmeans_centers": kmeans_centers,
     "kmeans_history": kmeans_history,
+    "kmeans_global_sample": kmeans_global_sample,
+    "kmeans_capped": kmeans_capped,
+    "kmeans_signed": kmeans_signed,
     "cluster_report": cluster_report,
     "cluster_report_lines": cluster_report_lines,
     "time_use_summary": time_use_summary,

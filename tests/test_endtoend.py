@@ -5,9 +5,14 @@ from decimal import ROUND_HALF_UP, Decimal
 import os
 import random
 
+import pytest
+
+from strata.checks import DataCheckError
 from strata.operators.cluster import KMeansParams
+from strata.plans import endtoend
 from strata.plans.endtoend import score_clusters, term_popularity, time_use_by_life_period
 from strata.sinks import report_text
+from strata.sources.postings import read_postings
 
 
 def write(folder, name, lines):
@@ -16,15 +21,17 @@ def write(folder, name, lines):
 
 
 def test_term_popularity(spark, scratch):
-    texts = ["Groovy is pretty interesting, and so is Erlang", "Scala and Java run on the JVM",
-             "Scala is not purely functional", "The cool kids like Haskell more than Java",
-             "Java is for enterprise developers"]
+    rnd = random.Random(2)
+    words = ["basil", "Basil", "mace", "mace,", "dill", "of", "leaf"]
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 6))) for _ in range(60)]
     write(scratch, "a.dat", ["<page><title>x" + str(i) + "</title><text>" + t + "</text></page>xx"
                              for i, t in enumerate(texts)])
-    res = term_popularity(spark, scratch, ["Scala", "Java", "Groovy", "Haskell", "Erlang", "Cobol"])
-    want = [("Java", 3), ("Scala", 2), ("Erlang", 1), ("Groovy", 1), ("Haskell", 1)]
-    as_list = lambda df: [(r["term"], r["n"]) for r in df.collect()]
-    assert as_list(res.ranked) == want + [("Cobol", 0)]
+    terms = ["dill", "mace", "basil", "yarrow"]
+    n = {t: sum(t in x.split(" ") for x in texts) for t in terms}
+    want = sorted(((t, c) for t, c in n.items() if c), key=lambda p: (-p[1], p[0]))
+    res = term_popularity(spark, scratch, terms)
+    as_list = lambda df: [(r["term"], r["n"]) for r in df.collect()]
+    assert as_list(res.ranked) == want + [("yarrow", 0)]
     assert as_list(res.ranked_from_index) == want == as_list(res.ranked_by_reduction)
 
 
@@ -88,7 +95,19 @@ def brute_clusters(lines, p: KMeansParams):
     return means, it, sorted(report, key=lambda r: (r[3], r[0], r[2]))
 
 
-def test_score_clusters_matches_brute_force(spark, scratch):
+def counting(df, spark, reads):
+    """``df`` that adds up the rows read from it."""
+    reads.append(spark.sparkContext.accumulator(0))
+    seen = reads[-1]
+
+    def run(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+    return df.mapInArrow(run, df.schema)
+
+
+def test_score_clusters_matches_brute_force(spark, scratch, monkeypatch):
     rnd = random.Random(5)
     tags = ["A", "B", "C", "D"]
     lines, aid = [], 100000
@@ -102,7 +121,14 @@ def test_score_clusters_matches_brute_force(spark, scratch):
     p = KMeansParams(categories=("A", "B", "C"), spread=50000, kernels=6, eta=20.0,
                      max_iterations=120, seed=42)
     means, iters, want = brute_clusters(lines, p)
-    report, fitted = score_clusters(spark, scratch, p)
+    reads = []
+    monkeypatch.setattr(endtoend, "read_postings",
+                        lambda *a: counting(read_postings(*a), spark, reads))
+    vectors = sum(r[2] for r in want)
+    report, fitted = score_clusters(spark, scratch, p, expected_vectors=vectors)
+    assert reads[0].value == len(lines)         # check and fit share one evaluation
+    with pytest.raises(DataCheckError):
+        score_clusters(spark, scratch, p, expected_vectors=vectors + 1)
     assert fitted.result.centers == means and fitted.result.iterations == iters
     got = [(r["label"], r["percent"], r["size"], r["median_score"]) for r in report.collect()]
     assert got == want

@@ -7,14 +7,17 @@ import io
 
 import pytest
 
-import __spark_entry__ as E
+from strata.operators import postings as PO
+from strata.operators import terms as T
+from strata.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
                 "MapInPandas", "PythonUDF", "AggregateInPandas")
 # queries whose callable runs Spark jobs before returning (seeding, loop)
 EAGER = {"nearest_center", "kmeans_step", "kmeans_centers", "kmeans_history",
-         "cluster_report", "cluster_report_lines"}
+         "kmeans_global_sample", "kmeans_capped", "kmeans_signed", "cluster_report",
+         "cluster_report_lines"}
 
 
 def plan(df):
@@ -26,8 +29,7 @@ def plan(df):
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    qs = E.queries()
-    return {k: plan(q(spark, SF)) for k, q in qs.items() if k not in EAGER}
+    return {k: plan(q(spark, SF)) for k, q in QUERIES.items() if k not in EAGER}
 
 
 def test_no_python_in_any_plan(plans):
@@ -63,8 +65,9 @@ def test_answers_aggregated_before_join(plans):
 
 def test_seed_limit_before_shuffle(plans):
     text = plans["seed_points_per_category"]
+    salted = text.index("hashpartitioning(x") if "_salt" not in text else text.index("_salt")
     assert "row_number(), 3, Partial" in text and "row_number(), 3, Final" in text
-    assert text.index("Partial") < text.index("hashpartitioning(x")
+    assert salted > 0 and text.index("Partial") < text.index("hashpartitioning(x")
 
 
 def test_global_seeds_are_top_k(plans):
@@ -72,16 +75,44 @@ def test_global_seeds_are_top_k(plans):
 
 
 def test_eager_queries_have_python_free_plans(spark):
-    qs = E.queries()
     for k in ("nearest_center", "cluster_report"):
-        text = plan(qs[k](spark, SF))
+        text = plan(QUERIES[k](spark, SF))
+        assert "percentile" not in text
         assert not any(n in text for n in PYTHON_NODES), k
 
 
-def test_zero_keeping_join_broadcasts_the_bounded_side(plans):
-    tree = plans["term_rank_vocabulary"].split("\n\n")[0]
-    assert "SortMergeJoin" not in tree and tree.count("BroadcastHashJoin") == 2
-    assert "LocalTableScan" in tree and "Scan ExistingRDD" not in tree
+def test_long_lists_count_before_they_move(spark):
+    """With broadcasts off and 2000 terms, tokens are counted before any exchange."""
+    words = [f"w{i}" for i in range(2000)]
+    articles = spark.createDataFrame([(0, "w1 w2 w2"), (1, "w2 x")], "doc_id bigint, text string")
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+    with settings(spark, off):
+        for rank in (T.rank_terms, T.rank_terms_all):
+            df = rank(articles, words)
+            tree = plan(df).split("\n\n")[0]
+            assert "Broadcast" not in tree, tree
+            lines = [x for x in tree.splitlines() if "Aggregate" in x or "Exchange" in x or "Generate" in x]
+            at = next(i for i, x in enumerate(lines) if "Generate" in x)
+            assert "HashAggregate" in lines[at - 1] and "Exchange" in lines[at - 2], tree
+            got = {r["term"]: r["n"] for r in df.collect() if r["n"]}
+            assert got == {"w1": 1, "w2": 2}
+        scored = spark.createDataFrame([(1, "c70", 5), (2, "none", 6)],
+                                       "id bigint, tags string, high_score int")
+        vectors = PO.category_vectors(scored, [f"c{i}" for i in range(100)], 10)
+        assert "Broadcast" not in plan(vectors).split("\n\n")[0]
+        assert [tuple(r) for r in vectors.collect()] == [(1, 700, 5)]
+
+
+@contextlib.contextmanager
+def settings(spark, conf):
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 def test_bounded_results_sort_without_sampling(plans):
