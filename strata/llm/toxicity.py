@@ -6,10 +6,11 @@ Copies of a text repeat contexts and so add nothing. The discounted mass goes
 to one shared backoff distribution (distinct contexts over both classes), and
 a rare word, seen in fewer than ``RARE`` contexts, is left to it altogether.
 
-An expression is a run of ``EXPRESSION`` words. Its toxic and its ordinary
-log-likelihood, each divided by its length, are compared, and a text is as
-toxic as its most toxic expression. A logistic curve, fitted on labelled rows
-that the counts leave out, turns this into a probability.
+A text's toxic and ordinary likelihoods are compared word by word, and the
+ratios' power mean (exponent ``POWER``) is its length-normalised difference:
+a few strongly toxic words in a long text still show, which a plain mean of
+log-likelihoods buries. A logistic curve, fitted on labelled rows that the
+counts leave out, turns the mean's logarithm into a probability.
 
 Defined results: null and empty texts and texts of a single word are scored
 like the others (no word: the weight of an unknown word); labels with a null
@@ -28,7 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import words as W
@@ -36,7 +37,7 @@ from strata.llm.common import bitmap, id_fold, marked, saved
 
 DISCOUNT = 0.75
 RARE = 3                        # contexts a word needs for class counts of its own
-EXPRESSION = 2                  # words
+POWER = 2.0                     # of the mean over a text's words
 THRESHOLD = 0.3
 CALIBRATION_ROWS = 20_000       # labelled rows that the curve is fitted on, at most
 MODEL_WORDS = 5_000_000         # words (12 bytes each) sent to every worker, at most
@@ -119,27 +120,20 @@ def fit_counts(labelled: DataFrame, discount: float = DISCOUNT, rare: int = RARE
 
 # --- scores -----------------------------------------------------------------
 
-def _best(x: np.ndarray, offsets: np.ndarray, unknown: float, run: int) -> np.ndarray:
-    """The largest mean of ``run`` consecutive weights in each document."""
+def _mean(x: np.ndarray, offsets: np.ndarray, unknown: float, power: float) -> np.ndarray:
+    """Logarithm of the power mean of the likelihood ratios ``exp(x)`` of each document."""
     n = np.diff(offsets)
     out = np.full(len(n), unknown)
-    if not len(x):
-        return out
-    sums = np.concatenate([[0.0], np.cumsum(x)])
-    # whole runs, and the run a shorter document is
-    last = np.repeat(offsets[1:], n)
-    at = np.arange(len(x))
-    end = np.minimum(at + run, last)
-    start = np.maximum(np.minimum(at, last - run), np.repeat(offsets[:-1], n))
-    mean = (sums[end] - sums[start]) / (end - start)
     filled = n > 0
-    out[filled] = np.maximum.reduceat(mean, offsets[:-1][filled])
+    if filled.any():
+        out[filled] = np.log(np.add.reduceat(np.exp(power * x), offsets[:-1][filled])
+                             / n[filled]) / power
     return out
 
 
 def text_scores(docs: DataFrame, model: Model, id_col: str, text_col: str,
-                run: int = EXPRESSION, model_words: int = MODEL_WORDS) -> DataFrame:
-    """``(doc_id, raw)`` of every row: the largest length-normalised log-likelihood difference.
+                power: float = POWER, model_words: int = MODEL_WORDS) -> DataFrame:
+    """``(doc_id, raw)`` of every row: the length-normalised log-likelihood difference.
 
     Up to ``model_words`` weights go to every worker as two arrays; a larger
     model stays distributed and words are joined to it, with equal results.
@@ -147,7 +141,7 @@ def text_scores(docs: DataFrame, model: Model, id_col: str, text_col: str,
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), _text(docs, text_col).alias("text"))
     spark, unknown = docs.sparkSession, model.unknown
     if model.size > model_words:
-        return _joined_scores(rows, model, run)
+        return _joined_scores(rows, model, power)
     table = model.weights.toPandas().sort_values("word")
     sent = spark.sparkContext.broadcast((table["word"].to_numpy(np.int64),
                                          table["weight"].to_numpy(np.float64)))
@@ -161,7 +155,7 @@ def text_scores(docs: DataFrame, model: Model, id_col: str, text_col: str,
                 spot = np.minimum(np.searchsorted(known, one), max(0, len(known) - 1))
                 w = np.where(known[spot] == one, weight[spot], unknown) if len(known) \
                     else np.full(len(one), unknown)
-                out.append(_best(w[which], offsets, unknown, run))
+                out.append(_mean(w[which], offsets, unknown, power))
             if out:
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(out))],
                                                  ["doc_id", "raw"])
@@ -170,32 +164,30 @@ def text_scores(docs: DataFrame, model: Model, id_col: str, text_col: str,
     return rows.mapInArrow(score, f"doc_id {kind}, raw double")
 
 
-def _joined_scores(rows: DataFrame, model: Model, run: int) -> DataFrame:
-    """Scores with the weights joined to the words; rows alike in id and text share a score."""
-    def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _joined_scores(rows: DataFrame, model: Model, power: float) -> DataFrame:
+    """Scores with the weights joined to the words; rows alike in id and text share a score.
+
+    A text's words are counted in the task; partial sums meet by text.
+    """
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0).to_numpy()
             for first, hashes, offsets in _words(batch.column(1)):
-                n = np.diff(offsets)
-                key = np.repeat(keys[first:first + len(n)], n)
-                pos = np.arange(len(hashes)) - np.repeat(offsets[:-1], n)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), pa.array(pos), pa.array(hashes.view(np.int64))],
-                    ["key", "pos", "word"])
+                for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
+                    one, n = np.unique(hashes[a:b], return_counts=True)
+                    if len(one):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(one), keys[first + i])),
+                             pa.array(one.view(np.int64)), pa.array(n)], ["key", "word", "n"])
 
     keyed = rows.withColumn("key", F.xxhash64("text"))
-    tokens = keyed.select("key", "text").mapInArrow(split, "key bigint, pos bigint, word bigint") \
+    counts = keyed.select("key", "text").mapInArrow(count, "key bigint, word bigint, n bigint") \
         .distinct()
-    weighed = tokens.join(model.weights, "word", "left").select(
-        "key", "pos", F.coalesce("weight", F.lit(model.unknown)).alias("w"))
-    ahead = Window.partitionBy("key").orderBy("pos")
-    here = ahead.rowsBetween(0, run - 1)
-    means = weighed.select("key", "pos", F.avg("w").over(here).alias("mean"),
-                           F.count("w").over(here).alias("n"))
-    best = means.groupBy("key").agg(F.max(F.when(F.col("n") == run, F.col("mean"))).alias("full"),
-                                    F.max_by("mean", "n").alias("short"))
-    return keyed.select("doc_id", "key").join(best, "key", "left").select(
-        "doc_id", F.coalesce("full", "short", F.lit(model.unknown)).alias("raw"))
+    ratio = F.exp(F.lit(power) * F.coalesce("weight", F.lit(model.unknown)))
+    means = counts.join(model.weights, "word", "left").groupBy("key").agg(
+        (F.log(F.sum(ratio * F.col("n")) / F.sum("n")) / F.lit(power)).alias("mean"))
+    return keyed.select("doc_id", "key").join(means, "key", "left").select(
+        "doc_id", F.coalesce("mean", F.lit(model.unknown)).alias("raw"))
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, steps: int = 100) -> tuple[float, float]:
