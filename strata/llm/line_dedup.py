@@ -69,11 +69,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     counts = several.groupBy("h").agg(
         F.min(F.struct("doc_id", "key", "first")).alias("a"),
         F.max(F.struct("doc_id", "key", "first")).alias("b")).where("a <> b").select("h")
-    again = saved(several.join(counts, "h", "left_semi"))
+    # one more key than the aggregates have: their joins deal both sides anew,
+    # and a partition that holds a very common chunk's rows can be split
+    key = F.xxhash64("h").alias("k")
+    again = saved(several.select("*", key).join(counts.select("h", key), ["h", "k"], "left_semi"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "first", "key")
     keep = again.groupBy("h", "chunk").agg(F.min(place).alias("top"), F.max(place).alias("last")) \
-        .where("top <> last").select(F.col("h").alias("kh"), F.col("chunk").alias("kc"), "top")
-    gone = again.join(keep, (F.col("h") == F.col("kh")) & (F.col("chunk") == F.col("kc"))) \
+        .where("top <> last").select("h", "chunk", key, "top")
+    gone = again.join(keep, ["h", "chunk", "k"]) \
         .where(place != F.col("top")) \
         .groupBy(F.col("doc_id").alias("gid"), F.col("key").alias("gkey")) \
         .agg(F.collect_set("first").alias("firsts"))
