@@ -274,7 +274,9 @@ def verified(docs: DataFrame, nodes: DataFrame, words: int, share: tuple[int, in
              count: bool) -> DataFrame:
     """``(id, root, links)`` of every node in every pair of tiles it takes part in."""
     marks = docs.sparkSession.sparkContext.broadcast(bitmap(nodes, "s"))
-    rows = tiles(nodes, share, tile).join(set_bytes(docs, words, marks), ["s", "s2"])
+    # tasks that hold copies of a set each send it: one of them goes on
+    held = set_bytes(docs, words, marks).groupBy("s", "s2").agg(F.any_value("hashes").alias("hashes"))
+    rows = tiles(nodes, share, tile).join(held, ["s", "s2"])
 
     def run(table: pa.Table) -> pa.Table:
         ids, at = np.unique(table.column("id").to_numpy(), return_index=True)
