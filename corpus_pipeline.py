@@ -65,6 +65,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what a stage returns is written below the checkpoint folder."""
+    queries.find_package(spark)
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = read_table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):

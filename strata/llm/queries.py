@@ -6,6 +6,7 @@ parameters. ``SQL`` has the DuckDB text where SQL can express the operator.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,8 +27,26 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def find_package(spark: SparkSession) -> None:
+    """Lets Python workers on this machine import this package, whatever folder they start in.
+
+    Operators' functions run in the workers and use the package's helpers. On
+    a cluster the package is shipped (``--py-files``) or installed.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join(p for p in [*known, root] if p)
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    find_package(spark)
+    return read_table(spark, sf_dir, name)
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents")
+    return _table(spark, sf_dir, "documents")
 
 
 def op1_jaccard_join(spark, sf_dir):
@@ -46,7 +65,7 @@ def op4_toxicity(spark, sf_dir):
     # of the rows that may be learned from, one in six fits the curve
     fits = [3, 7]
     out = toxicity.score_toxicity(
-        _documents(spark, sf_dir), read_table(spark, sf_dir, "labels"),
+        _documents(spark, sf_dir), _table(spark, sf_dir, "labels"),
         learn=lambda i: (id_fold(i, 4) != 2) & ~id_fold(i, 16).isin(fits),
         calibrate=lambda i: id_fold(i, 16).isin(fits))
     return out.select("doc_id", (id_fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
@@ -58,7 +77,7 @@ def op5_fingerprints(spark, sf_dir):
 
 
 def op6_quotation_links(spark, sf_dir):
-    return quotes.link_conversations(read_table(spark, sf_dir, "conversations"))
+    return quotes.link_conversations(_table(spark, sf_dir, "conversations"))
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame) -> quality.Classifier:
@@ -68,7 +87,7 @@ def quality_classifier(docs: DataFrame, labels: DataFrame) -> quality.Classifier
 
 def op7_quality(spark, sf_dir):
     docs = _documents(spark, sf_dir)
-    out = quality.score_quality(docs, quality_classifier(docs, read_table(spark, sf_dir, "labels")))
+    out = quality.score_quality(docs, quality_classifier(docs, _table(spark, sf_dir, "labels")))
     return out.select("doc_id", (id_fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
                       (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
@@ -78,7 +97,7 @@ def op8_mixing(spark, sf_dir):
 
 
 def op9_warc(spark, sf_dir):
-    out = warc.archive(read_table(spark, sf_dir, "pages"), ensure_checkpoint_dir(spark))
+    out = warc.archive(_table(spark, sf_dir, "pages"), ensure_checkpoint_dir(spark))
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
