@@ -74,6 +74,17 @@ def marked(marks: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (marks[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
 
 
+def dealt_join(rows: DataFrame, grouped: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Joins ``rows`` with an aggregate ``grouped`` by ``on`` so that hot keys can be split.
+
+    A join on the aggregate's own keys would run on its partitions, which
+    adaptive execution must leave whole. One key more (a hash of the others)
+    deals both sides anew; copies are merged in the aggregate before that.
+    """
+    key = F.xxhash64(*on).alias("_dealt")
+    return rows.select("*", key).join(grouped.select("*", key), [*on, "_dealt"], how).drop("_dealt")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(id, component)``: the smallest id reachable from every end of ``edges(a, b)``.
 
@@ -88,13 +99,13 @@ def components(edges: DataFrame) -> DataFrame:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large \
             else e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         low = both.groupBy("a").agg(F.min("b").alias("m")) \
-            .select(F.col("a").alias("k"), F.least("m", "a").alias("m"))
-        out = both.join(low, F.col("a") == F.col("k"))
+            .select("a", F.least("m", "a").alias("m"))
+        out = dealt_join(both, low, ["a"])
         if large:
             out = out.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         else:
             out = out.select(F.col("b").alias("a"), F.col("m").alias("b")) \
-                .unionByName(low.select(F.col("k").alias("a"), F.col("m").alias("b")))
+                .unionByName(low.select("a", F.col("m").alias("b")))
         return out.where("a <> b").distinct()
 
     def mark(e: DataFrame):

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACE, boxed, saved, whole
+from strata.llm.common import SPACE, boxed, dealt_join, saved, whole
 
 CHUNK_MIN, CHUNK_MAX = 256, 4096
 
@@ -101,10 +101,7 @@ def _grouped(rows: DataFrame) -> DataFrame:
                      F.bitwise_not("doc_id").alias("id"), F.bitwise_not("row").alias("row"))
     groups = rows.groupBy("recipe", "apart").agg(F.max(first).alias("top"),
                                                  F.count(F.lit(1)).alias("group_size"))
-    # one more key than the aggregate has: both sides of the join are dealt
-    # anew, and a partition that holds a hot group's rows can be split
-    key = F.xxhash64("recipe", "apart").alias("key")
-    return rows.select("*", key).join(groups.select("*", key), ["key", "recipe", "apart"]).select(
+    return dealt_join(rows, groups, ["recipe", "apart"]).select(
         "doc_id", F.bitwise_not("top.id").alias("keep_id"), "group_size",
         (F.bitwise_not("top.row") == F.col("row")).alias("kept"), "text_sha256", "n_chars")
 

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import words as W
-from strata.llm.common import bitmap, boxed, components, marked, saved
+from strata.llm.common import bitmap, boxed, components, dealt_join, marked, saved
 
 WORDS, SHARE = 4, (85, 100)     # words of a shingle; least intersection / union
 TILE = 1 << 20                  # shingles in a tile, about
@@ -145,7 +145,7 @@ def prefixes(tokens: DataFrame, sets: DataFrame, share: tuple[int, int]) -> Data
     frequent = tokens.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     low = (F.col("h") >= 0) & (F.col("h") < F.lit(min(region(share), 2 ** 63 - 1)))
     place = F.struct((~low).alias("outer"), F.when(low, F.col("df")).otherwise(0).alias("df"), "h")
-    common = tokens.join(frequent, "h").groupBy("s").agg(F.collect_set(place).alias("t"))
+    common = dealt_join(tokens, frequent, ["h"]).groupBy("s").agg(F.collect_set(place).alias("t"))
     a, b = share
     length = F.expr(f"n - ((n * {a} + {b - 1}) div {b}) + 1")
     # shingles of this set alone come first and fill the prefix from the front
@@ -165,11 +165,11 @@ def size_class(share: tuple[int, int]):
 def candidate_ties(pre: DataFrame, share: tuple[int, int]) -> DataFrame:
     """``(a, b)``: ties whose classes hold every pair of sets that may link."""
     groups = pre.groupBy("n", "prefix").agg(F.min("id").alias("g"))
-    members = pre.join(groups, ["n", "prefix"]).where("id <> g").select(
+    members = dealt_join(pre, groups, ["n", "prefix"]).where("id <> g").select(
         F.col("id").alias("a"), F.col("g").alias("b"))
     keys = groups.select("g", size_class(share).alias("c"), F.explode("prefix").alias("h"))
     leaders = keys.groupBy("h", "c").agg(F.min("g").alias("lead"), F.count(F.lit(1)).alias("k"))
-    led = keys.join(leaders.where("k > 1"), ["h", "c"]).where("g <> lead").select(
+    led = dealt_join(keys, leaders.where("k > 1"), ["h", "c"]).where("g <> lead").select(
         F.col("g").alias("a"), F.col("lead").alias("b"))
     above = leaders.select("h", (F.col("c") - 1).alias("c"), F.col("lead").alias("above"))
     next_ = leaders.join(above, ["h", "c"]).where("lead <> above").select(

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bind, saved, whole
+from strata.llm.common import bind, dealt_join, saved, whole
 
 CUT_MODULUS = 3     # one line in three ends a chunk
 MULTIPLIER = 31     # of the rolling hash
@@ -69,14 +69,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     counts = several.groupBy("h").agg(
         F.min(F.struct("doc_id", "key", "first")).alias("a"),
         F.max(F.struct("doc_id", "key", "first")).alias("b")).where("a <> b").select("h")
-    # one more key than the aggregates have: their joins deal both sides anew,
-    # and a partition that holds a very common chunk's rows can be split
-    key = F.xxhash64("h").alias("k")
-    again = saved(several.select("*", key).join(counts.select("h", key), ["h", "k"], "left_semi"))
+    again = saved(dealt_join(several, counts, ["h"], "left_semi"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "first", "key")
     keep = again.groupBy("h", "chunk").agg(F.min(place).alias("top"), F.max(place).alias("last")) \
-        .where("top <> last").select("h", "chunk", key, "top")
-    gone = again.join(keep, ["h", "chunk", "k"]) \
+        .where("top <> last").select("h", "chunk", "top")
+    gone = dealt_join(again, keep, ["h", "chunk"]) \
         .where(place != F.col("top")) \
         .groupBy(F.col("doc_id").alias("gid"), F.col("key").alias("gkey")) \
         .agg(F.collect_set("first").alias("firsts"))
