@@ -54,7 +54,7 @@ BATCH_DISTANCES = 1 << 20
 # Parts that a category is seeded in before the parts are merged.
 SEED_SALTS = 256
 # Ranges that a median search divides an interval into.
-MEDIAN_RANGES = 256
+MEDIAN_RANGES = 4096
 # The report's line format and heading.
 REPORT_FORMAT = "%7d  %-17s (%-5.1f%%)      %7d"
 REPORT_HEADER = ("Resulting clusters:",
