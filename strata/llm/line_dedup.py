@@ -6,6 +6,9 @@ chunks whatever stands around them. A chunk of several lines that occurs more
 than once in all documents stays at its first place (smallest id, then
 position) and is removed everywhere else, after its bytes were compared.
 
+``dedup_lines`` finds a passage only where chunk ends fall alike in all its
+places; ``dedup_passages`` takes every repeated run of two or more lines.
+
 Main path: DataFrame functions only.
 
 Defined results: null text counts as empty and comes back empty; a null id
@@ -20,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bind, dealt_join, saved, whole
+from strata.llm.common import WORD, bind, dealt_join, saved, whole
 
 CUT_MODULUS = 3     # one line in three ends a chunk
 MULTIPLIER = 31     # of the rolling hash
@@ -91,3 +94,62 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.when(F.col("firsts").isNull(), F.lit(0)).otherwise(
             n - F.aggregate("stay", F.lit(0), lambda s, c: s + c["lines"])).cast("bigint")
         .alias("removed_lines"))
+
+
+def line_pairs(text: Column) -> Column:
+    """``array<struct<first, last, name>>``: each line with a visible character and the next such one.
+
+    ``name`` is the SHA-256 of the bytes from the one to the other, blank lines between included.
+    """
+    def pairs(lines: Column, seen: Column) -> Column:
+        def one(first: Column, k: Column) -> Column:
+            last = F.get(seen, k + 1)
+            return F.struct(first.alias("first"), last.alias("last"), F.unhex(F.sha2(F.array_join(
+                F.slice(lines, first + 1, last - first + 1), "\n").cast("binary"), 256)).alias("name"))
+        return F.transform(F.slice(seen, F.lit(1), F.greatest(F.size(seen) - 1, F.lit(0))), one)
+
+    def visible(lines: Column) -> Column:
+        return F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(WORD), i)),
+                        lambda i: i.isNotNull())
+
+    return bind(F.split(text, "\n", -1), lambda lines: bind(
+        visible(lines), lambda seen: pairs(lines, seen)))
+
+
+def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: ``doc_id, text, n_lines, removed_lines``, without later places of repeated passages.
+
+    A passage is two or more lines with a visible character and the blank
+    lines between them, wherever it starts or ends in a document. Its pairs
+    of neighbouring lines all repeat when it does, so every pair with an
+    earlier place (smaller id, then position) goes with the lines it spans:
+    what is left holds no later place of a repeated pair, and a line that
+    goes has an equal line that stays. A repeated line whose neighbours
+    differ stays. Other defined results are those of ``dedup_lines``.
+    """
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), whole(text_col).alias("text")) \
+        .withColumn("key", F.xxhash64("text"))
+    pairs = rows.select("doc_id", "key", F.explode(line_pairs(F.col("text"))).alias("p")) \
+        .select("doc_id", "key", "p.first", "p.last", "p.name").withColumn("h", F.xxhash64("name"))
+    counts = pairs.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h")
+    again = saved(dealt_join(pairs, counts, ["h"], "left_semi"))
+    # rows that agree in id and text are one document
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "first", "key")
+    keep = again.groupBy("name").agg(F.min(place).alias("top"), F.max(place).alias("end")) \
+        .where("top <> end").select("name", "top")
+    gone = dealt_join(again, keep, ["name"]).where(place != F.col("top")) \
+        .groupBy(F.col("doc_id").alias("gid"), F.col("key").alias("gkey")) \
+        .agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    joined = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("gid"))
+                       & (F.col("key") == F.col("gkey")), "left")
+    lines = F.split("text", "\n", -1)
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.flatten(F.transform(
+        "spans", lambda s: F.sequence(s["first"], s["last"]))))
+    out = joined.withColumn("stay", F.when(F.col("spans").isNotNull(), stay))
+    return out.select(
+        "doc_id",
+        F.when(F.col("spans").isNull(), F.col("text")).otherwise(bind(lines, lambda x: F.array_join(
+            F.transform("stay", lambda i: F.get(x, i)), "\n"))).alias("text"),
+        F.size(lines).cast("bigint").alias("n_lines"),
+        F.when(F.col("spans").isNull(), F.lit(0)).otherwise(F.size(lines) - F.size("stay"))
+        .cast("bigint").alias("removed_lines"))

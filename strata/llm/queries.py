@@ -61,6 +61,10 @@ def op3_line_dedup(spark, sf_dir):
     return line_dedup.dedup_lines(_documents(spark, sf_dir))
 
 
+def op3_passage_dedup(spark, sf_dir):
+    return line_dedup.dedup_passages(_documents(spark, sf_dir))
+
+
 def op4_toxicity(spark, sf_dir):
     # of the rows that may be learned from, one in six fits the curve
     fits = [3, 7]
@@ -110,6 +114,7 @@ QUERIES: dict[str, Query] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_packing": op2_packing,
     "op3_line_dedup": op3_line_dedup,
+    "op3_passage_dedup": op3_passage_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_fingerprints": op5_fingerprints,
     "op6_quotation_links": op6_quotation_links,
@@ -170,6 +175,26 @@ SQL: dict[str, str] = {
                sum(lines)::BIGINT AS n_lines,
                coalesce(sum(lines) FILTER (WHERE gone), 0)::BIGINT AS removed_lines
         FROM k GROUP BY doc_id""",
+    # pairs of neighbouring lines with a visible character; every place of a
+    # pair but the first goes with the lines it spans
+    "op3_passage_dedup": r"""
+        WITH l AS (
+          SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                 generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+          FROM documents),
+        v AS (
+          SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS j
+          FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+        p AS (
+          SELECT v.doc_id, v.i, v.j, string_agg(l.line, chr(10) ORDER BY l.i) AS passage
+          FROM v JOIN l ON l.doc_id = v.doc_id AND l.i BETWEEN v.i AND v.j GROUP BY ALL),
+        k AS (
+          SELECT *, row_number() OVER (PARTITION BY passage ORDER BY doc_id, i) > 1 AS gone FROM p),
+        g AS (SELECT DISTINCT doc_id, unnest(range(i, j + 1)) AS i FROM k WHERE gone)
+        SELECT l.doc_id,
+               coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE g.i IS NULL), '') AS text,
+               count(*) AS n_lines, count(g.i) AS removed_lines
+        FROM l LEFT JOIN g ON g.doc_id = l.doc_id AND g.i = l.i GROUP BY l.doc_id""",
     # quotes of earlier messages by paragraph or line, then threads
     "op6_quotation_links": r"""
         WITH RECURSIVE m AS (

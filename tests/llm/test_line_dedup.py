@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 from llm_cases import (  # noqa: F401
     clashing_docs, edge_docs, edge_rows, no_docs, prose, rows_of)
@@ -48,3 +49,51 @@ def test_shared_passages_go_but_for_their_first_place(spark):
     got = {r["doc_id"]: r for r in out.collect()}
     assert got[1]["removed_lines"] == 0 and got[7]["removed_lines"] >= 20
     assert "Python" not in out._jdf.queryExecution().toString()
+
+
+def brute_passages(rows):
+    """Every pair of neighbouring visible lines with an earlier place goes, blank lines between too."""
+    docs = sorted({(i is None, i or 0, t or "") for i, t in rows})
+    seen, kept = set(), {}
+    places = []
+    for d in docs:
+        lines = d[2].split("\n")
+        at = [k for k, x in enumerate(lines) if re.search(r"[^\x20\x09-\x0D]", x)]
+        places += [(d[0], d[1], a, d[2], b, "\n".join(lines[a:b + 1])) for a, b in zip(at, at[1:])]
+        kept[d] = set(range(len(lines)))
+    for none, i, a, t, b, pair in sorted(places):
+        if pair in seen:
+            kept[none, i, t] -= set(range(a, b + 1))
+        seen.add(pair)
+    out = []
+    for i, t in rows:
+        lines, stay = (t or "").split("\n"), kept[i is None, i or 0, t or ""]
+        out.append((i, "\n".join(x for k, x in enumerate(lines) if k in stay), len(lines),
+                    len(lines) - len(stay)))
+    return sorted(out, key=lambda r: [(x is not None, str(type(x)), x) for x in r])
+
+
+def test_passages_edge_rows(clashing_docs, no_docs):
+    assert rows_of(L.dedup_passages(clashing_docs)) == brute_passages([r[:2] for r in edge_rows()])
+    assert L.dedup_passages(no_docs).count() == 0
+
+
+def test_passages_go_whatever_stands_around_them(spark):
+    # passages of 1, 2, 3 and 5 lines, over 50 words each, in 12 different hosts; with blank lines too
+    passages = {n: [prose(5000 + 10 * n + k, 60 // n + 1) for k in range(n)] for n in (1, 2, 3, 5)}
+    passages[4] = [passages[2][0][::-1], "", passages[2][1][::-1]]
+    rows = []
+    for i in range(1, 13):
+        lines = [prose(100 * i, 8)]
+        for k, n in enumerate(passages):
+            lines += passages[n] + [prose(100 * i + k + 1, 8 + i)]
+        rows.append((i, "\n".join(lines)))
+    out = L.dedup_passages(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    assert rows_of(out) == brute_passages(rows)
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert got[1]["removed_lines"] == 0
+    for i in range(2, 13):
+        left = got[i]["text"].split("\n")
+        assert got[i]["removed_lines"] == 2 + 3 + 5 + 3 and passages[1][0] in left
+        assert not any(x in left for n in (2, 3, 4, 5) for x in passages[n])
+    assert "Python" not in out._jdf.queryExecution().toString()
