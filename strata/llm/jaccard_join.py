@@ -278,8 +278,11 @@ def verified(docs: DataFrame, nodes: DataFrame, words: int, share: tuple[int, in
     held = set_bytes(docs, words, marks).groupBy("s", "s2").agg(F.any_value("hashes").alias("hashes"))
     rows = tiles(nodes, share, tile).join(held, ["s", "s2"])
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(key: tuple, table: pa.Table) -> pa.Table:
         ids, at = np.unique(table.column("id").to_numpy(), return_index=True)
+        if key[1] != key[2] and len(np.unique(table.column("side").to_numpy())) == 1:
+            # no set is in the other tile; the tile's own pairs meet in (lo, lo)
+            return pa.table({"id": ids, "root": ids, "links": np.zeros(len(ids), np.int64)})
         held = table.column("hashes")
         sets = [np.frombuffer(held[i].as_buffer(), np.uint64) for i in at.tolist()]
         roots, links = verify(sets, table.column("side").to_numpy()[at],

@@ -65,6 +65,14 @@ def test_classes_match_brute_force(spark, tile):
     assert rows_of(got) == [r[:3] for r in brute(rows, 5, (80, 100))]
 
 
+def test_links_count_once_beside_an_empty_tile(spark):
+    # families of two in two tiles each: in about half of them both sets are in one tile
+    rows = [(10 * k + i, t) for k in range(1, 13) for i, t in enumerate(
+        [prose(900 + k, 100), prose(900 + k, 100) + " end"])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    assert rows_of(J.jaccard_classes(df, tile=120)) == brute(rows)
+
+
 def test_edge_rows(spark, clashing_docs, no_docs):
     # the null id's text equals that of 12 and 13, which name the component
     want = brute([r[:2] for r in edge_rows()])
