@@ -20,9 +20,9 @@ Sets are distinct 64-bit shingle hashes; likeness is compared in integers.
 
 Defined results: null and empty texts, and texts without a word, have an
 empty set, link with nothing and are their own component; fewer words than a
-shingle are one shingle; rows that share an id are one document's rows and
-share a component where their sets link; a null id never names a component:
-its row takes the smallest id its set is shared or, if there is none, null.
+shingle are one shingle; rows that share an id share a component only where
+their sets link; rows with a null id link like any other, but never name a
+component: one without any id is null.
 Other columns are ignored. An empty table gives an empty result.
 """
 
@@ -76,8 +76,12 @@ def _emitted(x: np.ndarray, share: tuple[int, int], limit: int) -> int:
 
 
 def set_rows(docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
-    """``(doc_id, n, r, s, s2)`` per row: set size, counted shingles, the set's name; null if empty."""
+    """``(doc_id, n, r, s, s2)`` per row: set size, counted shingles, the set's name; null if empty.
+
+    A ``key`` beside id and text is kept.
+    """
     limit = region(share)
+    kept = docs.columns[2:]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,10 +90,12 @@ def set_rows(docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
                 r = np.array([_emitted(x, share, limit) if len(x) else 0 for x in sets], np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(sets)), pa.array(n), pa.array(r),
-                     pa.array(s, mask=n == 0), pa.array(s2, mask=n == 0)],
-                    ["doc_id", "n", "r", "s", "s2"])
+                     pa.array(s, mask=n == 0), pa.array(s2, mask=n == 0),
+                     *[batch.column(2).slice(first, len(sets)) for _ in kept]],
+                    ["doc_id", "n", "r", "s", "s2", *kept])
 
-    return docs.mapInArrow(run, "doc_id bigint, n bigint, r bigint, s bigint, s2 bigint")
+    return docs.mapInArrow(run, "doc_id bigint, n bigint, r bigint, s bigint, s2 bigint"
+                           + "".join(f", {k} bigint" for k in kept))
 
 
 def counted_shingles(docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
@@ -151,7 +157,7 @@ def prefixes(tokens: DataFrame, sets: DataFrame, share: tuple[int, int]) -> Data
     # shingles of this set alone come first and fill the prefix from the front
     take = length - (F.col("r") - F.size("t"))
     return common.join(sets, "s").withColumn("take", take).where("take > 0").select(
-        F.col("first").alias("id"), "n",
+        F.col("sid").alias("id"), "n",
         F.slice(F.transform(F.array_sort("t"), lambda x: x["h"]), F.lit(1),
                 F.col("take").cast("int")).alias("prefix"))
 
@@ -293,6 +299,27 @@ def verified(docs: DataFrame, nodes: DataFrame, words: int, share: tuple[int, in
         .groupBy("component", "lo", "hi").applyInArrow(run, "id bigint, root bigint, links bigint")
 
 
+def linked_sets(own: DataFrame, rows: DataFrame, words: int, share: tuple[int, int], tile: int,
+                count: bool) -> tuple[DataFrame, DataFrame]:
+    """``(found, classes)``: verified links, and every distinct set with its component.
+
+    Sets are numbered, so that neither null nor repeated document ids tie or
+    part them; ``first`` is the smallest document id of a set.
+    """
+    sets = saved(rows.where("n > 0").groupBy("s", "s2").agg(
+        F.min("doc_id").alias("first"), F.max("n").alias("n"), F.max("r").alias("r"),
+        F.count(F.lit(1)).alias("copies")).withColumn("sid", F.monotonically_increasing_id()))
+    pre = saved(prefixes(counted_shingles(own, words, share), sets, share))
+    ties = components(candidate_ties(pre, share))
+    nodes = saved(ties.join(sets, F.col("id") == F.col("sid")).select(
+        "id", "component", "s", "s2", "n", "copies"))
+    found = saved(verified(own, nodes, words, share, tile, count))
+    linked = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
+    classes = sets.join(linked, F.col("sid") == F.col("id"), "left").select(
+        "sid", F.coalesce("component", "sid").alias("component"), "first", "copies", "s", "s2")
+    return found, classes
+
+
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words: int = WORDS, share: tuple[int, int] = SHARE, tile: int = TILE,
                     count: bool = True) -> DataFrame:
@@ -304,20 +331,13 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
                       F.col(f"`{text_col}`").cast("string").alias("text"))
     rows = saved(set_rows(own, words, share))
-    sets = saved(rows.where("n > 0").groupBy("s", "s2").agg(
-        F.min("doc_id").alias("first"), F.max("n").alias("n"), F.max("r").alias("r"),
-        F.count(F.lit(1)).alias("copies")))
-    pre = saved(prefixes(counted_shingles(own, words, share), sets, share).where("id is not null"))
-    classes = components(candidate_ties(pre, share))
-    nodes = saved(classes.join(sets, F.col("id") == F.col("first")).select(
-        "id", "component", "s", "s2", "n", "copies"))
-    found = saved(verified(own, nodes, words, share, tile, count))
-    linked = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
+    found, classes = linked_sets(own, rows, words, share, tile, count)
+    # the smallest document id names a component, whatever its sets are numbered
+    names = classes.groupBy("component").agg(F.min("first").alias("component_id"))
     links = found.groupBy(F.col("id").alias("lid")).agg(F.sum("links").alias("other"))
-    named = sets.join(linked, F.col("first") == F.col("id"), "left") \
-        .join(links, F.col("first") == F.col("lid"), "left").select(
-        F.col("s").alias("ks"), F.col("s2").alias("ks2"),
-        F.coalesce("component", "first").alias("component_id"),
+    named = dealt_join(classes, names, ["component"]) \
+        .join(links, F.col("sid") == F.col("lid"), "left").select(
+        F.col("s").alias("ks"), F.col("s2").alias("ks2"), "component_id",
         (F.coalesce("other", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = rows.join(named, (F.col("s") == F.col("ks")) & (F.col("s2") == F.col("ks2")), "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
@@ -328,13 +348,31 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      words: int = WORDS, share: tuple[int, int] = SHARE) -> DataFrame:
-    """``docs`` with the smallest id of every component, all columns as they were.
+    """``docs`` with one row of every component, all columns as they were.
 
-    An id goes where every row that bears it belongs to a smaller id; rows
-    without an id stay.
+    The row of the smallest id stays, rows without an id come last; rows that
+    tie are ordered by their text's hash, and of rows alike in id and text one
+    stays. Rows without a word have no component and stay.
     """
-    classes = jaccard_classes(docs, id_col, text_col, words, share, count=False)
-    gone = classes.where("doc_id is not null").groupBy(F.col("doc_id").alias("gone_id")).agg(
-        F.min(F.col("component_id") < F.col("doc_id")).alias("gone")).where("gone")
-    rows = docs.select(boxed(docs), F.col(f"`{id_col}`").cast("bigint").alias("id"))
-    return rows.join(gone, F.col("id") == F.col("gone_id"), "left_anti").select("doc.*")
+    text = F.col(f"`{text_col}`").cast("string")
+    own = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text"))
+    keys = own.withColumn("key", F.xxhash64("text"))
+    rows = saved(set_rows(keys, words, share))
+    _, classes = linked_sets(own, rows, words, share, TILE, False)
+    whole = rows.where("n > 0").join(classes.select("s", "s2", "component"), ["s", "s2"])
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    # a component of one row keeps it: only rows of larger ones are decided
+    tops = whole.groupBy("component").agg(F.min(place).alias("top"), F.count(F.lit(1)).alias("k")) \
+        .where("k > 1").select("component", "top")
+    judged = saved(dealt_join(whole, tops, ["component"]).select(
+        F.col("doc_id").alias("g_id"), F.col("key").alias("g_key"), (place == F.col("top")).alias("stays"))
+        .groupBy("g_id", "g_key", "stays").agg(F.count(F.lit(1)).alias("g_n")))
+    keyed = docs.select(boxed(docs), F.col(f"`{id_col}`").cast("bigint").alias("id"),
+                        F.xxhash64(text).alias("key"))
+    match = F.col("id").eqNullSafe(F.col("g_id")) & (F.col("key") == F.col("g_key"))
+    out = keyed.join(judged.where("not stays"), match, "left_anti")
+    again = judged.where("stays and g_n > 1")
+    if not again.isEmpty():
+        one = out.join(again, match, "left_semi").dropDuplicates(["id", "key"])
+        out = out.join(again, match, "left_anti").unionByName(one)
+    return out.select("doc.*")

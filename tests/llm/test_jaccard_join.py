@@ -73,6 +73,26 @@ def test_links_count_once_beside_an_empty_tile(spark):
     assert rows_of(J.jaccard_classes(df, tile=120)) == brute(rows)
 
 
+def test_null_and_repeated_ids_link_like_others(spark):
+    a, b, c, d = ([*copies(60 + k, 1, 100, 0), prose(60 + k, 100) + " x", prose(60 + k, 100) + " x y"]
+                  for k in range(4))
+    rows = [(None, a[0]), (5, a[1]), (4, a[2]),             # a row without an id, in the middle too
+            (7, b[0]), (None, b[1]), (8, b[2] + " z q r s t u v w"),
+            (9, c[0]), (9, c[1]), (9, c[2]), (9, prose(70, 90)), (3, prose(70, 90) + " x"),
+            (None, d[0]), (None, d[1]), (None, d[1]), (None, ""), (None, prose(71, 40))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert rows_of(J.jaccard_classes(df)) == brute(rows)
+    out = rows_of(J.drop_near_copies(df, words=4, share=(85, 100)))
+    sets = [shingle_set(t, 4) for _, t in out]
+    assert not any(x and y and 100 * len(x & y) >= 85 * len(x | y)
+                   for i, x in enumerate(sets) for y in sets[:i])
+    want = {(4, a[2]), (7, b[0]), (3, prose(70, 90) + " x"), (None, ""), (None, prose(71, 40))}
+    assert want <= set(out) and len([x for x in out if x[0] == 9]) == 1
+    # of each group one row: a, b, c, the texts of 70, d, the empty text and 71, and 8 if apart
+    groups = {(x[2] if x[2] is not None else i) for i, x in enumerate(brute(rows)) if x[0] is not None}
+    assert len([x for x in out if x[0] is not None]) == len(groups)
+
+
 def test_edge_rows(spark, clashing_docs, no_docs):
     # the null id's text equals that of 12 and 13, which name the component
     want = brute([r[:2] for r in edge_rows()])
