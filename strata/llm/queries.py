@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.config import ensure_checkpoint_dir
-from strata.llm import (exact_dedup, fingerprints, jaccard_join, line_dedup, mixing, packing,
-                        quality, quotes, toxicity, warc)
+from strata.llm import (exact_dedup, fingerprints, jaccard_join, langid, line_dedup, mixing, packing,
+                        prefix_trie, quality, quotes, structure, toxicity, warc)
 from strata.llm.common import id_fold
+from strata.llm.conversation_sql import PREFIX_TRIE, STRUCTURE
 from strata.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +111,22 @@ def op10_exact_dedup(spark, sf_dir):
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_language_id(spark, sf_dir):
+    docs = _documents(spark, sf_dir)
+    out = langid.identify(docs, langid.fit(docs, learn=lambda i: id_fold(i, 5) != 0))
+    return out.select("doc_id", F.coalesce(id_fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
+                      "lang_pred", "score")
+
+
+def op12_structure_repair(spark, sf_dir):
+    conversations = _table(spark, sf_dir, "conversations")
+    return structure.repair_report(conversations, structure.damaged(conversations))
+
+
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.shared_prefixes(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_packing": op2_packing,
@@ -122,6 +139,9 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_warc": op9_warc,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_language_id": op11_language_id,
+    "op12_structure_repair": op12_structure_repair,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 SQL: dict[str, str] = {
@@ -262,4 +282,6 @@ SQL: dict[str, str] = {
           FROM n)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept,
                sha256(norm) AS text_sha256 FROM k""",
+    "op12_structure_repair": STRUCTURE,
+    "op13_prefix_trie": PREFIX_TRIE,
 }

@@ -1,0 +1,35 @@
+"""Conversations with nulls, ties, repeated turns, a hot conversation and shared beginnings."""
+
+import random
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string"
+ROLES = ["user", "assistant", "system", "tool", "", None]
+
+
+def edge_conversations(seed=5, hot=150):
+    r = random.Random(seed)
+    rows = [
+        (None, 0, "user", "Who?"), (None, None, "assistant", "Me."),
+        (1, None, "user", "a."), (1, None, "user", "b."), (1, 0, None, None), (1, 5, "user", "a."),
+        (2, 0, "user", ""), (2, 1, "assistant", " \t\n\x0b\f\r"), (3, 7, "tool", "É ß 漢字"),
+        (4, 0, "system", "s."), (4, 1, "system", "s."), (4, 2, "", "no role."),
+        (-3, 0, "user", "minus."), (-3, -5, "assistant", "first?"), (2 ** 62, 2 ** 61, "user", "far."),
+        (6, 0, "user", "x" * 50_000), (6, 1, "assistant", "y. " * 20_000),
+        (8, 1, "user", "twice."), (8, 1, "user", "twice."), (8, 1, "assistant", "twice."),
+    ]
+    shared = [("system", "You help."), ("user", "Hello there"), ("assistant", "Hi! How?")]
+    for c in range(10, 40):
+        for t in range(r.randint(1, 9)):
+            role, text = shared[t] if t < 3 and r.random() < 0.8 else (
+                r.choice(ROLES), r.choice(["Yes.", "no", "Well?", "Fine.  ", "..", None, "a: b\nc."]))
+            rows.append((c, t if r.random() < 0.9 else r.randint(0, 3), role, text))
+    # a third of all rows
+    rows += [(50, t // 2 if t % 7 else None, ROLES[t % 3], f"{t % 11}{'.?x'[t % 3]}") for t in range(hot)]
+    for c in (51, 52, 53, 60, 61):
+        rows += [(c, t, ROLES[t % 2], "Same here.") for t in range(4)]
+    r.shuffle(rows)
+    return rows
+
+
+def as_frame(spark, rows, parts=5):
+    return spark.createDataFrame(rows, SCHEMA).repartition(parts)

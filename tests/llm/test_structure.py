@@ -1,0 +1,109 @@
+import hashlib
+import heapq
+import itertools
+import re
+import zlib
+from collections import defaultdict
+
+import pytest
+from conversation_cases import SCHEMA, as_frame, edge_conversations
+from llm_cases import CLASHES, rows_of
+
+from pyspark.sql import functions as F
+from strata.llm import structure as S
+
+NEXT = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}
+NAMES = (("u", "user"), ("a", "assistant"))
+
+
+def cheapest(messages, faults):
+    """Best-first search over (cost, audit) from the first message on."""
+    heap, done = [(0, "", 0, 0, ())], set()
+    while True:
+        cost, audit, i, q, out = heapq.heappop(heap)
+        if (i, q) in done:
+            continue
+        done.add((i, q))
+        if i == len(messages) and q in (0, 3):
+            return cost, audit, out
+        for ch, name in NAMES:
+            if (q, ch) in NEXT:
+                heapq.heappush(heap, (cost + 2, audit + "I", i, NEXT[q, ch], (*out, (name, ""))))
+        if i == len(messages):
+            continue
+        (role, text), fault = messages[i], faults[i]
+        heapq.heappush(heap, (cost + 3, audit + "D", i + 1, q, out))
+        if fault not in ("blank", "duplicate"):
+            cut = int(fault == "truncated")
+            if (q, role[:1]) in NEXT:
+                heapq.heappush(heap, (cost + cut, audit + "K", i + 1, NEXT[q, role[:1]], (*out, (role, text))))
+            for ch, name in NAMES:
+                if (q, ch) in NEXT:
+                    heapq.heappush(heap, (cost + 2 + cut, audit + "R", i + 1, NEXT[q, ch], (*out, (name, text))))
+
+
+def brute(rows):
+    convs = {r[0]: [] for r in rows}
+    for c, t, role, text in rows:
+        role, text = (" " if x is None else x for x in (role, text))
+        k = zlib.crc32(f"{' ' if c is None else c}:{' ' if t is None else t}".encode()) % 20
+        text = "" if k == 1 else re.sub("[.!?]", "", text) if k == 2 else text
+        convs[c] += [(t, "user" if k == 4 else role, text)] * (0 if k == 0 else 2 if k == 3 else 1)
+    out = []
+    for c, v in convs.items():
+        v.sort(key=lambda m: (m[0] is not None, m[0] or 0, m[1:]))
+        turns = [t for t, _, _ in v if t is not None]
+        messages, faults = [m[1:] for m in v], []
+        for k, (role, text) in enumerate(messages):
+            seen = text.strip(" \t\n\x0b\f\r")
+            faults.append("blank" if not seen else "duplicate" if messages[k] in messages[:k]
+                          else "truncated" if seen[-1] not in ".!?" else "")
+        illegal = sum(a[0][:1] + b[0][:1] not in ("su", "ua", "au") for a, b in itertools.pairwise(messages))
+        cost, audit, fixed = cheapest(messages, faults)
+        sha = hashlib.sha256("\n".join(f"{a}:{b}" for a, b in fixed).encode()).hexdigest()
+        out.append((c, max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, faults.count("blank"),
+                    faults.count("duplicate"), faults.count("truncated"), illegal, cost, audit, sha))
+    return sorted(out, key=lambda r: [(x is not None, str(type(x)), x) for x in r])
+
+
+def report(df):
+    return rows_of(S.repair_report(df, S.damaged(df)))
+
+
+@pytest.mark.parametrize("chunk", [256, 4, 1])
+def test_reports_match_a_search(spark, monkeypatch, chunk):
+    # short chunks: costs and states cross many borders
+    monkeypatch.setattr(S, "CHUNK", chunk)
+    rows = edge_conversations(chunk)
+    assert report(as_frame(spark, rows, 7)) == brute(rows)
+
+
+def test_clashing_columns_and_empty_tables(spark):
+    rows = edge_conversations(9, hot=20)
+    extra = [F.lit("clash").alias(x) for x in [*CLASHES, "none", "conv", "pos", "block", "fault", "copy", "th"]]
+    assert report(as_frame(spark, rows).select("*", *extra)) == brute(rows)
+    assert report(spark.createDataFrame([], SCHEMA)) == []
+    # every row of a conversation dropped: crc32("0:16") % 20 == 0 or the like
+    gone = next(t for t in range(1000) if zlib.crc32(f"0:{t}".encode()) % 20 == 0)
+    assert report(as_frame(spark, [(0, gone, "user", "a.")])) == brute([(0, gone, "user", "a.")])
+
+
+def test_automaton_shares_suffixes():
+    words = ["sUaux", "uUaux", "Uaux", "ux", "oa"]
+    exits = [(None, w[::-1]) for w in sorted(words, key=lambda w: w[::-1])]
+    made = []
+    grown, S.grown = S.grown, lambda symbol, rest: made.append(symbol) or grown(symbol, rest)
+    try:
+        nodes = list(S.read_back(exits))
+    finally:
+        S.grown = grown
+    assert len(made) == len({w[i:] for w in words for i in range(len(w))})
+    assert len(nodes) == len(words)
+
+
+def test_repaired_messages(spark):
+    rows = [(1, 0, "assistant", "Hello."), (1, 1, "user", "Cut off"), (1, 2, "user", "Cut off")]
+    messages, edits = S.repair(as_frame(spark, rows))
+    got = sorted((r["place"], r["edit"], r["role"], r["text"]) for r in messages.collect())
+    assert got == [(0, "I", "user", ""), (1, "K", "assistant", "Hello.")]
+    assert [(r["audit"], r["own"]) for r in edits.collect()] == [("IKDD", 8)]
