@@ -1,4 +1,8 @@
-"""Data-quality checks and dataset pinning (A16, S4 non-null, P13 schema, K5)."""
+"""Data-quality checks and dataset pinning (A16, S4 non-null, P13 schema, K5).
+
+Counts are taken by a job of their own or, with ``Observed``, on the job that
+uses the data.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,7 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -49,6 +53,42 @@ def guard_not_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
         F.raise_error(F.concat(F.lit("null value in non-null column "), first_null))))
 
 
+class Observed:
+    """A16 and S4 on the job that uses the data: rows and nulls counted as they pass.
+
+    ``df`` is the input with the counters in it. After an action over ``df``
+    has run (a write, a checkpoint, a collect), ``verify`` reads the counters
+    and raises where they miss what was expected; no pass of its own is made.
+
+    Every row of ``df`` must pass, so no limit may stand above it. Where a lost
+    executor makes Spark run tasks again, rows may be counted twice; a
+    count that misses is therefore taken once more from the data before
+    ``verify`` raises.
+    """
+
+    def __init__(self, df: DataFrame, rows: int | None = None, not_null: Sequence[str] = (),
+                 what: str = "rows"):
+        self._source, self._rows, self._what = df, rows, what
+        self._columns = list(not_null)
+        self._observation = Observation()
+        self.df = df.observe(
+            self._observation, F.count(F.lit(1)).alias("rows"),
+            *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"null_{i}") for i, c in enumerate(self._columns)])
+
+    def counts(self) -> tuple[int, dict[str, int]]:
+        """``(rows, nulls per column)`` of the action that has run."""
+        got = self._observation.get
+        return int(got["rows"]), {c: int(got[f"null_{i}"]) for i, c in enumerate(self._columns)}
+
+    def verify(self) -> int:
+        n, nulls = self.counts()
+        if self._rows is not None and n != self._rows:
+            n = expect_count(self._source, self._rows, self._what)
+        if any(nulls.values()):
+            check_not_null(self._source, self._columns)
+        return n
+
+
 def check_schema(df: DataFrame, schema: StructType) -> None:
     """Names and types must equal ``schema`` (nullability is not compared:
     file sources make every field nullable)."""

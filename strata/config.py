@@ -65,3 +65,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     atexit.register(shutil.rmtree, scratch, ignore_errors=True)
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir()
+
+
+def find_package(spark: SparkSession) -> None:
+    """Lets Python workers on this machine import this package, whatever folder they start in.
+
+    Functions that run in the workers use the package's helpers. On a cluster
+    the package is shipped (``--py-files``) or installed.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join(p for p in [*known, root] if p)

@@ -1,6 +1,6 @@
 import pytest
 
-from strata.checks import (DataCheckError, check_not_null, check_schema, expect_count,
+from strata.checks import (DataCheckError, Observed, check_not_null, check_schema, expect_count,
                            guard_not_null, null_counts, persisted)
 
 
@@ -34,3 +34,45 @@ def test_persisted_releases(spark):
     with persisted(df) as p:
         assert p.count() == 10 and p.is_cached
     assert not df.is_cached
+
+
+def jobs_of(spark, action):
+    """Jobs that an action runs."""
+    sc = spark.sparkContext
+    sc.setJobGroup("observed-jobs", "count the jobs of one action")
+    before = len(sc.statusTracker().getJobIdsForGroup("observed-jobs"))
+    try:
+        action()
+        return len(sc.statusTracker().getJobIdsForGroup("observed-jobs")) - before
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("action", ["write", "checkpoint", "collect"])
+def test_observed_counts_ride_on_the_action(spark, scratch, action):
+    df = spark.range(100).selectExpr("id", "if(id < 3, null, id) AS x").repartition(3)
+    run = {"write": lambda d: d.write.parquet(f"{scratch}/{d is df}"),
+           "checkpoint": lambda d: d.checkpoint(eager=True), "collect": lambda d: d.collect()}[action]
+    plain = jobs_of(spark, lambda: run(df))
+    seen = Observed(df, rows=100, not_null=["id"])
+    assert jobs_of(spark, lambda: (run(seen.df), seen.verify())) == plain
+    assert seen.counts() == (100, {"id": 0})
+
+
+def test_observed_expectations_fail(spark):
+    df = spark.range(10).selectExpr("id", "if(id < 3, null, id) AS x")
+    short = Observed(df, rows=9, what="vectors")
+    short.df.collect()
+    with pytest.raises(DataCheckError, match="9 vectors expected, 10 found"):
+        short.verify()
+    nulls = Observed(df, not_null=["id", "x"])
+    nulls.df.collect()
+    assert nulls.counts() == (10, {"id": 0, "x": 3})
+    with pytest.raises(DataCheckError, match="{'x': 3}"):
+        nulls.verify()
+
+
+def test_observed_counts_whole_input_below_an_aggregate(spark):
+    seen = Observed(spark.range(1000).repartition(4), rows=1000)
+    assert seen.df.groupBy((seen.df.id % 3).alias("k")).count().count() == 3
+    assert seen.verify() == 1000
