@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.ordering import sort_bounded
 from strata.operators.cluster import REPORT_HEADER, report_line
+from strata.sources.lines import numbered_lines
 from strata.sources.memory import local_relation
 
 
@@ -24,6 +25,22 @@ def ranking_lines(ranking: DataFrame) -> list[str]:
     return [f"({r['term']},{r['n']})" for r in ranking.collect()]
 
 
+def write_ranking(ranking: DataFrame, path: str) -> None:
+    """K1 to a text file: the ranking's lines in order, committed by Spark's writer.
+
+    A ranking has one row per listed term, so it is one file. A write
+    replaces what an earlier one left.
+    """
+    line = F.format_string("(%s,%d)", "term", "n").alias("line")
+    sort_bounded(ranking.select(line, "n", "term"), F.desc("n"), F.asc("term")).select("line") \
+        .write.mode("overwrite").text(path)
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(pos, line)`` of a written ranking or report, in the order of its lines."""
+    return numbered_lines(spark, path).select(F.col("position").alias("pos"), F.col("value").alias("line"))
+
+
 def report_text(report: DataFrame) -> list[str]:
     """K2: header, rule and one formatted line per cluster, in report order."""
     lines = report.select(report_line(), "median_score", "label", "size")

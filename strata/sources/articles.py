@@ -2,19 +2,28 @@
 
 Line layout: a fixed-length prefix, the title, the separator
 ``</title><text>``, the text, a fixed-length suffix. Parsing is two column
-expressions on ``spark.read.text``; nothing leaves the JVM.
+expressions on ``spark.read.text``. Articles written by ``write_articles`` may
+hold line breaks, nulls and the separator itself: these are escaped, and
+``escaped=True`` reads them back.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sources.lines import escaped as escape
+from strata.sources.lines import numbered_lines, unescaped
+
 # Fixed values of the line layout.
 TITLE_TEXT_SEPARATOR = "</title><text>"
 PREFIX_LENGTH = 14
 SUFFIX_LENGTH = 16
+# What this library writes in their place.
+PREFIX, SUFFIX = "<page> <title>", "</text>  </page>"
 
 
 def _parts(value: str = "value"):
@@ -29,41 +38,60 @@ def _parts(value: str = "value"):
     return ok, title, text
 
 
-def parse_articles(lines: DataFrame, value: str = "value", strict: bool = True):
-    """Lines -> ``(title, text)``.
+def parse_articles(lines: DataFrame, value: str = "value", strict: bool = True,
+                   escaped: bool = False, keep: Sequence[str] = ()):
+    """Lines -> ``(title, text, *keep)``.
 
     strict: a malformed line (no separator, too short) fails the query, as
     in the reference. lenient: returns ``(articles, rejects)`` where
-    ``rejects`` holds the malformed lines.
+    ``rejects`` holds the malformed lines. ``keep``: other columns of
+    ``lines`` that go along.
     """
     ok, title, text = _parts(value)
+    if escaped:
+        title, text = unescaped(title), unescaped(text)
+    keep = list(keep)
     if strict:
         # a filter, not a column: the check runs whatever columns are selected
         bad = F.raise_error(F.concat(F.lit("malformed article line: "),
                                      F.substring(F.col(value), 1, 80)))
         return lines.where(F.when(ok, F.lit(True)).otherwise(bad)) \
-            .select(title.alias("title"), text.alias("text"))
-    good = lines.where(ok).select(title.alias("title"), text.alias("text"))
-    rejects = lines.where(~ok).select(F.col(value).alias("line"))
+            .select(title.alias("title"), text.alias("text"), *keep)
+    good = lines.where(ok).select(title.alias("title"), text.alias("text"), *keep)
+    rejects = lines.where(~ok).select(F.col(value).alias("line"), *keep)
     return good, rejects
 
 
-def read_articles(spark: SparkSession, path: str, strict: bool = True,
-                  id_col: str | None = None):
+def read_articles(spark: SparkSession, path: str | Sequence[str], strict: bool = True,
+                  id_col: str | None = None, escaped: bool = False, located: bool = False):
     """Read article files.
 
-    ``id_col`` adds a 64-bit id that is unique within this read and valid only
-    there: it follows the splits of the files. An index that outlives the read
-    needs ids that are written with the articles (``store_articles``).
+    ``id_col`` adds the line's position over all files in the order of their
+    names: 0, 1, ... by file and line, whatever the splits. It holds as long as
+    the files do; ids that outlive them are written with the articles
+    (``store_articles``). ``located`` adds ``file`` and ``at`` (line number in
+    the file, from 0), to the rejects as well.
     """
-    lines = spark.read.text(path)
-    parsed = parse_articles(lines, strict=strict)
-    if not id_col:
-        return parsed
-    if strict:
-        return parsed.withColumn(id_col, F.monotonically_increasing_id())
-    good, rejects = parsed
-    return good.withColumn(id_col, F.monotonically_increasing_id()), rejects
+    if not (id_col or located):
+        return parse_articles(spark.read.text(path), strict=strict, escaped=escaped)
+    lines = numbered_lines(spark, path).withColumnRenamed("line", "at")
+    keep = (["file", "at"] if located else []) + ([id_col] if id_col else [])
+    if id_col:
+        lines = lines.withColumnRenamed("position", id_col)
+    parsed = parse_articles(lines, strict=strict, escaped=escaped, keep=keep)
+    return parsed
+
+
+def article_lines(articles: DataFrame, title: str = "title", text: str = "text") -> DataFrame:
+    """``(value)``: one line per article, whatever its title and text hold."""
+    part = lambda c: escape(F.col(f"`{c}`").cast("string"))
+    return articles.select(F.concat(F.lit(PREFIX), part(title), F.lit(TITLE_TEXT_SEPARATOR),
+                                    part(text), F.lit(SUFFIX)).alias("value"))
+
+
+def write_articles(articles: DataFrame, path: str, title: str = "title", text: str = "text") -> None:
+    """Text files that ``read_articles(..., escaped=True)`` reads back as they were."""
+    article_lines(articles, title, text).write.mode("overwrite").text(path)
 
 
 def store_articles(articles: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
