@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.checks import expect_count, persisted
+from strata.checks import Observed, persisted
 from strata.operators import cluster as C
 from strata.operators import postings as PO
 from strata.operators import terms as T
@@ -45,18 +45,20 @@ def term_popularity(spark: SparkSession, path: str, terms: Sequence[str]) -> Ter
 
 
 def score_clusters(spark: SparkSession, path: str, params: C.KMeansParams,
-                   expected_vectors: int | None = None) -> tuple[DataFrame, C.Clustering]:
+                   expected_vectors: int | None = None,
+                   id_type: str = "int") -> tuple[DataFrame, C.Clustering]:
     """S2 -> P3 -> J1 -> A7 -> P7 -> A16 -> M2 -> I1 -> A12 -> O3.
 
-    The text is read once; the vectors are made once and kept reliably, and
-    the row-count check and the fit read them from there. Returns the report (K2 via
-    ``strata.sinks.report_text``) and the fit.
+    The text is read once; the vectors are made once and kept reliably. Their
+    number and their nulls are counted by the job that writes them (A16, S4).
+    Returns the report (K2 via ``strata.sinks.report_text``) and the fit.
     """
-    with persisted(read_postings(spark, path)) as postings:     # both sides of the join
-        vectors = C.reliable(PO.category_vectors(PO.best_answer(postings), params.categories,
-                                                 params.spread).select("id", "x", "y"))
-    if expected_vectors is not None:
-        expect_count(vectors, expected_vectors, "vectors")
+    with persisted(read_postings(spark, path, id_type=id_type)) as postings:    # both sides of the join
+        seen = Observed(PO.category_vectors(PO.best_answer(postings), params.categories,
+                                            params.spread).select("id", "x", "y"),
+                        rows=expected_vectors, not_null=("id", "x", "y"), what="vectors")
+        vectors = C.reliable(seen.df)
+        seen.verify()
     fitted = C.fit_reliable(vectors, params)
     report = C.cluster_report(fitted.points, fitted.result.centers, params.categories,
                               params.spread)

@@ -166,7 +166,6 @@ SQL["best_answer"] = f"WITH {BEST_CTE}\nSELECT * FROM best"
 # --- clustering -------------------------------------------------------------
 
 _CAT_LIST = "[" + ", ".join(_str(c) for c in P.CATEGORIES) + "]"
-_PER_CAT = P.KERNELS // len(P.CATEGORIES)
 _KEY = f"md5(CAST(id AS VARCHAR) || '#{P.SEED}')"
 
 
@@ -185,10 +184,14 @@ vectors AS (
   FROM ({rows}) WHERE ({case}) IS NOT NULL)"""
 
 
-SEEDS = f"""
+def _seeds(kernels: int) -> str:
+    return f"""
   SELECT x, y, id, CAST(rank AS INTEGER) AS rank FROM (
     SELECT x, y, id, row_number() OVER (PARTITION BY x ORDER BY {_KEY}, id, y) AS rank
-    FROM vectors) WHERE rank <= {_PER_CAT}"""
+    FROM vectors) WHERE rank <= {kernels // len(P.CATEGORIES)}"""
+
+
+SEEDS, MANY_SEEDS = _seeds(P.KERNELS), _seeds(P.MANY_KERNELS)
 GLOBAL_SEEDS = f"""
   SELECT x, y, id, CAST(row_number() OVER (ORDER BY {_KEY}, id, x, y) AS INTEGER) AS rank
   FROM vectors QUALIFY rank <= {P.KERNELS}"""
@@ -242,7 +245,11 @@ SQL["kmeans_signed"] = "WITH RECURSIVE " + _kmeans(_vectors(
     rows="SELECT a.id, q.tags, a.score AS high_score FROM q JOIN a ON q.id = a.parent_id")) \
     + "\nSELECT cluster, x, y FROM final"
 
-REPORT_CTE = KMEANS_CTE + f""",
+MANY_CTE = _kmeans(VECTORS_CTE, MANY_SEEDS)
+
+
+def _report(kmeans: str) -> str:
+    return kmeans + f""",
 v AS (SELECT row_number() OVER () AS pk, x, y FROM vectors),
 asg AS (SELECT v.x, v.y, {_nearest('v', 'c')} AS cluster
         FROM v CROSS JOIN final c GROUP BY v.pk, v.x, v.y),
@@ -259,8 +266,82 @@ report AS (
          size, median_score
   FROM stats JOIN modes USING (cluster))"""
 
+
+REPORT_CTE = _report(KMEANS_CTE)
 SQL["cluster_report"] = f"""WITH RECURSIVE {REPORT_CTE}
 SELECT * FROM report ORDER BY median_score, label, size"""
 SQL["cluster_report_lines"] = f"""WITH RECURSIVE {REPORT_CTE}
 SELECT printf('%7d  %-17s (%-5.1f%%)      %7d', median_score, label, percent, size) AS line
 FROM report"""
+
+# --- through files --------------------------------------------------------------
+# what is written and read again must equal what the tables give
+
+SQL["time_use_grouped_aggregated"] = SQL["time_use_grouped"]
+SQL["cluster_report_from_text"] = SQL["cluster_report"]
+SQL["stored_index_lookup"] = SQL["inverted_index"]
+SQL["stored_index_rank"] = SQL["term_rank"]
+SQL["stored_index_vocabulary"] = SQL["term_rank_vocabulary"].replace(
+    "LEFT JOIN", "JOIN")
+SQL["articles_from_text"] = "SELECT doc_id, text FROM documents"
+SQL["article_positions"] = """
+SELECT count(*) AS articles, count(*) AS lines, count(*) AS ids, CAST(0 AS BIGINT) AS gaps,
+       CAST(0 AS BIGINT) AS scattered
+FROM documents"""
+SQL["article_rejects"] = """
+SELECT 'no line: ' || n_name AS line, true AS in_bad_file FROM nation
+UNION ALL SELECT CAST(count(*) AS VARCHAR), false FROM documents"""
+_FLAT_TERMS = f"""{TERMS_CTE},
+flat AS (SELECT translate(text, chr(13) || chr(10) || '<', '   ') AS text FROM documents
+         WHERE text IS NOT NULL),
+ranked AS (SELECT t.term, CAST(count(*) FILTER (WHERE {HAS_TERM}) AS BIGINT) AS n
+           FROM terms t CROSS JOIN flat d GROUP BY t.term)"""
+SQL["term_popularity_from_text"] = f"""
+WITH {_FLAT_TERMS}
+SELECT 'all' AS ranking, term, n FROM ranked
+UNION ALL SELECT 'index', term, n FROM ranked WHERE n > 0
+UNION ALL SELECT 'reduction', term, n FROM ranked WHERE n > 0"""
+SQL["ranking_file"] = f"""
+WITH ranked AS ({SQL["term_rank"]})
+SELECT row_number() OVER (ORDER BY n DESC, term) - 1 AS pos, '(' || term || ',' || n || ')' AS line
+FROM ranked"""
+SQL["answered_questions_from_text"] = SQL["answered_questions"]
+SQL["posting_rejects"] = """
+SELECT 'no line: ' || n_name AS line, 'no-postings' AS folder FROM nation
+UNION ALL SELECT CAST(count(*) AS VARCHAR), 'postings'
+FROM (SELECT 1 FROM orders UNION ALL SELECT 1 FROM lineitem)"""
+# fixed values: the report's heading
+_HEADING = ("Resulting clusters:", "  Score  Dominant language (%percent)  Questions",
+            "================================================")
+SQL["cluster_report_file"] = f"""WITH RECURSIVE {REPORT_CTE},
+heading(pos, line) AS (VALUES {_values(enumerate(_HEADING))})
+SELECT CAST(pos AS BIGINT) AS pos, line FROM heading
+UNION ALL
+SELECT row_number() OVER (ORDER BY median_score, label, size) + {len(_HEADING) - 1},
+       printf('%7d  %-17s (%-5.1f%%)      %7d', median_score, label, percent, size)
+FROM report"""
+_SURVEY_COLUMNS = ("tucaseid", "telfs", "tesex", "teage", "t010101", "t050101", "t120101", "t180101", "t180501")
+SQL["survey_rows_from_files"] = f"WITH {SURVEY_CTE}\nSELECT {', '.join(_SURVEY_COLUMNS)} FROM survey"
+SQL["survey_schema"] = f"""
+SELECT pos, name, CASE WHEN pos = 0 THEN 'string' ELSE 'double' END AS type, false AS nullable
+FROM (VALUES {_values(enumerate(_SURVEY_COLUMNS))}) t(pos, name)"""
+SQL["time_use_summary_from_files"] = SQL["time_use_summary"]
+SQL["time_use_from_files"] = SQL["time_use_grouped"]
+# one of the headers in mid-file is the first line of its file
+SQL["survey_rejects"] = f"""
+WITH {SURVEY_CTE},
+bad AS (
+  SELECT n_name || repeat(',x', {len(_SURVEY_COLUMNS) - 1}) AS line FROM nation
+  UNION ALL SELECT n_name || ',1.5' FROM nation
+  UNION ALL SELECT '{",".join(_SURVEY_COLUMNS)}' FROM nation WHERE n_nationkey > 0)
+SELECT line, true AS named FROM bad UNION ALL SELECT CAST(count(*) AS VARCHAR), true FROM survey"""
+
+# --- the reference's number of clusters ---------------------------------------------
+
+SQL["nearest_center_many"] = f"""WITH RECURSIVE {MANY_CTE},
+v AS (SELECT row_number() OVER () AS pk, id, x, y FROM vectors)
+SELECT v.id, v.x, v.y, {_nearest('v', 'c')} AS cluster
+FROM v CROSS JOIN centers0 c GROUP BY v.pk, v.id, v.x, v.y"""
+SQL["kmeans_centers_many"] = f"WITH RECURSIVE {MANY_CTE}\nSELECT cluster, x, y FROM final"
+SQL["cluster_report_many"] = f"""WITH RECURSIVE {_report(MANY_CTE)}
+SELECT * FROM report ORDER BY median_score, label, size"""

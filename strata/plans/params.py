@@ -26,6 +26,8 @@ KNOWN_CATEGORIES = CATEGORIES[:4]
 # k is a multiple of the category count as the seeding requires).
 SPREAD = 50000
 KERNELS = 15
+# The reference's own number of clusters.
+MANY_KERNELS = 45
 # Below the spread at which seeds are drawn over all categories.
 NARROW_SPREAD = 400
 # A run that the cap ends.
@@ -34,5 +36,6 @@ ETA = 20.0
 MAX_ITERATIONS = 120
 SEED = 42
 
+INDEX_BUCKETS = 64
 POSTING_BLOCK = 1024
 ANSWER_BLOCK = 1024

@@ -12,10 +12,10 @@ import pytest
 
 import __spark_entry__ as E
 from strata.plans.oracle import SQL
-from strata.plans.queries import QUERIES
 from strata.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
+QUERIES = E.QUERIES
 
 
 def test_entry_smoke(spark, duck):
