@@ -283,21 +283,59 @@ def history_frame(spark: SparkSession, result: KMeansResult) -> DataFrame:
 
 # --- report (A9-A12, O3, K2) -----------------------------------------------
 
+def _middle(a: int, b: int) -> int:
+    """Mean of two values, truncated toward zero."""
+    s = a + b
+    return s // 2 if s >= 0 else -(-s // 2)
+
+
+def _median_pass(assigned: DataFrame, todo: Sequence[tuple], clusters: int) -> DataFrame:
+    """``(c, k, part, below, w)``: the part of each open interval that holds its rank.
+
+    ``todo``: ``(cluster, which middle, rank within the interval, lowest and
+    highest value, width of a part)``. The intervals are a literal, looked up
+    by cluster, so a pass is one aggregate with one window over its parts.
+    """
+    of = [[] for _ in range(clusters)]
+    for c, *interval in todo:
+        of[c].append("named_struct({})".format(", ".join(
+            f"'{n}', {int(v)}L" for n, v in zip(("k", "rank", "lo", "hi", "width"), interval))))
+    empty = "array_remove(array(named_struct({0})), named_struct({0}))".format(
+        ", ".join(f"'{n}', 0L" for n in ("k", "rank", "lo", "hi", "width")))
+    table = "array({})".format(", ".join(f"array({', '.join(x)})" if x else empty for x in of))
+    open_ = assigned.select("cluster", "y", "_w", F.explode(F.expr(f"element_at({table}, cluster + 1)")).alias("t")) \
+        .where(F.col("y").between(F.col("t.lo"), F.col("t.hi")))
+    sums = open_.groupBy(F.col("cluster").alias("c"), F.col("t.k").alias("k"), F.col("t.rank").alias("rank"),
+                         F.expr("(y - t.lo) div t.width").alias("part")).agg(F.sum("_w").alias("w"))
+    upto = Window.partitionBy("c", "k").orderBy("part")
+    return sums.withColumn("below", F.sum("w").over(upto) - F.col("w")) \
+        .where((F.col("below") <= F.col("rank")) & (F.col("rank") < F.col("below") + F.col("w")))
+
+
 def weighted_medians(assigned: DataFrame, ranges: int = MEDIAN_RANGES) -> DataFrame:
-    """``(cluster, median_score)`` of ``assigned(cluster, y, _w)``: the mean of the two middle
+    """``(cluster, median_score)`` of ``assigned(cluster, y, _w)``, see ``medians``."""
+    return local_relation(assigned.sparkSession, list(medians(assigned, ranges).items()),
+                          "cluster int, median_score bigint")
+
+
+def medians(assigned: DataFrame, ranges: int = MEDIAN_RANGES,
+            stats: Sequence[tuple[int, int, int, int]] | None = None) -> dict[int, int]:
+    """The median of each cluster of ``assigned(cluster, y, _w)``: the mean of the two middle
     values, truncated toward zero.
 
     The interval of each middle value is divided into ``ranges``; a partial
     sum per range tells which one holds its rank, and the search goes on
     there until it is one value: two rows per cluster reach the driver each
     time, and the number of passes is the logarithm of the value range.
+    ``stats``: ``(cluster, weight, lowest, highest value)``, where known.
     """
-    spark = assigned.sparkSession
-    stats = assigned.groupBy("cluster").agg(F.sum("_w").alias("n"), F.min("y").alias("lo"),
-                                            F.max("y").alias("hi")).collect()
+    if stats is None:
+        stats = [tuple(r) for r in assigned.groupBy("cluster").agg(
+            F.sum("_w"), F.min("y"), F.max("y")).collect()]
     # (cluster, which middle, rank from 0 within the interval, lowest, highest value)
-    open_ = [(r["cluster"], k, (r["n"] - 1 + k) // 2, r["lo"], r["hi"]) for r in stats for k in (0, 1)]
-    found: dict[int, list[int]] = {r["cluster"]: [0, 0] for r in stats}
+    open_ = [(c, k, (n - 1 + k) // 2, lo, hi) for c, n, lo, hi in stats for k in (0, 1)]
+    found: dict[int, list[int]] = {c: [0, 0] for c, *_ in stats}
+    clusters = max(found, default=-1) + 1
     while open_:
         todo = []
         for c, k, rank, lo, hi in open_:
@@ -307,23 +345,13 @@ def weighted_medians(assigned: DataFrame, ranges: int = MEDIAN_RANGES) -> DataFr
                 todo.append((c, k, rank, lo, hi, -(-(hi - lo + 1) // ranges)))
         if not todo:
             break
-        table = local_relation(spark, todo, "c int, k int, rank bigint, lo bigint, hi bigint, width bigint")
-        sums = assigned.groupBy("cluster", "y").agg(F.sum("_w").alias("_w")) \
-            .join(table, (F.col("cluster") == F.col("c")) & F.col("y").between(F.col("lo"), F.col("hi"))) \
-            .groupBy("c", "k", "rank", "lo", "hi", "width", F.expr("(y - lo) div width").alias("part")) \
-            .agg(F.sum("_w").alias("w"))
-        upto = Window.partitionBy("c", "k").orderBy("part")
-        hit = sums.withColumn("below", F.sum("w").over(upto) - F.col("w")) \
-            .where((F.col("below") <= F.col("rank")) & (F.col("rank") < F.col("below") + F.col("w")))
-        open_ = [(r["c"], r["k"], r["rank"] - r["below"], r["lo"] + r["part"] * r["width"],
-                  min(r["hi"], r["lo"] + (r["part"] + 1) * r["width"] - 1)) for r in hit.collect()]
-
-    def middle(a: int, b: int) -> int:
-        s = a + b
-        return s // 2 if s >= 0 else -(-s // 2)
-
-    return local_relation(spark, [(c, middle(*v)) for c, v in found.items()],
-                          "cluster int, median_score bigint")
+        bounds = {(c, k): (lo, hi, width) for c, k, _, lo, hi, width in todo}
+        open_ = []
+        for r in _median_pass(assigned, todo, clusters).collect():
+            lo, hi, width = bounds[r["c"], r["k"]]
+            open_.append((r["c"], r["k"], r["rank"] - r["below"], lo + r["part"] * width,
+                          min(hi, lo + (r["part"] + 1) * width - 1)))
+    return {c: _middle(*v) for c, v in found.items()}
 
 
 def cluster_report(points: DataFrame, centers: Sequence[Center],
@@ -335,21 +363,20 @@ def cluster_report(points: DataFrame, centers: Sequence[Center],
       even counts), truncated toward zero;
     * A10 mode: category with most points, lowest on ties;
     * A11 size and the mode's share in percent.
-    Points are assigned once, into a reliable compact table of
-    (cluster, x, y); the statistics are partial aggregates over it.
+    One job gives sizes, modes and value ranges, one per pass the medians:
+    partial aggregates over the compact points, a few rows per cluster each.
     """
-    compact = reliable(assign(points, centers).groupBy("cluster", "x", "y")
-                       .agg(F.sum(_weight(points)).alias("_w")))
-    per_cat = compact.groupBy("cluster", "x").agg(F.sum("_w").alias("_cnt"))
-    mode = per_cat.groupBy("cluster").agg(
-        F.sum("_cnt").alias("size"),
-        F.max_by(F.struct("x", "_cnt"), F.struct(F.col("_cnt"), -F.col("x"))).alias("_m"))
-    labels = F.array(*[F.lit(c) for c in categories]).cast("array<string>")
-    report = mode.join(weighted_medians(compact), "cluster").select(
-        F.element_at(labels, F.expr(f"_m.x div {int(spread)} + 1").cast("int")).alias("label"),
-        (F.col("_m._cnt") * 100.0 / F.col("size")).alias("percent"),
-        F.col("size").cast("bigint").alias("size"),
-        "median_score")
+    assigned = assign(points, centers).select("cluster", "x", "y", _weight(points).alias("_w"))
+    stats = assigned.groupBy("cluster", "x").agg(
+        F.sum("_w").alias("cnt"), F.min("y").alias("lo"), F.max("y").alias("hi")) \
+        .groupBy("cluster").agg(
+            F.sum("cnt").alias("size"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+            F.max_by(F.struct("x", "cnt"), F.struct(F.col("cnt"), -F.col("x"))).alias("mode")).collect()
+    middle = medians(assigned, stats=[(r["cluster"], r["size"], r["lo"], r["hi"]) for r in stats])
+    rows = [(categories[r["mode"]["x"] // int(spread)], r["mode"]["cnt"] * 100.0 / r["size"], r["size"],
+             middle[r["cluster"]]) for r in stats]
+    report = local_relation(points.sparkSession, rows,
+                            "label string, percent double, size bigint, median_score bigint")
     return sort_bounded(report, "median_score", "label", "size")
 
 

@@ -28,6 +28,9 @@ from strata.sources.memory import local_relation
 # Up to this many terms the list is inlined as a literal array and matched
 # per row with a hash set; longer lists are joined as a relation instead.
 LITERAL_TERMS_MAX = 64
+# Up to this many terms tokens pass through a set in the generated code; of a
+# longer list the tokens are counted before they meet it.
+SET_TERMS_MAX = 1024
 # Default width of the id range of one posting-list block.
 POSTING_BLOCK = 1024
 
@@ -81,22 +84,28 @@ def rank_order(ranking: DataFrame) -> DataFrame:
     return sort_bounded(ranking, F.desc("n"), F.asc("term"))
 
 
-def token_counts(articles: DataFrame, text: str = "text") -> DataFrame:
-    """``(term, n)``: articles per token, every token of the collection.
+def token_counts(articles: DataFrame, text: str = "text",
+                 terms: Sequence[str] | None = None) -> DataFrame:
+    """``(term, n)``: articles per token, of the listed terms or of every token of the collection.
 
     Tokens are counted in the task before they move, so a token of every
-    article ships one row per task.
+    article ships one row per task. A list that fits a set drops other tokens
+    before they are counted; of a longer one the counts meet the list.
     """
-    return articles.select(F.explode(F.array_distinct(tokens(text))).alias("term")) \
-        .groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    found = articles.select(F.explode(F.array_distinct(tokens(text))).alias("term"))
+    if terms and len(terms) <= SET_TERMS_MAX:
+        found = found.where(F.col("term").isin(list(terms)))
+    counts = found.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    if terms and len(terms) > SET_TERMS_MAX:
+        counts = counts.join(term_frame(articles.sparkSession, terms).select("term"), "term")
+    return counts
 
 
 def rank_terms(articles: DataFrame, terms: Sequence[str], text: str = "text") -> DataFrame:
     """A5: rank by reduction -> ``(term, n bigint)``; terms never seen are absent."""
     terms = _check_terms(terms)
     if len(terms) > LITERAL_TERMS_MAX:
-        relation = term_frame(articles.sparkSession, terms).select("term")
-        return rank_order(token_counts(articles, text).join(relation, "term"))
+        return rank_order(token_counts(articles, text, terms))
     return rank_order(matching_terms(articles, terms, text).groupBy("term")
                       .agg(F.count(F.lit(1)).alias("n")))
 
@@ -121,7 +130,7 @@ def rank_terms_all(articles: DataFrame, terms: Sequence[str], text: str = "text"
         # the ordering directly (no exchange)
         return counts.select(F.inline(rows)).orderBy(F.desc("n"), F.asc("term"))
     relation = term_frame(articles.sparkSession, terms).select("term")
-    ranked = token_counts(articles, text).join(relation, "term", "right") \
+    ranked = token_counts(articles, text, terms).join(relation, "term", "right") \
         .select("term", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
     return rank_order(ranked)
 

@@ -53,7 +53,7 @@ def score_clusters(spark: SparkSession, path: str, params: C.KMeansParams,
     number and their nulls are counted by the job that writes them (A16, S4).
     Returns the report (K2 via ``strata.sinks.report_text``) and the fit.
     """
-    with persisted(read_postings(spark, path, id_type=id_type)) as postings:    # both sides of the join
+    with persisted(read_postings(spark, path, True, id_type)) as postings:    # both sides of the join
         seen = Observed(PO.category_vectors(PO.best_answer(postings), params.categories,
                                             params.spread).select("id", "x", "y"),
                         rows=expected_vectors, not_null=("id", "x", "y"), what="vectors")
