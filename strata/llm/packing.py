@@ -22,6 +22,7 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import saved
+from strata.llm.words import LONG_WORD
 
 CAPACITY = 2048
 END_ID = 1
@@ -133,6 +135,10 @@ class WordTokens:
         sums[0] = 0
         np.cumsum(self.value[codes] * weights[:len(codes)], out=sums[1:])
         hashes = (sums[ends] - sums[at]) * back[at]
+        # sums of long words that repeat a pattern may be equal modulo 2**64
+        long = np.flatnonzero(ends - at > LONG_WORD)
+        hashes[long] = [int.from_bytes(blake2b(text[a:b].encode(), digest_size=8).digest(), "little")
+                        for a, b in zip(at[long].tolist(), ends[long].tolist())]
         one, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         spot = np.searchsorted(self.hashes, one)
         known = np.zeros(len(one), bool)

@@ -7,11 +7,15 @@ bounds the memory, and a document longer than a slice goes alone.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
+# Longer words are hashed by blake2b: the rolling sums of words that repeat a
+# pattern long enough (Thue-Morse words of 1024 bytes) are equal modulo 2**64.
+LONG_WORD = 32
 _SPACE = (0x20, *range(0x09, 0x0E))
 
 
@@ -101,7 +105,14 @@ def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray,
     sums = np.empty(n + 1, np.uint64)
     sums[0] = 0
     np.cumsum(value[data] * up[:n], out=sums[1:])
-    return mixed((sums[ends] - sums[at]) * down[at]), np.searchsorted(at, offsets)
+    hashes = (sums[ends] - sums[at]) * down[at]
+    long = np.flatnonzero(ends - at > LONG_WORD)
+    if len(long):
+        folds = value[ord("A")] == value[ord("a")]
+        whole = (data[a:b].tobytes() for a, b in zip(at[long].tolist(), ends[long].tolist()))
+        hashes[long] = [int.from_bytes(blake2b(w.lower() if folds else w, digest_size=8).digest(), "little")
+                        for w in whole]
+    return mixed(hashes), np.searchsorted(at, offsets)
 
 
 def shingle_sets(hashes: np.ndarray, offsets: np.ndarray, words_: int) -> Iterator[np.ndarray]:

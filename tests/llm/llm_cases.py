@@ -16,6 +16,12 @@ def prose(seed, n):
     return " ".join(r.choice(WORDS) for _ in range(n))
 
 
+def colliding_words(n):
+    """Two words of two letters whose polynomial hashes modulo 2**64 are equal from 1024 letters on."""
+    order = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[k] for k in order), "".join("ba"[k] for k in order)
+
+
 def edge_rows():
     """(doc_id, text, lang, source, n_chars): nulls, empty, long, repeated and tied rows."""
     a, b, long = prose(1, 60), prose(2, 80), prose(3, 30_000)

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_cases import (  # noqa: F401
-    clashing_docs, edge_docs, edge_rows, no_docs, prose, rows_of, shingle_set)
+    clashing_docs, colliding_words, edge_docs, edge_rows, no_docs, prose, rows_of, shingle_set)
 
 from strata.llm import jaccard_join as J
 from strata.llm.common import components
@@ -137,3 +137,13 @@ def test_components_of_paths_stars_and_rings(spark):
     assert {got[i] for i in range(100, 161)} == {100} and {got[i] for i in range(500, 560)} == {500}
     assert {got[i] for i in range(900, 907)} == {900}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+@pytest.mark.parametrize("n", [512, 1024, 4096])
+def test_colliding_words_are_different(spark, n):
+    # sets that differ in such a word alone share a name if its hash does
+    rows = [(i, f"one two three {w} five") for i, w in enumerate(colliding_words(n))] \
+        + [(9, f"one two three {colliding_words(n)[0].upper()} five")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = rows_of(J.jaccard_classes(docs), "doc_id", "n_shingles", "component_id", "n_links")
+    assert got == brute(rows) == [(0, 2, 0, 1), (1, 2, 1, 0), (9, 2, 0, 1)]

@@ -5,7 +5,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from llm_cases import clashing_docs, edge_docs, edge_rows, no_docs  # noqa: F401, F811
+from llm_cases import clashing_docs, colliding_words, edge_docs, edge_rows, no_docs  # noqa: F401, F811
 from tokenizers import Tokenizer
 
 from strata.llm import packing as P
@@ -27,6 +27,13 @@ def test_ids_are_those_of_the_tokenizer(words, texts):
     assert [x.tolist() for x in words.encode(texts)] == want
 
 
+@pytest.mark.parametrize("n", [512, 1024, 2048, 4096])
+def test_colliding_words_keep_their_ids(words, n):
+    texts = list(colliding_words(n))
+    want = [e.ids for e in words.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert want[0] != want[1] and [x.tolist() for x in words.encode(texts)] == want
+
+
 def test_cache_starts_afresh(words, monkeypatch):
     monkeypatch.setattr(P, "CACHE_WORDS", 3)
     texts = ["alpha beta gamma delta", "beta epsilon zeta", "", "alpha"]
