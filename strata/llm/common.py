@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.config import ensure_checkpoint_dir
@@ -91,7 +91,9 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star steps (Kiveris et al., 2014): each
     is one partial aggregate and one join on the smallest neighbour, so a
     node with very many neighbours ships one row per task and its join
-    partition can be split. Every round is checkpointed; the number of rounds
+    partition can be split. Every round is checkpointed, and the job that
+    writes it counts what tells whether the round changed anything (tasks run
+    again may count twice, which costs a round, no result); the number of rounds
     grows with the logarithm of the longest path. No edges: no rows.
     """
     def star(e: DataFrame, large: bool) -> DataFrame:
@@ -108,15 +110,16 @@ def components(edges: DataFrame) -> DataFrame:
                 .unionByName(low.select("a", F.col("m").alias("b")))
         return out.where("a <> b").distinct()
 
-    def mark(e: DataFrame):
-        return e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    def marked_round(e: DataFrame) -> tuple[DataFrame, dict]:
+        """The edges written once, and their number and sum of hashes."""
+        seen = Observation()
+        return saved(e.observe(seen, F.count(F.lit(1)).alias("n"),
+                               F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum"))), seen.get
 
-    e = saved(edges.select("a", "b").where("a <> b")
-              .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    seen = mark(e)
+    e, seen = marked_round(edges.select("a", "b").where("a <> b")
+                           .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while True:
-        e = saved(star(star(e, True), False))
-        now = mark(e)
+        e, now = marked_round(star(star(e, True), False))
         if now == seen:
             break
         seen = now

@@ -8,13 +8,18 @@ sets that link share a shingle of their prefixes (the first 15 % or so).
 2. Shingles in the lowest part of the hash range, always enough for a prefix,
    are counted; those in one set alone come first in the order and generate
    nothing, so a set whose prefix holds only such shingles is done.
-3. Sets with identical prefixes and size collapse into one group. Groups that
-   share a prefix shingle and have compatible sizes are tied to one leader
-   per shingle and size class, not to each other, and ties are followed to
-   candidate classes.
-4. Classes are expanded to their sets, which meet in tiles of bounded size;
-   there every pair of compatible size is verified by exact intersection.
-   A class of several tiles is verified by pairs of tiles.
+3. Sets with identical prefixes and size collapse into one group. Pairs of
+   groups that share a prefix shingle are filtered by size and position: what
+   stands from the shingle on bounds the overlap, and of two groups that may
+   link one holds it early (in the first 8 % or so). Where no group of
+   compatible size does, the shingle ties nothing; elsewhere groups are tied
+   to one leader per shingle and size class, not to each other, and ties are
+   followed to candidate classes.
+4. Classes are expanded to their sets, which meet in tiles of bounded size and
+   work. There all shingles are counted anew, rare ones come first, and the
+   same filter by size and position, now on whole sets, leaves the pairs that
+   are verified by exact intersection. A class of several tiles is verified by
+   pairs of tiles.
 
 Sets are distinct 64-bit shingle hashes; likeness is compared in integers.
 
@@ -33,7 +38,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import words as W
@@ -41,6 +46,7 @@ from strata.llm.common import bitmap, boxed, components, dealt_join, marked, sav
 
 WORDS, SHARE = 4, (85, 100)     # words of a shingle; least intersection / union
 TILE = 1 << 20                  # shingles in a tile, about
+WORK = 1 << 32                  # sets times shingles in a tile, about
 _KIND, _VALUE = W.kinds("visible"), W.values(True)
 _OTHER = np.uint64(0x5851F42D4C957F2D)
 
@@ -76,7 +82,8 @@ def _emitted(x: np.ndarray, share: tuple[int, int], limit: int) -> int:
 
 
 def set_rows(docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
-    """``(doc_id, n, r, s, s2)`` per row: set size, counted shingles, the set's name; null if empty.
+    """``(doc_id, n, r, low, s, s2)`` per row: set size, counted shingles, those of them in the
+    region, the set's name; null if empty.
 
     A ``key`` beside id and text is kept.
     """
@@ -88,13 +95,14 @@ def set_rows(docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
             for first, sets, s, s2 in _slices(batch.column(1), words):
                 n = np.array([len(x) for x in sets], np.int64)
                 r = np.array([_emitted(x, share, limit) if len(x) else 0 for x in sets], np.int64)
+                low = np.array([np.searchsorted(x, np.uint64(limit)) for x in sets], np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(sets)), pa.array(n), pa.array(r),
+                    [batch.column(0).slice(first, len(sets)), pa.array(n), pa.array(r), pa.array(low),
                      pa.array(s, mask=n == 0), pa.array(s2, mask=n == 0),
                      *[batch.column(2).slice(first, len(sets)) for _ in kept]],
-                    ["doc_id", "n", "r", "s", "s2", *kept])
+                    ["doc_id", "n", "r", "low", "s", "s2", *kept])
 
-    return docs.mapInArrow(run, "doc_id bigint, n bigint, r bigint, s bigint, s2 bigint"
+    return docs.mapInArrow(run, "doc_id bigint, n bigint, r bigint, low bigint, s bigint, s2 bigint"
                            + "".join(f", {k} bigint" for k in kept))
 
 
@@ -143,10 +151,11 @@ def set_bytes(docs: DataFrame, words: int, marks) -> DataFrame:
 
 
 def prefixes(tokens: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """``(id, n, prefix)`` of the sets whose prefix holds a shingle of another set.
+    """``(id, n, prefix, skip)`` of the sets whose prefix holds a shingle of another set.
 
     ``prefix`` lists those shingles alone; the order is: counted region by
-    number of sets and hash, then the other shingles by hash.
+    number of sets and hash, then the other shingles by hash. ``skip``
+    shingles of the region, the set's own, come before.
     """
     frequent = tokens.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     low = (F.col("h") >= 0) & (F.col("h") < F.lit(min(region(share), 2 ** 63 - 1)))
@@ -156,10 +165,22 @@ def prefixes(tokens: DataFrame, sets: DataFrame, share: tuple[int, int]) -> Data
     length = F.expr(f"n - ((n * {a} + {b - 1}) div {b}) + 1")
     # shingles of this set alone come first and fill the prefix from the front
     take = length - (F.col("r") - F.size("t"))
+    inner = F.size(F.filter("t", lambda x: ~x["outer"]))
     return common.join(sets, "s").withColumn("take", take).where("take > 0").select(
         F.col("sid").alias("id"), "n",
         F.slice(F.transform(F.array_sort("t"), lambda x: x["h"]), F.lit(1),
-                F.col("take").cast("int")).alias("prefix"))
+                F.col("take").cast("int")).alias("prefix"),
+        (F.col("low") - inner).alias("skip"))
+
+
+def early(n, p, share: tuple[int, int]):
+    """Whether two sets of ``n`` that first share their ``p``-th shingle (from 0) may link.
+
+    Of any two sets that link, one holds the first shared shingle early: the
+    overlap is at most the smaller of the two rests ``n - p``, which is too
+    little for sets that both hold it later than this.
+    """
+    return share[1] * (n - p) >= share[0] * (n + p)
 
 
 def size_class(share: tuple[int, int]):
@@ -170,95 +191,142 @@ def size_class(share: tuple[int, int]):
 
 def candidate_ties(pre: DataFrame, share: tuple[int, int]) -> DataFrame:
     """``(a, b)``: ties whose classes hold every pair of sets that may link."""
-    groups = pre.groupBy("n", "prefix").agg(F.min("id").alias("g"))
-    members = dealt_join(pre, groups, ["n", "prefix"]).where("id <> g").select(
+    groups = pre.groupBy("n", "prefix").agg(F.min("id").alias("g"), F.min("skip").alias("skip"))
+    members = dealt_join(pre.drop("skip"), groups.drop("skip"), ["n", "prefix"]).where("id <> g").select(
         F.col("id").alias("a"), F.col("g").alias("b"))
-    keys = groups.select("g", size_class(share).alias("c"), F.explode("prefix").alias("h"))
-    leaders = keys.groupBy("h", "c").agg(F.min("g").alias("lead"), F.count(F.lit(1)).alias("k"))
-    led = dealt_join(keys, leaders.where("k > 1"), ["h", "c"]).where("g <> lead").select(
-        F.col("g").alias("a"), F.col("lead").alias("b"))
-    above = leaders.select("h", (F.col("c") - 1).alias("c"), F.col("lead").alias("above"))
-    next_ = leaders.join(above, ["h", "c"]).where("lead <> above").select(
-        F.col("lead").alias("a"), F.col("above").alias("b"))
+    keys = groups.select("g", "n", size_class(share).alias("c"), "skip", F.posexplode("prefix").alias("pos", "h")) \
+        .select("g", "c", "h", early(F.col("n"), F.col("skip") + F.col("pos"), share).alias("early"))
+    leaders = keys.groupBy("h", "c").agg(F.min("g").alias("lead"), F.count(F.lit(1)).alias("k"),
+                                         F.max("early").alias("early"))
+    # size classes of a shingle: a hundred or two at most
+    near = Window.partitionBy("h").orderBy("c").rangeBetween(-1, 1)
+    above = Window.partitionBy("h").orderBy("c")
+    led_by = leaders.withColumns({"some": F.max("early").over(near), "next": F.lead("c").over(above),
+                                  "next_early": F.lead("early").over(above), "next_lead": F.lead("lead").over(above)})
+    led = dealt_join(keys.select("g", "h", "c"), led_by.where("k > 1 AND some").select("h", "c", "lead"), ["h", "c"]) \
+        .where("g <> lead").select(F.col("g").alias("a"), F.col("lead").alias("b"))
+    next_ = led_by.where("next = c + 1 AND (early OR next_early) AND lead <> next_lead").select(
+        F.col("lead").alias("a"), F.col("next_lead").alias("b"))
     return members.unionByName(led).unionByName(next_).distinct()
 
 
+def _candidates(token: np.ndarray, start: np.ndarray, n: np.ndarray, df: np.ndarray, share: tuple[int, int]):
+    """A function of ``(set, last)``: later sets below ``last`` that may link with it.
+
+    ``token`` lists the shingles of each set, rare ones first; sets ascend by size.
+    """
+    a, b = share
+    length = n - -(-n * a // b) + 1
+    owner = np.repeat(np.arange(len(n)), length)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(length) - length, length)
+    entry = token[start[owner] + place]
+    seen = df[entry] > 1
+    owner, place, entry = owner[seen], place[seen], entry[seen]
+    # a shingle that no set holds early ties nothing
+    some = np.zeros(len(df), bool)
+    some[entry[early(n[owner], place, share)]] = True
+    seen = some[entry]
+    owner, place, entry = owner[seen], place[seen], entry[seen]
+    of_set = np.searchsorted(owner, np.arange(len(n) + 1))
+    order = np.argsort(entry, kind="stable")            # by shingle, then by set
+    lists = np.searchsorted(entry[order], np.arange(len(df) + 1))
+    by, rest = owner[order], n[owner[order]] - place[order]
+
+    def later(i: int, last: int) -> np.ndarray:
+        marks = np.zeros(last - i, bool)
+        for e in range(of_set[i], of_set[i + 1]):
+            lo, hi = lists[entry[e]], lists[entry[e] + 1]
+            lo, hi = lo + np.searchsorted(by[lo:hi], i, "right"), lo + np.searchsorted(by[lo:hi], last)
+            if lo < hi:
+                most = np.minimum(rest[lo:hi], n[i] - place[e])     # of the overlap
+                j = by[lo:hi]
+                marks[j[b * most >= a * (n[i] + n[j] - most)] - i] = True
+        return np.flatnonzero(marks) + i
+
+    return later
+
+
 def verify(sets: list[np.ndarray], side: np.ndarray, copies: np.ndarray, share: tuple[int, int],
            count: bool) -> tuple[np.ndarray, np.ndarray]:
     """``(root of each set, links of each set)`` among the sets of a tile or two.
 
-    With ``count`` every pair is intersected, and a set's links are the copies
-    of the sets it links with (pairs of one side only where there is one side).
-    Without, sets that are already in the class of another are not compared
-    with it again.
+    Pairs that the filter leaves are intersected. With ``count`` all of them
+    are, and a set's links are the copies of the sets it links with (pairs of
+    one side only where there is one side). Without, sets that are already in
+    the class of another are not compared with it again.
     """
     a, b = share
-    n = np.array([len(x) for x in sets], np.int64)
-    order = np.argsort(n, kind="stable")
-    n = n[order]
-    _, token = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)
+    size = np.array([len(x) for x in sets], np.int64)
+    order = np.argsort(size, kind="stable")
+    n = size[order]
     stop = np.cumsum(n)
     start = stop - n
-    flag = np.zeros(int(token.max()) + 1, np.uint8)
-    links, parent = np.zeros(len(n), np.int64), np.arange(len(n))
+    _, token, df = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True, return_counts=True)
+    rare = np.argsort(df, kind="stable")
+    rank = np.empty(len(df), np.int64)
+    rank[rare] = np.arange(len(df))
+    owner = np.repeat(np.arange(len(n)), n)
+    token = np.sort(owner * len(df) + rank[token]) - owner * len(df)      # rare ones first in each set
+    later = _candidates(token, start, n, df[rare], share)
+    flag = np.zeros(len(df), np.uint8)
+    links, label = np.zeros(len(n), np.int64), np.arange(len(n))
     two = len(np.unique(side)) > 1
     where, weight = side[order], copies[order]
 
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = int(parent[i])
-        return i
-
     for i in range(len(n)):
         # larger sets that may link
         last = int(np.searchsorted(n, n[i] * b // a, "right"))
         if last <= i + 1:
             continue
+        rest = later(i, last)
+        rest = rest[where[rest] != where[i]] if two and count else rest if count else rest[label[rest] != label[i]]
+        if not len(rest):
+            continue
         mine = token[start[i]:stop[i]]
         flag[mine] = 1
-        if count:
-            rest = np.arange(i + 1, last)
-            if two:
-                rest = rest[where[rest] != where[i]]
+        if n[rest].sum() * 4 > stop[last - 1] - start[i + 1]:
             own = np.add.reduceat(flag[token[start[i + 1]:stop[last - 1]]],
                                   start[i + 1:last] - start[i + 1], dtype=np.int64)[rest - i - 1]
         else:
-            mine_root = root(i)
-            rest = np.array([j for j in range(i + 1, last) if root(j) != mine_root], np.int64)
-            own = np.array([flag[token[start[j]:stop[j]]].sum(dtype=np.int64) for j in rest],
-                           np.int64)
+            ends = np.cumsum(n[rest])
+            at = np.arange(ends[-1]) + np.repeat(start[rest] - (ends - n[rest]), n[rest])
+            own = np.add.reduceat(flag[token[at]], ends - n[rest], dtype=np.int64)
         flag[mine] = 0
-        if not len(rest):
-            continue
         hit = rest[own * b >= a * (n[i] + n[rest] - own)]
         links[i] += weight[hit].sum()
         links[hit] += weight[i]
-        for j in hit.tolist():
-            parent[root(j)] = root(i)
+        for other in np.unique(label[hit]).tolist():
+            if other != label[i]:
+                label[label == other] = label[i]
     out, back = np.empty(len(n), np.int64), np.empty(len(n), np.int64)
-    out[order] = order[[root(i) for i in range(len(n))]]
+    out[order] = order[label]
     back[order] = links
     return out, back
 
 
-def tiles(nodes: DataFrame, share: tuple[int, int], tile: int) -> DataFrame:
+def tiles(nodes: DataFrame, share: tuple[int, int], tile: int, work: int) -> DataFrame:
     """``nodes`` with ``(lo, hi, side)``: the pairs of tiles that a set takes part in."""
     sized = nodes.withColumn("c", size_class(share))
-    whole = sized.groupBy("component").agg(F.sum("n").alias("all"))
-    wide = sized.join(whole, "component")
-    alone = wide.where(F.col("all") <= tile).select(
-        *nodes.columns, F.lit(0).cast("bigint").alias("lo"), F.lit(0).cast("bigint").alias("hi"),
-        F.lit(0).cast("bigint").alias("side"))
-    large = wide.where(F.col("all") > tile)
-    parts = large.groupBy("component", "c").agg(
-        F.greatest(F.lit(1), F.ceil(F.sum("n") / F.lit(tile))).cast("bigint").alias("k"))
+
+    def wanted() -> Column:
+        """Tiles that sets are dealt over: by their shingles, and by sets times shingles."""
+        return F.greatest(F.lit(1), F.ceil(F.sum("n") / F.lit(tile)), F.ceil(F.sqrt(
+            F.count(F.lit(1)).cast("double") * F.sum("n") / F.lit(work)))).cast("bigint")
+
+    whole = sized.groupBy("component").agg(wanted().alias("all"))
+    wide = dealt_join(sized, whole, ["component"])
+    zero = F.lit(0).cast("bigint")
+    alone = wide.where(F.col("all") == 1).select(
+        *nodes.columns, zero.alias("lo"), zero.alias("hi"), zero.alias("side"))
+    large = wide.where(F.col("all") > 1)
+    parts = large.groupBy("component", "c").agg(wanted().alias("k"))
 
     def near(step: int) -> DataFrame:
         return parts.select("component", (F.col("c") - step).alias("c"), F.col("k").alias(f"k{step + 1}"))
 
-    spread = large.join(near(0), ["component", "c"]).join(near(1), ["component", "c"], "left") \
-        .join(near(-1), ["component", "c"], "left")
+    # one row per class and size class, dealt anew from the sets that they count
+    around = near(0).join(near(1), ["component", "c"], "left").join(near(-1), ["component", "c"], "left")
+    spread = dealt_join(large, around, ["component", "c"])
     me = F.col("c") * (1 << 24) + F.pmod(F.xxhash64("id"), F.col("k1"))
 
     def pairs(step: int, k):
@@ -268,7 +336,6 @@ def tiles(nodes: DataFrame, share: tuple[int, int], tile: int) -> DataFrame:
         return F.transform(every, lambda j: F.struct(
             F.least(me, there + j).alias("lo"), F.greatest(me, there + j).alias("hi")))
 
-    zero = F.lit(0).cast("bigint")
     return alone.unionByName(spread.select(
         *nodes.columns, me.alias("side"), F.explode(F.concat(
             pairs(0, F.col("k1")), pairs(1, F.coalesce("k2", zero)),
@@ -282,7 +349,7 @@ def verified(docs: DataFrame, nodes: DataFrame, words: int, share: tuple[int, in
     marks = docs.sparkSession.sparkContext.broadcast(bitmap(nodes, "s"))
     # tasks that hold copies of a set each send it: one of them goes on
     held = set_bytes(docs, words, marks).groupBy("s", "s2").agg(F.any_value("hashes").alias("hashes"))
-    rows = tiles(nodes, share, tile).join(held, ["s", "s2"])
+    rows = tiles(nodes, share, tile, WORK).join(held, ["s", "s2"])
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         ids, at = np.unique(table.column("id").to_numpy(), return_index=True)
@@ -295,8 +362,10 @@ def verified(docs: DataFrame, nodes: DataFrame, words: int, share: tuple[int, in
                               table.column("copies").to_numpy()[at], share, count)
         return pa.table({"id": ids, "root": ids[roots], "links": links})
 
-    return rows.select("component", "lo", "hi", "side", "id", "copies", "hashes") \
-        .groupBy("component", "lo", "hi").applyInArrow(run, "id bigint, root bigint, links bigint")
+    out = saved(rows.select("component", "lo", "hi", "side", "id", "copies", "hashes")
+                .groupBy("component", "lo", "hi").applyInArrow(run, "id bigint, root bigint, links bigint"))
+    marks.destroy()
+    return out
 
 
 def linked_sets(own: DataFrame, rows: DataFrame, words: int, share: tuple[int, int], tile: int,
@@ -307,13 +376,13 @@ def linked_sets(own: DataFrame, rows: DataFrame, words: int, share: tuple[int, i
     part them; ``first`` is the smallest document id of a set.
     """
     sets = saved(rows.where("n > 0").groupBy("s", "s2").agg(
-        F.min("doc_id").alias("first"), F.max("n").alias("n"), F.max("r").alias("r"),
+        F.min("doc_id").alias("first"), F.max("n").alias("n"), F.max("r").alias("r"), F.max("low").alias("low"),
         F.count(F.lit(1)).alias("copies")).withColumn("sid", F.monotonically_increasing_id()))
     pre = saved(prefixes(counted_shingles(own, words, share), sets, share))
     ties = components(candidate_ties(pre, share))
     nodes = saved(ties.join(sets, F.col("id") == F.col("sid")).select(
         "id", "component", "s", "s2", "n", "copies"))
-    found = saved(verified(own, nodes, words, share, tile, count))
+    found = verified(own, nodes, words, share, tile, count)
     linked = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     classes = sets.join(linked, F.col("sid") == F.col("id"), "left").select(
         "sid", F.coalesce("component", "sid").alias("component"), "first", "copies", "s", "s2")

@@ -147,3 +147,37 @@ def test_colliding_words_are_different(spark, n):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = rows_of(J.jaccard_classes(docs), "doc_id", "n_shingles", "component_id", "n_links")
     assert got == brute(rows) == [(0, 2, 0, 1), (1, 2, 1, 0), (9, 2, 0, 1)]
+
+
+def template(n, pool, tail=""):
+    """Texts that differ in one word of eleven (``pool`` choices) and in a last word, 7 or 8 shingles."""
+    return [f"a b c d e f g h i j w{k % pool}{tail and f' {tail}{k // pool}'}" for k in range(n)]
+
+
+@pytest.mark.parametrize("work", [1 << 32, 3000])
+def test_template_classes_match_brute_force(spark, monkeypatch, work):
+    # one shingle shared by all, links between few; little work in a tile: many tiles
+    monkeypatch.setattr(J, "WORK", work)
+    texts = template(40, 40) + template(60, 12, "x") + ["a b c d e f g h i j"] * 2 \
+        + [f"{prose(3, 40)} {k}" for k in range(20)]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert rows_of(J.jaccard_classes(df)) == brute(rows)
+    assert rows_of(J.jaccard_classes(df, count=False)) == [r[:3] for r in brute(rows)]
+
+
+def test_a_shared_template_shingle_makes_no_pairs():
+    # 7 of 8 shingles are shared by all 20,000 sets: 7/9 is no link, and none is compared
+    shared = np.arange(7, dtype=np.uint64)
+    for own in (range(100, 20_100), [100 + k // 100 for k in range(20_000)]):
+        sets = [np.append(shared, np.uint64(k)) for k in own]
+        n = np.full(len(sets), 8)
+        _, token, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        rank = np.empty(len(df), np.int64)
+        rare = np.argsort(df, kind="stable")
+        rank[rare] = np.arange(len(df))
+        owner = np.repeat(np.arange(len(n)), n)
+        token = np.sort(owner * len(df) + rank[token]) - owner * len(df)
+        later = J._candidates(token, np.arange(len(n)) * 8, n, df[rare], (85, 100))
+        found = sum(len(later(i, len(n))) for i in range(0, len(n), 997))
+        assert found == (0 if len(df) > 20_000 else sum(99 - i % 100 for i in range(0, 20_000, 997)))
