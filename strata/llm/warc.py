@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import whole
+from strata.llm.common import dealt_join, whole
 
 # Fixed values of the seekable format: skippable frame magic, seek table magic.
 SKIPPABLE, SEEK_TABLE, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -171,8 +171,9 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     """``(page_id, url, payload, sha1, refers_to)``; a null ``refers_to`` is a response.
 
     Equal payloads share length, SHA-1 and SHA-256. Only digests are grouped
-    (partial aggregate) and only groups of two or more ids are joined back, so
-    payloads move once and a hot payload's join partition can be split.
+    (partial aggregate) and only groups of two or more ids are joined back. The
+    join deals its rows anew, so that a hot payload's partition can be split;
+    payloads too short to be revisited, the empty page too, do not move.
     """
     rows = pages.select(F.col(f"`{id_col}`").cast("bigint").alias("page_id"),
                         F.col(f"`{url_col}`").cast("string").alias("url"),
@@ -180,12 +181,12 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     keyed = rows.select("*", F.sha1("payload").alias("sha1"),
                         F.sha2("payload", 256).alias("sha256"),
                         F.octet_length("payload").alias("n"))
-    groups = keyed.where(F.col("n") >= min_revisit).groupBy(
-        F.col("sha256").alias("g256"), F.col("sha1").alias("g1"), F.col("n").alias("gn")) \
-        .agg(F.max("page_id").alias("top"), F.count(F.lit(1)).alias("rows")) \
-        .where("rows > 1 and top is not null")
-    out = keyed.join(groups, (F.col("sha256") == F.col("g256")) & (F.col("sha1") == F.col("g1"))
-                     & (F.col("n") == F.col("gn")), "left")
+    names = ["sha256", "sha1", "n"]
+    long = keyed.where(F.col("n") >= min_revisit)
+    groups = long.groupBy(*names).agg(F.max("page_id").alias("top"), F.count(F.lit(1)).alias("rows")) \
+        .where("rows > 1 and top is not null").drop("rows")
+    out = dealt_join(long, groups, names, "left").unionByName(
+        keyed.where(F.col("n") < min_revisit).withColumn("top", F.lit(None).cast("bigint")))
     return out.select("page_id", "url", "payload", "sha1",
                       F.when(F.col("page_id") < F.col("top"), F.col("top")).alias("refers_to"))
 

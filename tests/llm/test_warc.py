@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import pytest
 import zstandard
@@ -66,3 +67,27 @@ def test_empty_table_and_damage(spark, scratch):
         W.parse_record(record[:-3])
     with pytest.raises(ValueError):
         W.seek_table(b"not a bundle")
+
+
+def test_a_payload_that_a_third_of_all_pages_share(spark, scratch):
+    # broadcasts off, low thresholds: the hot payload's partition is split
+    # as long as what shuffle files compress at a time, else its copies weigh nothing
+    hot = random.Random(1).randbytes(16_000).hex()
+    rows = [(i, f"http://x/{i}", hot if i % 3 == 0 else f"{i} " + "p" * (1200 if i % 2 else 20)) for i in range(900)]
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        planned = W.plan_records(spark.createDataFrame(rows, SCHEMA).repartition(6))
+        got = planned.collect()
+        plan = planned._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert "skew=true" in plan, plan
+    assert sorted((r["page_id"], r["refers_to"]) for r in got) == [
+        (i, 897 if i % 3 == 0 and i < 897 else None) for i in range(900)]
