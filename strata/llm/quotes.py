@@ -25,6 +25,7 @@ from strata.llm.common import saved, whole
 MARKS = r"^((?:[ \t]*>)+)"          # of a quoted line
 QUOTED = r"(?m)^[ \t]*>"
 ROOTS, TURNS = 64, 4096             # a transcript part: first turns, turns
+RANGE = 1024            # turns whose passages meet in one window
 
 
 def _level(line: Column) -> Column:
@@ -65,8 +66,10 @@ def passages(messages: DataFrame) -> DataFrame:
 def reply_links(messages: DataFrame) -> DataFrame:
     """``(conv_id, turn, reply_to)`` of the messages whose quotes are resolved.
 
-    An as-of window over (conversation, passage) finds the latest earlier
-    original: rows grow with the passages, never with pairs of messages.
+    An as-of window over (conversation, passage, range of turns) finds the
+    latest earlier original, or the last one of the ranges before: rows grow
+    with the passages, never with pairs of messages, and a passage that a huge
+    conversation quotes throughout spreads over its ranges.
     """
     known = messages.where("conv_id is not null and turn is not null")
     quoting = known.where(F.col("text").rlike(QUOTED))
@@ -77,10 +80,17 @@ def reply_links(messages: DataFrame) -> DataFrame:
     own = passages(there).where("level = 0") \
         .join(quotes.select("conv_id", "h").distinct(), ["conv_id", "h"], "left_semi")
     seen = quotes.unionByName(own).withColumn("own", (F.col("level") == 0).cast("int"))
-    before = Window.partitionBy("conv_id", "h").orderBy("turn", "own") \
+    seen = seen.withColumn("part", F.floor(F.col("turn") / RANGE)) \
+        .withColumn("original", F.when(F.col("own") == 1, F.col("turn")))
+    before = Window.partitionBy("conv_id", "h", "part").orderBy("turn", "own") \
         .rowsBetween(Window.unboundedPreceding, 0)
-    found = seen.withColumn("origin", F.last(F.when(F.col("own") == 1, F.col("turn")), True)
-                            .over(before)) \
+    # one row per range: the last original of the ranges before
+    earlier = Window.partitionBy("conv_id", "h").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = seen.groupBy("conv_id", "h", "part").agg(F.max("original").alias("top")) \
+        .select("conv_id", "h", "part", F.max("top").over(earlier).alias("carried"))
+    found = seen.withColumn("near", F.last("original", True).over(before)) \
+        .join(carried, ["conv_id", "h", "part"]) \
+        .withColumn("origin", F.coalesce("near", "carried")) \
         .where("own = 0 and origin < turn")
     return found.groupBy("conv_id", "turn").agg(
         F.min(F.struct(F.col("level"), F.bitwise_not(F.col("origin").cast("bigint")).alias("o"))).alias("top")) \

@@ -1,5 +1,9 @@
+import random
+
 from llm_cases import rows_of  # noqa: F401, F811
 
+import pytest
+
 from strata.llm import quotes as Q
 
 ROWS = [
@@ -72,3 +76,21 @@ def test_sql_agrees_on_quoted_conversations(spark):
     got = rows_of(Q.link_conversations(spark.createDataFrame(rows, SCHEMA)),
                   "conv_id", "turn", "text", "quote_level", "reply_to", "thread")
     assert got == want
+
+
+@pytest.mark.parametrize("turns", [1, 7, 1024])
+def test_a_passage_quoted_throughout_one_conversation(spark, monkeypatch, turns):
+    # one passage of one conversation holds most rows; originals stand in some ranges of turns only
+    monkeypatch.setattr(Q, "RANGE", turns)
+    r = random.Random(turns)
+    rows, original, want = [], None, {}
+    for t in sorted(r.sample(range(-50, 400), 200)):
+        kind = r.random()
+        if kind < 0.1 and t > -20:
+            rows.append((1, t, "a", "the passage"))
+            original = t
+        else:
+            rows.append((1, t, "b", f"> The  passage\nanswer {t}"))
+            want[t] = original
+    got = {x["turn"]: x["reply_to"] for x in Q.reply_links(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()}
+    assert got == {t: o for t, o in want.items() if o is not None} and len(got) > 100
