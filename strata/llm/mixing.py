@@ -23,10 +23,11 @@ import random
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import WORD, boxed, saved, whole, word_count
+from strata.llm.ordered import in_order, positions
 from strata.sources.memory import local_relation
 
 WEIGHTS = (5, 2, 1)     # by rank of the source, repeating
@@ -189,10 +190,11 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     match = F.col("id").eqNullSafe(F.col("u_id")) & F.col("source").eqNullSafe(F.col("u_source")) \
         & (F.col("size") == F.col("u_size"))
     out = sized.join(units.where("n = 1"), match).withColumn("j", F.lit(0).cast("bigint"))
-    if not many.isEmpty():      # alike rows get a number each
-        order = Window.partitionBy("id", "source", "size").orderBy("text")
-        out = out.unionByName(sized.join(many, match).withColumn(
-            "j", (F.row_number().over(order) - 1).cast("bigint")))
+    if not many.isEmpty():      # alike rows get a number each, however many there are
+        alike = sized.withColumn("tie", F.monotonically_increasing_id()) \
+            .join(many.withColumn("unit", F.monotonically_increasing_id()), match)
+        numbered = positions(in_order(alike, ["unit"], [F.xxhash64("text").asc(), F.col("tie").asc()]), ["unit"])
+        out = out.unionByName(numbered.withColumn("j", F.col("pos") - 1).select(*out.columns))
     times = _taken(F.col("j"))
     out = out.withColumn("full", F.floor(times).cast("int")).withColumn(
         "part", F.when(times > F.floor(times), F.floor(F.col("size") * times + 0.5)

@@ -65,3 +65,19 @@ def test_mixed_documents_hold_the_taken_words(spark, clashing_docs):
     assert words == M.mix(docs).agg({"taken": "sum"}).first()[0]
     out = M.mixed_documents(clashing_docs)
     assert out.columns == clashing_docs.columns and out.count() > 0
+
+
+def test_alike_rows_of_a_hot_unit(spark):
+    # a third of all rows share a null id, a source and a size; some are equal altogether
+    rows = [(None, f"w{i % 40} x y", "s") for i in range(300)] + [(i, "a b c d", "s" if i % 2 else "t") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5)
+    units = M.mix(docs)
+    mixed = M.mixed_documents(docs)
+    words = sum(len(r["text"].split()) for r in mixed.collect())
+    assert words == units.agg({"taken": "sum"}).first()[0]
+    hot = sum(len(r["text"].split()) for r in mixed.where("doc_id IS NULL").collect())
+    assert hot == units.where("doc_id IS NULL").agg({"taken": "sum"}).first()[0]
+    # every row is taken as often as its like, but for one copy
+    times = [r["n"] for r in mixed.where("doc_id IS NULL").groupBy("text").agg({"*": "count"})
+             .withColumnRenamed("count(1)", "n").collect()]
+    assert len(times) in (40, 41)
