@@ -74,6 +74,31 @@ def marked(marks: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (marks[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
 
 
+def native_marks(keys: DataFrame, column: str, bits: int = BITMAP_BITS) -> DataFrame:
+    """The bitmap of a column's 64-bit values as rows ``(marks_at, marks)`` of 4 KiB, for ``passes``.
+
+    At most ``bits / 32768`` rows (2048, 8 MiB) whatever the input.
+    """
+    bit = F.pmod(F.col(column), F.lit(bits)) + 1
+    return keys.groupBy(F.bitmap_bucket_number(bit).alias("marks_at")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("marks"))
+
+
+def passes(rows: DataFrame, marks: DataFrame, column: str, bits: int = BITMAP_BITS,
+           others: bool = False) -> DataFrame:
+    """``rows`` whose value is marked, and a few that only share a bit; with ``others`` the rest.
+
+    The marks are sent to every task (their size is bounded), nothing else moves.
+    """
+    bit = F.pmod(F.col(column), F.lit(bits)) + 1
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring("marks", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    own = F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), (at % 8).cast("int") + 1)
+    hit = F.coalesce(byte.bitwiseAND(own) != 0, F.lit(False))
+    found = rows.withColumn("marks_at", F.bitmap_bucket_number(bit)).join(F.broadcast(marks), "marks_at", "left")
+    return found.where(~hit if others else hit).drop("marks_at", "marks")
+
+
 def dealt_join(rows: DataFrame, grouped: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Joins ``rows`` with an aggregate ``grouped`` by ``on`` so that hot keys can be split.
 

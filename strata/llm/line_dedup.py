@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD, bind, dealt_join, saved, whole
+from strata.llm.common import WORD, bind, dealt_join, native_marks, passes, saved, whole
 
 CUT_MODULUS = 3     # one line in three ends a chunk
 MULTIPLIER = 31     # of the rolling hash
@@ -55,12 +55,27 @@ def line_chunks(text: Column) -> Column:
         F.transform(lines, line_hash), lambda h: bind(ends(h), lambda e: cut(lines, e))))
 
 
+def with_removals(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """``rows`` left-joined with the removals ``gone(gid, gkey, ...)`` of their id and text.
+
+    Only rows that may have one move; the others get nulls where they are.
+    """
+    own = F.xxhash64("doc_id", "key")
+    gone = saved(gone.withColumn("at", F.xxhash64("gid", "gkey")))
+    marks, keyed = native_marks(gone, "at"), rows.withColumn("own", own)
+    match = F.col("doc_id").eqNullSafe(F.col("gid")) & (F.col("key") == F.col("gkey"))
+    near = passes(keyed, marks, "own").join(gone.drop("at"), match, "left")
+    rest = passes(keyed, marks, "own", others=True).select(
+        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in gone.drop("at").schema])
+    return near.unionByName(rest).drop("own")
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id, text, n_lines, removed_lines``.
 
-    Hashes of chunks are counted first; only chunks whose hash repeats send
-    their bytes, merged per task, and documents without a removal are joined
-    but not rebuilt.
+    Hashes of chunks are counted first; a bitmap of those that repeat goes to
+    every task, so that only repeating chunks send their bytes. Documents
+    without a removal do not move either.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), whole(text_col).alias("text")) \
         .withColumn("key", F.xxhash64("text"))
@@ -72,7 +87,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     counts = several.groupBy("h").agg(
         F.min(F.struct("doc_id", "key", "first")).alias("a"),
         F.max(F.struct("doc_id", "key", "first")).alias("b")).where("a <> b").select("h")
-    again = saved(dealt_join(several, counts, ["h"], "left_semi"))
+    counts = saved(counts)
+    again = saved(dealt_join(passes(several, native_marks(counts, "h"), "h"), counts, ["h"], "left_semi"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "first", "key")
     keep = again.groupBy("h", "chunk").agg(F.min(place).alias("top"), F.max(place).alias("last")) \
         .where("top <> last").select("h", "chunk", "top")
@@ -80,8 +96,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .where(place != F.col("top")) \
         .groupBy(F.col("doc_id").alias("gid"), F.col("key").alias("gkey")) \
         .agg(F.collect_set("first").alias("firsts"))
-    joined = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("gid"))
-                       & (F.col("key") == F.col("gkey")), "left")
+    joined = with_removals(rows, gone)
     stay = F.filter(line_chunks(F.col("text")),
                     lambda c: ~F.array_contains(F.col("firsts"), c["first"]))
     n = F.size(F.split("text", "\n", -1))
@@ -131,8 +146,8 @@ def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .withColumn("key", F.xxhash64("text"))
     pairs = rows.select("doc_id", "key", F.explode(line_pairs(F.col("text"))).alias("p")) \
         .select("doc_id", "key", "p.first", "p.last", "p.name").withColumn("h", F.xxhash64("name"))
-    counts = pairs.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h")
-    again = saved(dealt_join(pairs, counts, ["h"], "left_semi"))
+    counts = saved(pairs.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h"))
+    again = saved(dealt_join(passes(pairs, native_marks(counts, "h"), "h"), counts, ["h"], "left_semi"))
     # rows that agree in id and text are one document
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "first", "key")
     keep = again.groupBy("name").agg(F.min(place).alias("top"), F.max(place).alias("end")) \
@@ -140,8 +155,7 @@ def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     gone = dealt_join(again, keep, ["name"]).where(place != F.col("top")) \
         .groupBy(F.col("doc_id").alias("gid"), F.col("key").alias("gkey")) \
         .agg(F.collect_set(F.struct("first", "last")).alias("spans"))
-    joined = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("gid"))
-                       & (F.col("key") == F.col("gkey")), "left")
+    joined = with_removals(rows, gone)
     lines = F.split("text", "\n", -1)
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.flatten(F.transform(
         "spans", lambda s: F.sequence(s["first"], s["last"]))))

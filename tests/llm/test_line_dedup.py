@@ -97,3 +97,17 @@ def test_passages_go_whatever_stands_around_them(spark):
         assert got[i]["removed_lines"] == 2 + 3 + 5 + 3 and passages[1][0] in left
         assert not any(x in left for n in (2, 3, 4, 5) for x in passages[n])
     assert "Python" not in out._jdf.queryExecution().toString()
+
+
+def test_native_marks_let_marked_values_pass(spark):
+    from pyspark.sql import functions as F
+    from strata.llm.common import native_marks, passes
+    rows = spark.range(50_000).select("id", F.when(F.col("id") % 50 > 0, F.xxhash64("id")).alias("h"))
+    marks = native_marks(rows.where("id % 97 = 0 AND h IS NOT NULL"), "h", 1 << 20)
+    assert marks.count() <= 32
+    near, rest = (passes(rows, marks, "h", 1 << 20, others) for others in (False, True))
+    assert near.where("id % 97 = 0").count() == rows.where("id % 97 = 0 AND h IS NOT NULL").count()
+    assert near.count() + rest.count() == 50_000 and near.count() < 600
+    assert rest.where("h IS NULL").count() == 1000          # a null is never marked
+    none = native_marks(rows.limit(0), "h")
+    assert passes(rows, none, "h").count() == 0 and passes(rows, none, "h", others=True).count() == 50_000
