@@ -1,4 +1,6 @@
+import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -139,3 +141,80 @@ def test_bitmap_lets_every_value_through(spark):
     others = np.array([r["h"] for r in spark.range(10 ** 6, 10 ** 6 + 5000)
                        .select(F.xxhash64("id").alias("h")).collect()])
     assert marked(marks, others).mean() < 0.05
+
+
+def brute_toxicity(labelled, texts):
+    """Power means of likelihood ratios from dictionaries of contexts."""
+    words = lambda t: re.findall("[0-9a-z\u0080-\U0010ffff]+", (t or "").lower())
+    after = [{}, {}]
+    for text, c in labelled:
+        w = words(text)
+        for before, x in zip([None, *w], w):
+            after[c].setdefault(x, set()).add(before)
+    vocabulary = set(after[0]) | set(after[1])
+    n = [{x: len(after[c].get(x, ())) for x in vocabulary} for c in (0, 1)]
+    both = {x: len(after[0].get(x, set()) | after[1].get(x, set())) for x in vocabulary}
+    known = {x for x in vocabulary if n[0][x] + n[1][x] >= T.RARE}
+    total = [sum(n[c].values()) for c in (0, 1)]
+    held = [{x: max(n[c][x] - T.DISCOUNT, 0) for x in known} for c in (0, 1)]
+    back = [1 - sum(held[c].values()) / total[c] for c in (0, 1)]
+    every = sum(both.values()) + len(vocabulary) + 1
+
+    def ratio(x):
+        if x not in known:
+            return back[1] / back[0]
+        shared = (both[x] + 1) / every
+        return (held[1][x] / total[1] + back[1] * shared) / (held[0][x] / total[0] + back[0] * shared)
+
+    out = []
+    for w in map(words, texts):
+        mean = sum(ratio(x) ** T.POWER for x in w) / len(w) if w else (back[1] / back[0]) ** T.POWER
+        out.append(math.log(mean) / T.POWER)
+    return out
+
+
+@pytest.mark.parametrize("model_words", [T.MODEL_WORDS, 0])
+def test_toxicity_scores_match_brute_force(spark, corpus, model_words):
+    docs, labels = corpus
+    rows = [(r["text"], r["toxic"]) for r in docs.join(labels, "doc_id").where("doc_id < 200").collect()]
+    rows += [("Élan ÉLAN 7x7 élan-7x7", 1), (None, 0), ("", 1), ("snarf", 0)] + rows[:3]
+    model = T.fit_counts(spark.createDataFrame(rows, "text string, class int").repartition(3))
+    texts = [t for t, _ in rows[:40]] + ["", None, "ÉLAN", "nowhere", "snarf dolt " * 300]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["raw"] for r in T.text_scores(frame, model, "doc_id", "text", model_words=model_words).collect()}
+    assert [got[i] for i in range(len(texts))] == pytest.approx(brute_toxicity(rows, texts), abs=1e-9)
+
+
+def test_pooled_features_match_a_loop():
+    r = np.random.default_rng(8)
+    n = np.array([0, 1, 2, 3, 40, 0, 5])
+    rows, offsets = r.integers(0, 6, n.sum()), np.concatenate([[0], np.cumsum(n)])
+    vectors = r.normal(size=(Q.ROWS, Q.WIDTH)).astype(np.float32)
+    got = Q.pool(rows, offsets, vectors)
+    for i, k in enumerate(n):
+        w = rows[offsets[i]:offsets[i + 1]].tolist()
+        if not w:
+            assert not got[i].any()
+            continue
+        assert np.allclose(got[i, :Q.WIDTH], np.mean([vectors[x] for x in w], axis=0), atol=1e-5)
+        marks = np.mean([Q.index_matrix()[x] for x in w], axis=0)
+        assert got[i, Q.WIDTH] == pytest.approx(np.sqrt((marks ** 2).sum() / Q.MARKS), abs=1e-5)
+        assert got[i, Q.WIDTH + 1] == pytest.approx(sum(a == b for a, b in zip(w, w[1:])) / k)
+        assert got[i, Q.WIDTH + 2] == pytest.approx(sum(a == b for a, b in zip(w, w[2:])) / k)
+        assert got[i, Q.WIDTH + 3] == pytest.approx(math.log1p(k) / 10)
+
+
+def test_network_probabilities_are_calibrated_layers():
+    r = np.random.default_rng(2)
+    x = r.normal(size=(400, 5))
+    y = (x[:, 0] + 0.5 * x[:, 1] > 0).astype(float)
+    net = Q.Network(x, y)
+    for row in x[:20]:
+        z = (row - net.mean) / net.scale
+        hidden = [max(0.0, sum(a * b for a, b in zip(z, w)) + c) for w, c in zip(net.w[0].T, net.w[1])]
+        logit = sum(a * b for a, b in zip(hidden, net.w[2])) + net.w[3]
+        assert net.probability(row[None])[0] == pytest.approx(1 / (1 + math.exp(-logit / net.temperature)))
+    # the temperature is the best of its grid on the rows set aside for it
+    held = np.random.default_rng(3).permutation(400)[:80]
+    loss = lambda t: np.logaddexp(0, np.where(y[held] > 0, -1, 1) * net.logit(x[held]) / t).mean()
+    assert loss(net.temperature) <= min(loss(t) for t in (0.5, 0.7, 1.0, 1.5, 2.0, 4.0, 8.0)) + 1e-4

@@ -27,6 +27,15 @@ def test_flight_balances_words_and_documents(p):
     assert M.flight([5] * 9, [p] * 9, "x") == M.flight([5] * 9, [p] * 9, "x")
 
 
+def test_flight_keeps_inclusion_probabilities():
+    # over many seeds every unit, whatever its size, is in as often as its probability says
+    sizes, probs = [1, 3, 400, 20, 20, 7, 90], [0.2, 0.5, 0.35, 0.8, 0.6, 0.05, 0.5]
+    runs = 4000
+    mean = [sum(x) / runs for x in zip(*(M.flight(sizes, probs, f"s{k}") for k in range(runs)))]
+    for got, p in zip(mean, probs):
+        assert abs(got - p) < 5 * (p * (1 - p) / runs) ** 0.5
+
+
 def docs_of(spark, n=900):
     rows = [(i, prose(i, i % 37 + 1), ["a", "b", "c", None][i % 4 if i % 3 else 0]) for i in range(n)]
     return spark.createDataFrame(rows, "doc_id bigint, text string, source string")
