@@ -85,6 +85,24 @@ def op6_quotation_links(spark, sf_dir):
     return quotes.link_conversations(_table(spark, sf_dir, "conversations"))
 
 
+def quoted_replies(conversations: DataFrame) -> DataFrame:
+    """``conversations`` in which every message quotes the two before it, one level each."""
+    rows = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+
+    def quoted(back: int, marks: str) -> DataFrame:
+        lines = F.concat(F.lit(marks), F.replace("text", F.lit("\n"), F.lit("\n" + marks)), F.lit("\n"))
+        return rows.groupBy("conv_id", (F.col("turn") + back).alias("turn")).agg(F.max(lines).alias(f"q{back}"))
+
+    out = rows.join(quoted(1, "> "), ["conv_id", "turn"], "left").join(quoted(2, ">> "), ["conv_id", "turn"], "left")
+    return out.select("conv_id", "turn", "role", F.concat(
+        F.coalesce("q2", F.lit("")), F.coalesce("q1", F.lit("")), "text").alias("text"))
+
+
+def op6_quoted_replies(spark, sf_dir):
+    """The given conversations hold no quotes: the same operator where every message has some."""
+    return quotes.link_conversations(quoted_replies(_table(spark, sf_dir, "conversations")))
+
+
 def quality_classifier(docs: DataFrame, labels: DataFrame) -> quality.Classifier:
     """Learned from labelled rows outside the held-out fold."""
     return quality.fit(docs, labels, learn=lambda i: id_fold(i, 5) != 0)
@@ -135,6 +153,7 @@ QUERIES: dict[str, Query] = {
     "op4_toxicity": op4_toxicity,
     "op5_fingerprints": op5_fingerprints,
     "op6_quotation_links": op6_quotation_links,
+    "op6_quoted_replies": op6_quoted_replies,
     "op7_quality": op7_quality,
     "op8_mixing": op8_mixing,
     "op9_warc": op9_warc,
@@ -285,3 +304,14 @@ SQL: dict[str, str] = {
     "op12_structure_repair": STRUCTURE,
     "op13_prefix_trie": PREFIX_TRIE,
 }
+# the same over messages that quote the two before them
+SQL["op6_quoted_replies"] = SQL["op6_quotation_links"].replace("WITH RECURSIVE m AS (", r"""WITH RECURSIVE w0 AS (
+          SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+        quoted AS (
+          SELECT a.conv_id, a.turn, a.role,
+                 coalesce((SELECT max('>> ' || replace(b.text, chr(10), chr(10) || '>> ') || chr(10)) FROM w0 b
+                           WHERE b.conv_id = a.conv_id AND b.turn = a.turn - 2), '')
+                 || coalesce((SELECT max('> ' || replace(b.text, chr(10), chr(10) || '> ') || chr(10)) FROM w0 b
+                              WHERE b.conv_id = a.conv_id AND b.turn = a.turn - 1), '') || a.text AS text
+          FROM w0 a),
+        m AS (""").replace("AS text FROM conversations),\n        l AS", "AS text FROM quoted),\n        l AS")
