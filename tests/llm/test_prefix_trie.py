@@ -56,8 +56,12 @@ def test_nodes_match_brute_force(spark, seed):
 
 def test_end_lists_of_several_parts(spark, monkeypatch):
     monkeypatch.setattr(P, "ENDS", 2)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
     rows = [(c, 0, "user", "same") for c in range(40)] + [(c, 1, "assistant", str(c % 3)) for c in range(0, 40, 4)]
-    assert rows_of(P.shared_prefixes(as_frame(spark, rows))) == brute(rows)
+    try:
+        assert rows_of(P.shared_prefixes(as_frame(spark, rows))) == brute(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_clashing_columns_and_empty_table(spark):

@@ -107,3 +107,14 @@ def test_repaired_messages(spark):
     got = sorted((r["place"], r["edit"], r["role"], r["text"]) for r in messages.collect())
     assert got == [(0, "I", "user", ""), (1, "K", "assistant", "Hello.")]
     assert [(r["audit"], r["own"]) for r in edits.collect()] == [("IKDD", 8)]
+
+
+def test_small_batches(spark, monkeypatch):
+    # conversations, audits and digests stretch over many batches
+    monkeypatch.setattr(S, "CHUNK", 5)
+    rows = edge_conversations(11, hot=60)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert report(as_frame(spark, rows, 4)) == brute(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
