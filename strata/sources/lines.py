@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.config import ensure_checkpoint_dir
+from strata.config import ensure_checkpoint_dir, find_package
 
 # Up to this many blocks their line counts are sent to every task (some 40 MB
 # at most); more are joined, and then the lines move.
@@ -79,6 +79,7 @@ def numbered_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     change until the result has been read.
     """
     ensure_checkpoint_dir(spark)
+    find_package(spark)
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
                                          F.col("_metadata.file_block_start").alias("block"))
     sizes = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
