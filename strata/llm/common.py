@@ -49,7 +49,13 @@ def id_fold(id_col: Column, folds: int) -> Column:
     return F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(folds))
 
 
-BITMAP_BITS = 1 << 26       # 8 MiB, whatever the input
+BITMAP_BITS = 1 << 26       # 8 MiB
+BITMAP_MOST = 1 << 29       # 64 MiB, whatever the input
+
+
+def bitmap_bits(n: int) -> int:
+    """Bits of a bitmap of ``n`` values that lets one other value in sixteen pass, up to the bound."""
+    return max(1 << 20, min(BITMAP_MOST, 1 << (16 * n).bit_length()))
 
 
 def bitmap(keys: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:

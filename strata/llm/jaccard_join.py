@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import words as W
-from strata.llm.common import bitmap, boxed, components, dealt_join, marked, saved
+from strata.llm.common import bitmap, bitmap_bits, boxed, components, dealt_join, marked, saved
 
 WORDS, SHARE = 4, (85, 100)     # words of a shingle; least intersection / union
 TILE = 1 << 20                  # shingles in a tile, about
@@ -346,7 +346,7 @@ def tiles(nodes: DataFrame, share: tuple[int, int], tile: int, work: int) -> Dat
 def verified(docs: DataFrame, nodes: DataFrame, words: int, share: tuple[int, int], tile: int,
              count: bool) -> DataFrame:
     """``(id, root, links)`` of every node in every pair of tiles it takes part in."""
-    marks = docs.sparkSession.sparkContext.broadcast(bitmap(nodes, "s"))
+    marks = docs.sparkSession.sparkContext.broadcast(bitmap(nodes, "s", bitmap_bits(nodes.count())))
     # tasks that hold copies of a set each send it: one of them goes on
     held = set_bytes(docs, words, marks).groupBy("s", "s2").agg(F.any_value("hashes").alias("hashes"))
     rows = tiles(nodes, share, tile, WORK).join(held, ["s", "s2"])

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import words as W
-from strata.llm.common import bitmap, id_fold, marked, saved
+from strata.llm.common import bitmap, bitmap_bits, id_fold, marked, saved
 
 DISCOUNT = 0.75
 RARE = 3                        # contexts a word needs for class counts of its own
@@ -142,9 +142,8 @@ def text_scores(docs: DataFrame, model: Model, id_col: str, text_col: str,
     spark, unknown = docs.sparkSession, model.unknown
     if model.size > model_words:
         return _joined_scores(rows, model, power)
-    table = model.weights.toPandas().sort_values("word")
-    sent = spark.sparkContext.broadcast((table["word"].to_numpy(np.int64),
-                                         table["weight"].to_numpy(np.float64)))
+    table = model.weights.orderBy("word").toArrow()
+    sent = spark.sparkContext.broadcast((table["word"].to_numpy(), table["weight"].to_numpy()))
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, weight = sent.value
@@ -220,7 +219,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Callable[[Column],
         .where("lid is not null and class in (0, 1)").groupBy("lid").agg(F.max("class").alias("class"))
     for_counts = marks.where(learn(F.col("lid")))
     sent = docs.sparkSession.sparkContext.broadcast(
-        bitmap(for_counts.select(F.xxhash64("lid").alias("h")), "h", 1 << 23))
+        bitmap(for_counts.select(F.xxhash64("lid").alias("h")), "h", bitmap_bits(for_counts.count())))
 
     def labelled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
