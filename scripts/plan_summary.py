@@ -22,6 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from strata.config import local_session  # noqa: E402
 from strata.plans.queries import QUERIES  # noqa: E402
+from strata.plans.roundtrips import QUERIES as FILE_QUERIES  # noqa: E402
 
 
 def formatted(df) -> str:
@@ -33,11 +34,13 @@ def formatted(df) -> str:
 
 def summarize(text: str) -> dict:
     tree = text.split("\n\n")[0]
-    scans = re.findall(r"Location: InMemoryFileIndex \[file:[^\]]*/([a-z]+)\.parquet\]\n"
-                       r"(?:PushedFilters: (\[.*?\])\n)?ReadSchema: (struct<.*?>)", text)
+    scans = re.findall(r"Location: InMemoryFileIndex \[file:[^\]]*/([a-z]+)(?:\.parquet|-[0-9a-f]+[/a-z]*)\]\n"
+                       r"(?:PartitionFilters: \[.*?\]\n)?(?:PushedFilters: (\[.*?\])\n)?"
+                       r"ReadSchema: (struct<.*?>)", text)
     joins = re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin"
                        r"|CartesianProduct)", tree)
-    named = [f"{t}: {schema}" + (f" pushed {pf}" if pf else "") for t, pf, schema in scans]
+    named = [f"{t}: {schema}" + (f" pushed {pf if len(pf) < 200 else pf[:160] + '...'}" if pf else "")
+             for t, pf, schema in scans]
     if "Scan ExistingRDD" in tree:
         named.append("checkpointed points")
     if "LocalTableScan" in tree:
@@ -50,7 +53,7 @@ def summarize(text: str) -> dict:
         "aggregates": sorted(set(re.findall(r"(HashAggregate|ObjectHashAggregate|SortAggregate)", tree))),
         "window_limit": "WindowGroupLimit" in tree,
         "top_k": "TakeOrderedAndProject" in tree,
-        "python": any(n in text for n in ("BatchEvalPython", "ArrowEvalPython", "InPandas")),
+        "python": any(n in text for n in ("BatchEvalPython", "ArrowEvalPython", "InPandas", "MapInArrow")),
     }
 
 
@@ -58,7 +61,7 @@ def table(spark, sf_dir: str) -> None:
     print("| query | scans (read schema, pushed filters) | shuffles | broadcasts | joins | "
           "aggregates | other |")
     print("| --- | --- | --- | --- | --- | --- | --- |")
-    for name, query in QUERIES.items():
+    for name, query in (QUERIES | FILE_QUERIES).items():
         s = summarize(formatted(query(spark, sf_dir)))
         other = [x for x, on in (("WindowGroupLimit", s["window_limit"]),
                                  ("top-k", s["top_k"]), ("Arrow batches", s["python"])) if on]
