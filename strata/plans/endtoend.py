@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.checks import Observed, persisted
+from strata.functions.ordering import sort_bounded
 from strata.operators import cluster as C
 from strata.operators import postings as PO
 from strata.operators import terms as T
@@ -71,3 +72,18 @@ def time_use_by_life_period(spark: SparkSession, path: str) -> DataFrame:
     primary, work, other = TU.classify_columns(columns)
     summary = TU.time_use_summary(survey, primary, work, other)
     return TU.time_use_grouped_typed(TU.time_use_summary_typed(summary))
+
+
+def checked_time_use(spark: SparkSession, path: str, expected_rows: int) -> DataFrame:
+    """E3 with its checks (A16, S4): how many respondents there are, and no null in any column.
+
+    The counts are taken by the job that groups the survey; the result, one
+    row per group (12 at most), is handed over once they hold.
+    """
+    columns, survey = read_survey(spark, path)
+    seen = Observed(survey, rows=expected_rows, not_null=columns, what="respondents")
+    grouped = TU.time_use_grouped_typed(TU.time_use_summary_typed(
+        TU.time_use_summary(seen.df, *TU.classify_columns(columns))))
+    rows = [tuple(r) for r in grouped.collect()]
+    seen.verify()
+    return sort_bounded(local_relation(spark, rows, grouped.schema), *TU.KEYS)

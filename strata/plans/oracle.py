@@ -327,6 +327,7 @@ SELECT pos, name, CASE WHEN pos = 0 THEN 'string' ELSE 'double' END AS type, fal
 FROM (VALUES {_values(enumerate(_SURVEY_COLUMNS))}) t(pos, name)"""
 SQL["time_use_summary_from_files"] = SQL["time_use_summary"]
 SQL["time_use_from_files"] = SQL["time_use_grouped"]
+SQL["time_use_checked"] = SQL["time_use_grouped"]
 # one of the headers in mid-file is the first line of its file
 SQL["survey_rejects"] = f"""
 WITH {SURVEY_CTE},

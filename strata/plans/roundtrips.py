@@ -202,6 +202,12 @@ def time_use_from_files(spark, sf_dir):
     return E.time_use_by_life_period(spark, _survey_files(spark, sf_dir))
 
 
+def time_use_checked(spark, sf_dir):
+    """E3 whose job counts respondents and nulls of the survey."""
+    users = read_table(spark, sf_dir, "events").select("user_id").distinct().count()
+    return E.checked_time_use(spark, _survey_files(spark, sf_dir), users)
+
+
 def survey_rejects(spark, sf_dir):
     """S5, lenient: rows whose minutes are no numbers, and headers in mid-file, by file."""
     path = _survey_files(spark, sf_dir)
@@ -254,5 +260,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     time_use_grouped_aggregated, cluster_report_from_text, stored_index_lookup, stored_index_rank,
     stored_index_vocabulary, articles_from_text, article_positions, article_rejects,
     term_popularity_from_text, survey_rows_from_files, time_use_summary_from_files, time_use_from_files,
+    time_use_checked,
     answered_questions_from_text, posting_rejects, ranking_file, cluster_report_file, survey_schema,
     survey_rejects, nearest_center_many, kmeans_centers_many, cluster_report_many)}

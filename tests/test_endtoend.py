@@ -173,3 +173,26 @@ def test_time_use_matches_brute_force(spark, scratch):
     assert [k[:3] for k in got] == [k[:3] for k in want]
     for a, b in zip(got, want):
         assert all(abs(x - y) < 1e-9 for x, y in zip(a[3:], b[3:]))
+
+
+def test_checked_time_use_counts_on_its_own_job(spark, scratch):
+    header = "id,telfs,tesex,teage,t010101,t050101"
+    lines = [f"k{i},{i % 5 + 1},{i % 2 + 1},{i % 60 + 15},{i}.5,{i * 2}" for i in range(50)]
+    write(scratch, "a.csv", [header] + lines[:30])
+    write(scratch, "b.csv", [header] + lines[30:])
+    plain = time_use_by_life_period(spark, scratch).collect()
+    assert endtoend.checked_time_use(spark, scratch, 50).collect() == plain
+    with pytest.raises(DataCheckError, match="51 respondents expected, 50 found"):
+        endtoend.checked_time_use(spark, scratch, 51)
+
+    def jobs(action):
+        sc = spark.sparkContext
+        sc.setJobGroup("checked-time-use", "count the jobs")
+        before = len(sc.statusTracker().getJobIdsForGroup("checked-time-use"))
+        action()
+        after = len(sc.statusTracker().getJobIdsForGroup("checked-time-use"))
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        return after - before
+
+    once = jobs(lambda: time_use_by_life_period(spark, scratch).collect())
+    assert jobs(lambda: endtoend.checked_time_use(spark, scratch, 50)) == once
