@@ -111,11 +111,17 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .alias("removed_lines"))
 
 
-def line_pairs(text: Column) -> Column:
+def line_pairs(text: Column, long_words: int | None = None) -> Column:
     """``array<struct<first, last, name>>``: each line with a visible character and the next such one.
 
     ``name`` is the SHA-256 of the bytes from the one to the other, blank lines between included.
+    Lines of ``long_words`` or more follow as units of their own.
     """
+    def long(lines: Column) -> Column:
+        alone = F.transform(lines, lambda x, i: F.when(F.regexp_count(x, F.lit(WORD)) >= long_words, F.struct(
+            i.alias("first"), i.alias("last"), F.unhex(F.sha2(x.cast("binary"), 256)).alias("name"))))
+        return F.filter(alone, lambda u: u.isNotNull())
+
     def pairs(lines: Column, seen: Column) -> Column:
         def one(first: Column, k: Column) -> Column:
             last = F.get(seen, k + 1)
@@ -128,10 +134,12 @@ def line_pairs(text: Column) -> Column:
                         lambda i: i.isNotNull())
 
     return bind(F.split(text, "\n", -1), lambda lines: bind(
-        visible(lines), lambda seen: pairs(lines, seen)))
+        visible(lines), lambda seen: pairs(lines, seen) if long_words is None
+        else F.concat(pairs(lines, seen), long(lines))))
 
 
-def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   long_words: int | None = None) -> DataFrame:
     """Per row: ``doc_id, text, n_lines, removed_lines``, without later places of repeated passages.
 
     A passage is two or more lines with a visible character and the blank
@@ -140,11 +148,13 @@ def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     earlier place (smaller id, then position) goes with the lines it spans:
     what is left holds no later place of a repeated pair, and a line that
     goes has an equal line that stays. A repeated line whose neighbours
-    differ stays. Other defined results are those of ``dedup_lines``.
+    differ stays, unless it has ``long_words`` or more: such a line goes
+    wherever it has an earlier place. Other defined results are those of
+    ``dedup_lines``.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), whole(text_col).alias("text")) \
         .withColumn("key", F.xxhash64("text"))
-    pairs = rows.select("doc_id", "key", F.explode(line_pairs(F.col("text"))).alias("p")) \
+    pairs = rows.select("doc_id", "key", F.explode(line_pairs(F.col("text"), long_words)).alias("p")) \
         .select("doc_id", "key", "p.first", "p.last", "p.name").withColumn("h", F.xxhash64("name"))
     counts = saved(pairs.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h"))
     again = saved(dealt_join(passes(pairs, native_marks(counts, "h"), "h"), counts, ["h"], "left_semi"))

@@ -19,6 +19,8 @@ from strata.llm.common import id_fold
 from strata.llm.conversation_sql import PREFIX_TRIE, STRUCTURE
 from strata.sources.tables import read_table
 
+LONG_LINE = 50      # words of a line that is a passage of its own
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -66,6 +68,10 @@ def op3_passage_dedup(spark, sf_dir):
     return line_dedup.dedup_passages(_documents(spark, sf_dir))
 
 
+def op3_long_passages(spark, sf_dir):
+    return line_dedup.dedup_passages(_documents(spark, sf_dir), long_words=LONG_LINE)
+
+
 def op4_toxicity(spark, sf_dir):
     # of the rows that may be learned from, one in six fits the curve
     fits = [3, 7]
@@ -150,6 +156,7 @@ QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_line_dedup": op3_line_dedup,
     "op3_passage_dedup": op3_passage_dedup,
+    "op3_long_passages": op3_long_passages,
     "op4_toxicity": op4_toxicity,
     "op5_fingerprints": op5_fingerprints,
     "op6_quotation_links": op6_quotation_links,
@@ -315,3 +322,11 @@ SQL["op6_quoted_replies"] = SQL["op6_quotation_links"].replace("WITH RECURSIVE m
                               WHERE b.conv_id = a.conv_id AND b.turn = a.turn - 1), '') || a.text AS text
           FROM w0 a),
         m AS (""").replace("AS text FROM conversations),\n        l AS", "AS text FROM quoted),\n        l AS")
+# the same with long lines as units of their own
+SQL["op3_long_passages"] = SQL["op3_passage_dedup"].replace(
+    "k AS (\n          SELECT *,", f"""u AS (
+          SELECT * FROM p UNION ALL
+          SELECT doc_id, i, i, line FROM l
+          WHERE len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) >= {LONG_LINE}),
+        k AS (
+          SELECT *,""").replace("AS gone FROM p)", "AS gone FROM u)")

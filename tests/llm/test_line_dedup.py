@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+import pytest
+
 from llm_cases import (  # noqa: F401
     clashing_docs, edge_docs, edge_rows, no_docs, prose, rows_of)
 
@@ -111,3 +113,27 @@ def test_native_marks_let_marked_values_pass(spark):
     assert rest.where("h IS NULL").count() == 1000          # a null is never marked
     none = native_marks(rows.limit(0), "h")
     assert passes(rows, none, "h").count() == 0 and passes(rows, none, "h", others=True).count() == 50_000
+
+
+@pytest.mark.parametrize("lines", [1, 2, 3, 5])
+def test_long_passages_in_different_hosts(spark, lines):
+    # passages of over 50 words in hosts that share nothing else, three hosts each
+    rows, passages = [], []
+    for k in range(6):
+        words = prose(500 + 10 * k + lines, 60).split()
+        step = -(-60 // lines)
+        passages.append("\n".join(" ".join(words[i:i + step]) for i in range(0, 60, step)))
+    for i in range(18):
+        host = [prose(7000 + 40 * i + j + lines, 9) for j in range(6)]
+        host[2 + i % 3:2 + i % 3] = [passages[i % 6]]
+        rows.append((i, "\n".join(host)))
+    rows += [(100, prose(1, 80)), (101, prose(2, 20) + "\n" + prose(3, 20))]
+    out = L.dedup_passages(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), long_words=50)
+    got = {r["doc_id"]: (r["text"], r["removed_lines"]) for r in out.collect()}
+    for i, text in rows:
+        here = i < 6 or i >= 100                # the first place stays, clean documents too
+        want = text if here else text.replace("\n" + passages[i % 6], "")
+        assert got[i] == (want, 0 if here else lines), i
+    if lines == 1:      # without the bound on words such a line stays
+        assert L.dedup_passages(spark.createDataFrame(rows, "doc_id bigint, text string")) \
+            .agg({"removed_lines": "sum"}).first()[0] == 0
