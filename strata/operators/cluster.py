@@ -114,6 +114,14 @@ def reliable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def one_partition(points: DataFrame) -> DataFrame:
+    """``points``, known to the planner as one partition if they are: grouping then needs no exchange.
+
+    A compacted category space is often small; each update is then a single stage.
+    """
+    return points.coalesce(1) if points.rdd.getNumPartitions() == 1 else points
+
+
 # --- seeding (M1, M2) ------------------------------------------------------
 
 def sample_key(id_col: str, seed: int) -> Column:
@@ -418,6 +426,6 @@ def fit(vectors: DataFrame, params: KMeansParams) -> Clustering:
 def fit_reliable(raw: DataFrame, params: KMeansParams) -> Clustering:
     """``fit`` on vectors ``(id, x, y)`` that are reliable already."""
     seeds = sample_seeds(raw, params)
-    points = reliable(weighted_points(raw))
+    points = one_partition(reliable(weighted_points(raw)))
     result = kmeans(points, seeds, params.eta, params.max_iterations)
     return Clustering(points, seeds, result)
