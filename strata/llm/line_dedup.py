@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD, bind, dealt_join, native_marks, passes, saved, whole
+from strata.llm.common import WORD, bind, bitmap_bits, dealt_join, native_marks, passes, saved, whole
 
 CUT_MODULUS = 3     # one line in three ends a chunk
 MULTIPLIER = 31     # of the rolling hash
@@ -55,6 +55,12 @@ def line_chunks(text: Column) -> Column:
         F.transform(lines, line_hash), lambda h: bind(ends(h), lambda e: cut(lines, e))))
 
 
+def repeated(units: DataFrame, counts: DataFrame) -> DataFrame:
+    """``units`` whose hash is among the counted ones, and a few more."""
+    bits = bitmap_bits(counts.count())
+    return passes(units, native_marks(counts, "h", bits), "h", bits)
+
+
 def with_removals(rows: DataFrame, gone: DataFrame) -> DataFrame:
     """``rows`` left-joined with the removals ``gone(gid, gkey, ...)`` of their id and text.
 
@@ -62,10 +68,11 @@ def with_removals(rows: DataFrame, gone: DataFrame) -> DataFrame:
     """
     own = F.xxhash64("doc_id", "key")
     gone = saved(gone.withColumn("at", F.xxhash64("gid", "gkey")))
-    marks, keyed = native_marks(gone, "at"), rows.withColumn("own", own)
+    bits = bitmap_bits(gone.count())
+    marks, keyed = native_marks(gone, "at", bits), rows.withColumn("own", own)
     match = F.col("doc_id").eqNullSafe(F.col("gid")) & (F.col("key") == F.col("gkey"))
-    near = passes(keyed, marks, "own").join(gone.drop("at"), match, "left")
-    rest = passes(keyed, marks, "own", others=True).select(
+    near = passes(keyed, marks, "own", bits).join(gone.drop("at"), match, "left")
+    rest = passes(keyed, marks, "own", bits, others=True).select(
         "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in gone.drop("at").schema])
     return near.unionByName(rest).drop("own")
 
@@ -88,7 +95,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.min(F.struct("doc_id", "key", "first")).alias("a"),
         F.max(F.struct("doc_id", "key", "first")).alias("b")).where("a <> b").select("h")
     counts = saved(counts)
-    again = saved(dealt_join(passes(several, native_marks(counts, "h"), "h"), counts, ["h"], "left_semi"))
+    again = saved(dealt_join(repeated(several, counts), counts, ["h"], "left_semi"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "first", "key")
     keep = again.groupBy("h", "chunk").agg(F.min(place).alias("top"), F.max(place).alias("last")) \
         .where("top <> last").select("h", "chunk", "top")
@@ -157,7 +164,7 @@ def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pairs = rows.select("doc_id", "key", F.explode(line_pairs(F.col("text"), long_words)).alias("p")) \
         .select("doc_id", "key", "p.first", "p.last", "p.name").withColumn("h", F.xxhash64("name"))
     counts = saved(pairs.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h"))
-    again = saved(dealt_join(passes(pairs, native_marks(counts, "h"), "h"), counts, ["h"], "left_semi"))
+    again = saved(dealt_join(repeated(pairs, counts), counts, ["h"], "left_semi"))
     # rows that agree in id and text are one document
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "first", "key")
     keep = again.groupBy("name").agg(F.min(place).alias("top"), F.max(place).alias("end")) \
