@@ -38,7 +38,7 @@ END_ID = 1
 GROUP = 4096            # pieces in a packing group, about
 GRAIN = 512             # a rest is cut into pieces of at most this many ids
 CACHE_WORDS = 1_000_000  # distinct words a worker remembers before it starts afresh
-_CHARS = 1 << 20        # characters split at a time; a longer document goes alone
+_CHARS = 1 << 18        # characters split at a time; a longer document goes alone
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 

@@ -12,7 +12,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 # Longer words are hashed by blake2b: the rolling sums of words that repeat a
 # pattern long enough (Thue-Morse words of 1024 bytes) are equal modulo 2**64.
 LONG_WORD = 32
