@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import saved, whole
+from strata.llm.common import bind, saved, whole
 
 MARKS = r"^((?:[ \t]*>)+)"          # of a quoted line
 QUOTED = r"(?m)^[ \t]*>"
@@ -42,25 +42,40 @@ def own_text(text: Column) -> Column:
     return F.when(text.rlike(QUOTED), F.regexp_replace(own, r"^\n+|\n+$", "")).otherwise(text)
 
 
-def passages(messages: DataFrame) -> DataFrame:
-    """``(conv_id, turn, level, h)``: hashed paragraphs of every level, and their single lines.
+def _units(text: Column) -> Column:
+    """``array<struct<level, h>>``: hashed paragraphs of a message, and their single lines.
 
-    A paragraph is a run of lines of one level without a blank line.
+    A paragraph is a run of lines of one level without a blank line. Runs are
+    cut where the message is, so that only hashes move.
     """
-    lines = messages.select("conv_id", "turn", F.xxhash64("text").alias("key"),
-                            F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")) \
-        .select("conv_id", "turn", "key", "pos", _level(F.col("line")).alias("level"),
-                _body(F.col("line")).alias("body")).distinct()
-    one = Window.partitionBy("conv_id", "turn", "key").orderBy("pos")
-    breaks = (F.col("body") == "") | (F.col("level") != F.lag("level", 1, -1).over(one))
-    runs = lines.withColumn("run", F.sum(breaks.cast("int")).over(one)).where("body <> ''")
-    paragraphs = runs.groupBy("conv_id", "turn", "key", "level", "run").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "body"))),
-                                 lambda x: x["body"]), " ").alias("body"))
-    units = paragraphs.select("conv_id", "turn", "level", "body") \
-        .unionByName(runs.select("conv_id", "turn", "level", "body"))
-    return units.select("conv_id", "turn", "level", F.sha2(F.col("body").cast("binary"), 256)
-                        .alias("h")).distinct()
+    def name(level: Column, body: Column) -> Column:
+        return F.struct(level.alias("level"), F.sha2(body.cast("binary"), 256).alias("h"))
+
+    def starts(x: Column) -> Column:
+        """Places at which a run begins: blank lines and lines of another level."""
+        mark = F.transform(x, lambda line, i: F.when(
+            (i == 0) | (line["body"] == "") | (line["level"] != F.get(x, i - 1)["level"]), i))
+        return F.filter(mark, lambda i: i.isNotNull())
+
+    def runs(x: Column, at: Column) -> Column:
+        def one(first: Column, k: Column) -> Column:
+            size = F.coalesce(F.get(at, k + 1), F.size(x)) - first
+            bodies = F.filter(F.transform(F.slice(x, first + 1, size), lambda line: line["body"]),
+                              lambda body: body != "")
+            return F.when(F.size(bodies) > 0, name(F.get(x, first)["level"], F.array_join(bodies, " ")))
+        return F.filter(F.transform(at, one), lambda u: u.isNotNull())
+
+    lines = F.transform(F.split(text, "\n", -1), lambda line: F.struct(
+        _level(line).alias("level"), _body(line).alias("body")))
+    return bind(lines, lambda x: F.concat(
+        bind(starts(x), lambda at: runs(x, at)),
+        F.transform(F.filter(x, lambda line: line["body"] != ""), lambda line: name(line["level"], line["body"]))))
+
+
+def passages(messages: DataFrame) -> DataFrame:
+    """``(conv_id, turn, level, h)``: hashed paragraphs of every level, and their single lines."""
+    return messages.select("conv_id", "turn", F.explode(F.array_distinct(_units(F.col("text")))).alias("u")) \
+        .select("conv_id", "turn", "u.level", "u.h").distinct()
 
 
 def reply_links(messages: DataFrame) -> DataFrame:
