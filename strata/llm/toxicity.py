@@ -31,6 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from strata.llm import words as W
 from strata.llm.common import bitmap, bitmap_bits, id_fold, marked, saved
@@ -41,6 +42,10 @@ POWER = 2.0                     # of the mean over a text's words
 THRESHOLD = 0.3
 CALIBRATION_ROWS = 20_000       # labelled rows that the curve is fitted on, at most
 MODEL_WORDS = 5_000_000         # words (12 bytes each) sent to every worker, at most
+MERGED_ROWS = 1 << 20           # pairs (17 bytes each) that a task merges before they move
+BATCH_ROWS = 1 << 16
+SENT_LABELS = 5_000_000         # labels (9 bytes each) sent to every worker, at most
+Marks = Callable[[pa.RecordBatch], tuple[pa.Array, np.ndarray]]
 _KIND, _VALUE = W.kinds("letters"), W.values(False)
 
 
@@ -55,34 +60,70 @@ def _text(df: DataFrame, text_col: str) -> Column:
 
 # --- counts -----------------------------------------------------------------
 
-def contexts(labelled: DataFrame) -> DataFrame:
+def _merged(word: np.ndarray, pair: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each (word, pair) once with all its bits, in order."""
+    order = np.lexsort((pair, word))
+    word, pair, bits = word[order], pair[order], bits[order]
+    new = np.ones(len(word), bool)
+    new[1:] = (word[1:] != word[:-1]) | (pair[1:] != pair[:-1])
+    at = np.flatnonzero(new)
+    return word[at], pair[at], np.bitwise_or.reduceat(bits, at) if len(at) else bits
+
+
+def _runs(parts: Iterable[tuple[np.ndarray, ...]], most: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Merged runs of ``parts``; up to ``most`` rows (and a part) wait to be merged."""
+    held, rows = [], 0
+    for part in parts:
+        held.append(part)
+        rows += len(part[0])
+        if rows > most:
+            run = _merged(*map(np.concatenate, zip(*held)))
+            held, rows = [run], len(run[0])
+            if rows > most // 2:        # few copies among them: they go on
+                yield run
+                held, rows = [], 0
+    if held:
+        yield _merged(*map(np.concatenate, zip(*held)))
+
+
+def _own_class(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
+    """Texts and classes of a batch ``(text, class)``."""
+    return batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
+
+
+def _pairs(labelled: Iterable[tuple[pa.Array, np.ndarray]]) -> Iterator[tuple[np.ndarray, ...]]:
+    """``(word, pair, bits)`` of the words of each slice of texts with their classes."""
+    for texts, toxic in labelled:
+        for first, hashes, offsets in _words(texts):
+            if not len(hashes):
+                continue
+            before = np.empty_like(hashes)
+            before[0], before[1:] = 0, hashes[:-1]
+            starts = offsets[:-1]
+            before[starts[starts < len(hashes)]] = 0
+            bits = np.repeat(1 << toxic[first:first + len(offsets) - 1], np.diff(offsets)).astype(np.int8)
+            yield _merged(hashes.view(np.int64), (W.mixed(before) ^ hashes).view(np.int64), bits)
+
+
+def contexts(labelled: DataFrame, marks: Marks = _own_class, most: int = MERGED_ROWS) -> DataFrame:
     """``(word, pair, classes)`` of ``labelled(text, class)``: each word after each other word once.
 
-    ``classes`` has bit 0 for ordinary, bit 1 for toxic. Pairs are merged in
-    the task and again before they move.
+    Rows of other columns need ``marks``, which finds texts and classes in a
+    batch. ``classes`` has bit 0 for ordinary, bit 1 for toxic. Pairs are merged in
+    the task and move in order, by ranges of word and pair: equal words stand
+    side by side, which compresses well, and lie in one partition or, where
+    they follow very many words, in a few neighbouring ones. So the counts
+    per word that move next are hardly more than the words.
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            toxic = batch.column(1).to_numpy(zero_copy_only=False)
-            for first, hashes, offsets in _words(batch.column(0)):
-                if not len(hashes):
-                    continue
-                before = np.empty_like(hashes)
-                before[0], before[1:] = 0, hashes[:-1]
-                starts = offsets[:-1]
-                before[starts[starts < len(hashes)]] = 0
-                bits = np.repeat(1 << toxic[first:first + len(offsets) - 1], np.diff(offsets))
-                pair = W.mixed(before) ^ hashes
-                for bit in (1, 2):
-                    of = np.flatnonzero(bits == bit)
-                    _, at = np.unique(pair[of], return_index=True)
-                    at = of[at]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(hashes[at].view(np.int64)), pa.array(pair[at].view(np.int64)),
-                         pa.array(np.full(len(at), bit, np.int8))], ["word", "pair", "classes"])
-
-    rows = labelled.select("text", "class").mapInArrow(run, "word bigint, pair bigint, classes tinyint")
-    return rows.groupBy("word", "pair").agg(F.bit_or("classes").alias("classes"))
+        for word, pair, bits in _runs(_pairs(map(marks, batches)), most):
+            for a in range(0, len(word), BATCH_ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(x[a:a + BATCH_ROWS]) for x in (word, pair, bits)],
+                                                 ["word", "pair", "classes"])
+
+    rows = labelled.mapInArrow(run, "word bigint, pair bigint, classes tinyint")
+    return rows.repartitionByRange("word", "pair") \
+        .groupBy("word", "pair").agg(F.bit_or("classes").alias("classes"))
 
 
 @dataclass(frozen=True)
@@ -93,9 +134,10 @@ class Model:
     size: int
 
 
-def fit_counts(labelled: DataFrame, discount: float = DISCOUNT, rare: int = RARE) -> Model | None:
-    """Kneser-Ney over all rows of ``labelled(text, class)``; None without words in both classes."""
-    counts = saved(contexts(labelled).groupBy("word").agg(
+def fit_counts(labelled: DataFrame, marks: Marks = _own_class, discount: float = DISCOUNT,
+               rare: int = RARE) -> Model | None:
+    """Kneser-Ney over all rows of ``contexts(labelled, marks)``; None without words in both classes."""
+    counts = saved(contexts(labelled, marks).groupBy("word").agg(
         F.sum(F.shiftright("classes", 1).cast("bigint")).alias("toxic"),
         F.sum(F.col("classes").bitwiseAND(F.lit(1)).cast("bigint")).alias("plain"),
         F.count(F.lit(1)).alias("both")))
@@ -206,9 +248,48 @@ def fit_curve(x: np.ndarray, y: np.ndarray, steps: int = 100) -> tuple[float, fl
     return float(a), float(b)
 
 
+def labelled_texts(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
+                   sent_labels: int = SENT_LABELS) -> tuple[DataFrame, Marks]:
+    """Rows of ``docs`` whose id is in ``classes(lid, class)``, as ``contexts`` takes them.
+
+    Up to ``sent_labels`` labels of whole-number ids go to every worker as two
+    arrays, and no text moves. Of more labels, or other ids, the texts that a
+    bitmap lets through move to the labels, with equal results.
+    """
+    own = docs.where(F.col(f"`{id_col}`").isNotNull()).select(
+        F.col(f"`{id_col}`").alias("lid"), _text(docs, text_col).alias("text"))
+    size, spark = classes.count(), docs.sparkSession
+    whole = all(isinstance(df.schema["lid"].dataType, IntegralType) for df in (own, classes))
+    if whole and size <= sent_labels:
+        table = classes.select(F.col("lid").cast("bigint"), F.col("class").cast("tinyint")).orderBy("lid").toArrow()
+        arrays = spark.sparkContext.broadcast((table["lid"].to_numpy(), table["class"].to_numpy()))
+
+        def found(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
+            ids, values = arrays.value
+            lid = batch.column(0).to_numpy()
+            at = np.searchsorted(ids, lid)
+            near = np.flatnonzero(at < len(ids))
+            hit = near[ids[at[near]] == lid[near]]
+            return batch.column(1).take(pa.array(hit)), values[at[hit]]
+
+        return own.select(F.col("lid").cast("bigint"), "text"), found
+
+    sent = spark.sparkContext.broadcast(
+        bitmap(classes.select(F.xxhash64("lid").alias("h")), "h", bitmap_bits(size)))
+
+    def labelled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(marked(sent.value, batch.column(0).to_numpy())))
+
+    # only rows that may be labelled move to the labels
+    hashed = own.select(F.xxhash64("lid").alias("h"), "lid", "text")
+    return hashed.mapInArrow(labelled, hashed.schema).join(classes, "lid").select("text", "class"), _own_class
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Callable[[Column], Column],
                    calibrate: Callable[[Column], Column], id_col: str = "doc_id",
-                   text_col: str = "text", class_col: str = "toxic", **model_options) -> DataFrame:
+                   text_col: str = "text", class_col: str = "toxic", sent_labels: int = SENT_LABELS,
+                   **model_options) -> DataFrame:
     """``(doc_id, score)`` per row of ``docs``.
 
     ``learn`` and ``calibrate`` say by id which labelled rows give counts and
@@ -218,19 +299,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Callable[[Column],
     marks = labels.select(F.col(f"`{id_col}`").alias("lid"), F.col(f"`{class_col}`").cast("int").alias("class")) \
         .where("lid is not null and class in (0, 1)").groupBy("lid").agg(F.max("class").alias("class"))
     for_counts = marks.where(learn(F.col("lid")))
-    sent = docs.sparkSession.sparkContext.broadcast(
-        bitmap(for_counts.select(F.xxhash64("lid").alias("h")), "h", bitmap_bits(for_counts.count())))
-
-    def labelled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(marked(sent.value, batch.column(0).to_numpy())))
-
-    own = docs.where(F.col(f"`{id_col}`").isNotNull()).select(
-        F.xxhash64(F.col(f"`{id_col}`")).alias("h"), F.col(f"`{id_col}`").alias("lid"),
-        _text(docs, text_col).alias("text"))
-    # only rows that may be labelled move to the labels
-    near = own.mapInArrow(labelled, own.schema).join(for_counts, "lid").select("text", "class")
-    model = fit_counts(near, **model_options)
+    near, found = labelled_texts(docs, for_counts, id_col, text_col, sent_labels)
+    model = fit_counts(near, found, **model_options)
     rate = marks.where(learn(F.col("lid")) | calibrate(F.col("lid"))).agg(F.avg("class")).first()[0]
     if model is None:
         return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.lit(float(rate or 0)).alias("score"))

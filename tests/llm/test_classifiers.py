@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 import pytest
-from llm_cases import clashing_docs, edge_docs, edge_rows, no_docs, prose  # noqa: F401, F811
+from llm_cases import WORDS, clashing_docs, edge_docs, edge_rows, no_docs, prose  # noqa: F401, F811
 
 from pyspark.sql import functions as F
 from strata.llm import quality as Q
@@ -143,6 +143,73 @@ def test_bitmap_lets_every_value_through(spark):
     assert marked(marks, others).mean() < 0.05
 
 
+def test_contexts_of_a_word_lie_together(spark):
+    """Counts per word that move are hardly more than the words, yet a word's many contexts are split."""
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    held = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        r = random.Random(5)
+        texts = [" ".join(f"{r.choice(WORDS)}{r.randint(0, 9)} hub" for _ in range(200)) for _ in range(60)]
+        texts += [" ".join(r.choice(WORDS) for _ in range(400)) for _ in range(60)]
+        rows = [(t, i % 2) for i, t in enumerate(texts)]
+        out = T.contexts(spark.createDataFrame(rows, "text string, class int").repartition(3))
+        parts = out.groupBy("word", F.spark_partition_id().alias("p")).count().groupBy("word") \
+            .agg(F.count("p").alias("parts"), F.sum("count").alias("contexts")).toPandas()
+    finally:
+        spark.conf.set(setting, held)
+    assert len(parts) > 200 and parts["parts"].sum() < len(parts) + 8
+    want = {}
+    for t in texts:
+        w = t.split()
+        for before, x in zip([None, *w], w):
+            want.setdefault(x, set()).add(before)
+    assert sorted(parts["contexts"]) == sorted(map(len, want.values()))
+    hub = parts[parts["contexts"] > 250]
+    assert len(hub) == 1 and hub["parts"].iloc[0] > 1
+
+
+@pytest.mark.parametrize("most", [0, 10, 64, 10 ** 6])
+def test_pairs_merged_in_runs_match_a_loop(most):
+    r = np.random.default_rng(6)
+    parts = [(r.integers(-3, 3, n), r.integers(-2, 2, n), r.integers(1, 3, n).astype(np.int8)) for n in (40, 0, 1, 30, 25)]
+    want, got = {}, {}
+    for w, p, b in parts:
+        for key, bit in zip(zip(w.tolist(), p.tolist()), b.tolist()):
+            want[key] = want.get(key, 0) | bit
+    runs = list(T._runs(iter(parts), most))
+    for w, p, b in runs:
+        keys = list(zip(w.tolist(), p.tolist()))
+        assert keys == sorted(set(keys))
+        for key, bit in zip(keys, b.tolist()):
+            got[key] = got.get(key, 0) | bit
+    assert got == want and (len(runs) == 1 or most < 64)
+
+
+@pytest.mark.parametrize("kind", ["bigint", "int", "string"])
+def test_sent_and_joined_labels_agree(spark, corpus, kind):
+    """Labels that fit are sent and no text moves; others meet the texts in a join, with equal scores."""
+    docs, labels = (df.withColumn("doc_id", F.col("doc_id").cast(kind)) for df in corpus)
+    more = [(1, "snarf snarf"), (1, None), (2, ""), (None, "dolt"), (9999, "no label here")]
+    docs = docs.unionByName(spark.createDataFrame(more, "doc_id bigint, text string")
+                            .withColumn("doc_id", F.col("doc_id").cast(kind)))
+    labels = labels.unionByName(spark.createDataFrame(
+        [(1, 1, 1), (7777, 1, 1), (None, 1, 1)], "doc_id bigint, quality int, toxic int")
+        .withColumn("doc_id", F.col("doc_id").cast(kind)))
+
+    def scores(**options):
+        rows = T.score_toxicity(docs, labels, learn=lambda i: id_fold(i, 4) < 2,
+                                calibrate=lambda i: id_fold(i, 4) == 3, **options).collect()
+        return sorted((str(r["doc_id"]), round(r["score"], 9)) for r in rows)
+
+    assert scores() == scores(sent_labels=0)
+    classes = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("lid")) \
+        .agg(F.max("toxic").alias("class"))
+    rows, _ = T.labelled_texts(docs, classes, "doc_id", "text")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert ("Join" in plan) == (kind == "string")
+
+
 def brute_toxicity(labelled, texts):
     """Power means of likelihood ratios from dictionaries of contexts."""
     words = lambda t: re.findall("[0-9a-z\u0080-\U0010ffff]+", (t or "").lower())
