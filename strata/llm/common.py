@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -25,6 +26,24 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+BATCH_BYTES = 1 << 20
+_BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def in_batches(rows: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+               schema) -> DataFrame:
+    """``rows.mapInArrow(run, schema)`` over batches of ``BATCH_BYTES`` and a row at most.
+
+    Spark's own batches hold up to 10,000 rows and 64 MiB, which executor and
+    worker have in memory several times over. The bound is read when the job
+    runs, so it stays in the session; a bound that the session has is kept.
+    """
+    conf = rows.sparkSession.conf
+    if conf.get(_BATCHES, None) is None:
+        conf.set(_BATCHES, str(BATCH_BYTES))
+    return rows.mapInArrow(run, schema)
+
+
 def whole(text: str) -> Column:
     """A text column with null read as the empty text."""
     return F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import words as W
-from strata.llm.common import bitmap, bitmap_bits, boxed, components, dealt_join, marked, saved
+from strata.llm.common import bitmap, bitmap_bits, boxed, components, dealt_join, in_batches, marked, saved
 
 WORDS, SHARE = 4, (85, 100)     # words of a shingle; least intersection / union
 TILE = 1 << 20                  # shingles in a tile, about
@@ -102,8 +102,8 @@ def set_rows(docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
                      *[batch.column(2).slice(first, len(sets)) for _ in kept]],
                     ["doc_id", "n", "r", "low", "s", "s2", *kept])
 
-    return docs.mapInArrow(run, "doc_id bigint, n bigint, r bigint, low bigint, s bigint, s2 bigint"
-                           + "".join(f", {k} bigint" for k in kept))
+    return in_batches(docs, run, "doc_id bigint, n bigint, r bigint, low bigint, s bigint, s2 bigint"
+                      + "".join(f", {k} bigint" for k in kept))
 
 
 def counted_shingles(docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
@@ -126,7 +126,7 @@ def counted_shingles(docs: DataFrame, words: int, share: tuple[int, int]) -> Dat
                          pa.array(np.repeat(np.array(ss, np.int64), [len(x) for x in hs]))],
                         ["h", "s"])
 
-    return docs.mapInArrow(run, "h bigint, s bigint")
+    return in_batches(docs, run, "h bigint, s bigint")
 
 
 def set_bytes(docs: DataFrame, words: int, marks) -> DataFrame:
@@ -147,7 +147,7 @@ def set_bytes(docs: DataFrame, words: int, marks) -> DataFrame:
                         [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(x, pa.binary())],
                         ["s", "s2", "hashes"])
 
-    return docs.mapInArrow(run, "s bigint, s2 bigint, hashes binary")
+    return in_batches(docs, run, "s bigint, s2 bigint, hashes binary")
 
 
 def prefixes(tokens: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import saved
+from strata.llm.common import in_batches, saved
 from strata.llm.words import LONG_WORD
 
 CAPACITY = 2048
@@ -233,9 +233,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                                                  ["doc_id", "start", "length", "ids_crc32",
                                                   "doc_tokens"])
 
-    return docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
-                       F.col(f"`{text_col}`").cast("string").alias("text")) \
-        .mapInArrow(run, PIECES)
+    return in_batches(docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
+                                  F.col(f"`{text_col}`").cast("string").alias("text")), run, PIECES)
 
 
 def differencing(sizes: list[int], windows: int) -> tuple[np.ndarray, np.ndarray]:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import words as W
-from strata.llm.common import bitmap, marked, saved
+from strata.llm.common import bitmap, in_batches, marked, saved
 
 ROWS = 1 << 14          # of the context matrix; words that share a row share a vector
 WIDTH = 64              # of a vector
@@ -106,7 +106,7 @@ def context_matrix(texts: DataFrame) -> np.ndarray:
     out = np.zeros((PARTS, cells))
     # tasks are first summed in a few lanes each, then the lanes: no reducer
     # reads one piece of every task
-    lanes = texts.mapInArrow(gather, schema).withColumn("lane", F.spark_partition_id() % 64)
+    lanes = in_batches(texts, gather, schema).withColumn("lane", F.spark_partition_id() % 64)
     halves = lanes.repartition(PARTS, "part", "lane").select("part", "cells") \
         .mapInArrow(lambda b: _narrow(add(b)), schema)
     for r in halves.repartition(PARTS, "part").mapInArrow(add, schema).collect():
@@ -247,9 +247,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Callable[[Column], Column],
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([v.tobytes() for v in x], pa.binary())], ["key", "x"])
 
-    pooled = docs.where(F.col(f"`{id_col}`").isNotNull()).select(
-        F.xxhash64(F.col(f"`{id_col}`")).alias("key"), F.col(f"`{text_col}`").cast("string").alias("text")) \
-        .mapInArrow(run, "key bigint, x binary")
+    keyed = docs.where(F.col(f"`{id_col}`").isNotNull()).select(
+        F.xxhash64(F.col(f"`{id_col}`")).alias("key"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    pooled = in_batches(keyed, run, "key bigint, x binary")
     # rows that repeat an id count once, the least of them
     rows = pooled.join(chosen, F.col("key") == F.col("h")).groupBy("lid").agg(
         F.min("x").alias("x"), F.min("class").alias("class")).orderBy("lid").toArrow()
@@ -273,7 +273,7 @@ def score_quality(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id
                 [batch.column(0), pa.array(sent.value.scores(batch.column(1)))], ["doc_id", "score"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, score double")
+    return in_batches(rows, run, f"doc_id {kind}, score double")
 
 
 def keep_good(docs: DataFrame, classifier: Classifier, text_col: str = "text",
@@ -286,4 +286,4 @@ def keep_good(docs: DataFrame, classifier: Classifier, text_col: str = "text",
         for batch in batches:
             yield batch.filter(pa.array(sent.value.scores(batch.column(at)) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_batches(docs, run, docs.schema)

@@ -1,0 +1,55 @@
+"""Rows of texts reach the Python workers in batches of bounded size."""
+
+import pytest
+from llm_cases import prose
+
+from strata.llm import jaccard_join, packing, quality
+from strata.llm.queries import find_package, tokenizer_path
+
+SHARE = jaccard_join.SHARE
+OPERATORS = {
+    "context_matrix": lambda d: quality.context_matrix(d.select("text")),
+    "fit": lambda d: quality.fit(d, d.selectExpr("doc_id", "doc_id % 2 AS quality"), learn=lambda i: i > 0),
+    "score_quality": lambda d: quality.score_quality(d, quality.Classifier(None, None, 1.0)),
+    "keep_good": lambda d: quality.keep_good(d, quality.Classifier(None, None, 1.0)),
+    "token_pieces": lambda d: packing.token_pieces(d, tokenizer_path()),
+    "set_rows": lambda d: jaccard_join.set_rows(d, 4, SHARE),
+    "counted_shingles": lambda d: jaccard_join.counted_shingles(d, 4, SHARE),
+}
+
+
+@pytest.fixture(scope="module")
+def many_docs(spark):
+    find_package(spark)
+    a = prose(7, 400)
+    return spark.range(3000).selectExpr("id AS doc_id", f"concat('{a} ', id) AS text").coalesce(1)
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_batches_are_bounded(spark, many_docs, monkeypatch, name):
+    most = 2 << 20      # bytes, with texts of 2 kB
+    plain = type(many_docs).mapInArrow
+
+    def bounded(df, run, schema):
+        def checked(batches):
+            for b in batches:
+                if b.nbytes > most:
+                    raise ValueError(f"a batch of {b.nbytes} bytes")
+                yield b
+        return plain(df, lambda batches: run(checked(batches)), schema)
+
+    monkeypatch.setattr(type(many_docs), "mapInArrow", bounded)
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    out = OPERATORS[name](many_docs)
+    if hasattr(out, "count"):
+        assert out.count() >= 3000
+
+
+def test_a_bound_of_the_session_is_kept(spark, many_docs):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(name, "123456")
+    try:
+        assert quality.keep_good(many_docs, quality.Classifier(None, None, 1.0)).count() == 3000
+        assert spark.conf.get(name) == "123456"
+    finally:
+        spark.conf.unset(name)
